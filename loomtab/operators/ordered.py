@@ -8,6 +8,7 @@ accumulated, and the carry is joined back. Results equal the plain window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -165,25 +166,29 @@ def decayed_mean(df: DataFrame, by: Sequence[str], order: Sequence[str],
     plus the total of the block before it gives the recursive value to double
     precision with no recursion and no whole group in one task.
     """
-    import math
-
-    df = row_index(df, by, order, "_i")
-    for name, (value, alpha) in cols.items():
-        keep = 1.0 - alpha
-        block = max(2, math.ceil(60 * math.log(2) / -math.log(keep)))
-        pos = (F.col("_i") % block).cast("double")
-        q = F.lit(keep)
-        unit = [*by, "_b"]
-        w = (Window.partitionBy(*unit).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-        rows = df.withColumns({"_b": F.floor(F.col("_i") / block), "_y": value * F.pow(q, -pos)})
-        tail = (rows.groupBy(*unit).agg((F.sum("_y") * F.pow(q, F.lit(block - 1.0))).alias("_prev"))
-                .withColumn("_b", F.col("_b") + 1))
-        rows = rows.withColumn("_s", F.sum("_y").over(w) * F.pow(q, pos))
-        joined = keyed_join(rows, tail, unit, "left")
-        num = F.col("_s") + F.pow(q, pos + 1) * F.coalesce("_prev", F.lit(0.0))
-        den = (1 - F.pow(q, F.col("_i") + 1)) / alpha
-        df = joined.withColumn(name, num / den).drop("_b", "_y", "_s", "_prev")
-    return df.drop("_i")
+    blocks = {n: max(2, math.ceil(60 * math.log(2) / -math.log(1.0 - a))) for n, (_, a) in cols.items()}
+    block = max(blocks.values())
+    # Weights inside a block are scaled by keep**-position and must stay finite.
+    if max(-math.log(1.0 - a) for _, a in cols.values()) * block > 500:
+        for name, spec in cols.items():
+            df = decayed_mean(df, by, order, {name: spec})
+        return df
+    unit = [*by, "_b"]
+    pos = (F.col("_i") % block).cast("double")
+    w = Window.partitionBy(*unit).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    keep = {n: F.lit(1.0 - a) for n, (_, a) in cols.items()}
+    rows = row_index(df, by, order, "_i").withColumn("_b", F.floor(F.col("_i") / block))
+    rows = rows.withColumns({f"_y_{n}": v * F.pow(keep[n], -pos) for n, (v, _) in cols.items()})
+    tail = (rows.groupBy(*unit)
+            .agg(*[(F.sum(f"_y_{n}") * F.pow(keep[n], F.lit(block - 1.0))).alias(f"_p_{n}") for n in cols])
+            .withColumn("_b", F.col("_b") + 1))
+    rows = rows.withColumns({f"_s_{n}": F.sum(f"_y_{n}").over(w) * F.pow(keep[n], pos) for n in cols})
+    out = keyed_join(rows, tail, unit, "left")
+    means = {}
+    for n, (_, alpha) in cols.items():
+        total = F.col(f"_s_{n}") + F.pow(keep[n], pos + 1) * F.coalesce(f"_p_{n}", F.lit(0.0))
+        means[n] = total * alpha / (1 - F.pow(keep[n], F.col("_i") + 1))
+    return out.withColumns(means).select(*df.columns, *cols)
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
