@@ -112,12 +112,9 @@ def verification_curve(pairs: DataFrame, same: str, distance: str, fold: str, th
     first = F.greatest(F.lit(0), F.least(F.lit(thresholds), F.floor(F.col(distance) / step).cast("int") + 1))
     cell = pairs.groupBy(F.col(fold).alias("fold"), first.alias("i")).agg(
         F.count_if(F.col(same)).alias("s"), F.count_if(~F.col(same)).alias("d"))
-    grid = pairs.sparkSession.range(thresholds).select(F.col("id").cast("int").alias("i"))
     w = Window.partitionBy("fold").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    totals = cell.groupBy("fold").agg(F.sum("s").alias("p"), F.sum("d").alias("n"),
-                                      F.collect_set("i").alias("_used"))
-    dense = totals.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(thresholds - 1)))).drop("_used")
-    del grid
+    totals = cell.groupBy("fold").agg(F.sum("s").alias("p"), F.sum("d").alias("n"))
+    dense = totals.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(thresholds - 1))))
     full = dense.join(cell, ["fold", "i"], "left").fillna(0, subset=["s", "d"])
     return full.select("fold", (F.col("i") * step).alias("threshold"), "i", F.sum("s").over(w).alias("tp"),
                        F.sum("d").over(w).alias("fp"), "p", "n")

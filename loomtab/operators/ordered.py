@@ -22,7 +22,7 @@ _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join on ``keys`` where NULL keys match each other; keeps left's keys once."""
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
