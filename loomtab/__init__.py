@@ -1 +1,9 @@
 """Table, text, vector and event analytics as functions from DataFrame to DataFrame."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel with their code, so executors need
+# no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
