@@ -9,7 +9,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from loomtab.operators.ordered import exact_quantiles, hot_groups, keyed_join
+from loomtab.operators.ordered import attach, exact_quantiles, hot_groups, keyed_join
 from loomtab.sources.tables import numeric_columns
 
 
@@ -81,13 +81,13 @@ def target_correlations(df: DataFrame, target: str, cols: Sequence[str], by: Seq
 def outlier_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, p1, p99, mean, std, outlier_share): share beyond 3 sample std. Two passes."""
     stats = df.agg(*[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("mean", F.avg), ("std", F.stddev_samp))])
-    packed = stats.select(F.struct(*stats.columns)).scalar()
-    beyond = {c: F.avg((F.abs(F.col(c) - packed[f"{c}_mean"]) > 3 * packed[f"{c}_std"]).cast("double")) for c in cols}
-    shares = df.agg(*[e.alias(f"{c}_share") for c, e in beyond.items()])
-    q = exact_quantiles(df, [], cols, [0.01, 0.99])
-    quant = q.select(F.struct(*q.columns)).scalar()
-    return melt(shares, [], {c: {
-        "p1": quant[f"{c}_q0"], "p99": quant[f"{c}_q1"], "mean": packed[f"{c}_mean"], "std": packed[f"{c}_std"],
+    s = F.col("_s")
+    beyond = {c: F.avg((F.abs(F.col(c) - s[f"{c}_mean"]) > 3 * s[f"{c}_std"]).cast("double")) for c in cols}
+    shares = attach(df.select(*cols), stats).agg(*[e.alias(f"{c}_share") for c, e in beyond.items()])
+    wide = attach(attach(shares, stats), exact_quantiles(df, [], cols, [0.01, 0.99]), "_q")
+    q = F.col("_q")
+    return melt(wide, [], {c: {
+        "p1": q[f"{c}_q0"], "p99": q[f"{c}_q1"], "mean": s[f"{c}_mean"], "std": s[f"{c}_std"],
         "outlier_share": F.col(f"{c}_share")} for c in cols})
 
 

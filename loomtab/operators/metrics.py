@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomtab.operators.ordered import keyed_join, running
+from loomtab.operators.ordered import attach, keyed_join, running
 
 
 def weighted_gini(df: DataFrame, y: str, p: str, tie: str, negative: float = 20.0, share: float = 0.04) -> DataFrame:
@@ -18,8 +18,8 @@ def weighted_gini(df: DataFrame, y: str, p: str, tie: str, negative: float = 20.
     rows = df.select(F.col(y).cast("double").alias("y"), (-F.col(p)).alias("_o"), F.col(tie).alias("_t"),
                      (F.lit(negative) - F.col(y) * (negative - 1)).cast("double").alias("w"))
     cum = running(rows, [], ["_o", "_t"], {"cw": ("sum", F.col("w")), "cy": ("sum", F.col("y") * F.col("w"))})
-    tot = rows.agg(F.struct(F.sum("w").alias("w"), F.sum(F.col("y") * F.col("w")).alias("yw"))).scalar()
-    cw, lz = F.col("cw") / tot["w"], F.col("cy") / tot["yw"]
+    cum = attach(cum, rows.agg(F.sum("w").alias("w"), F.sum(F.col("y") * F.col("w")).alias("yw")))
+    cw, lz = F.col("cw") / F.col("_s.w"), F.col("cy") / F.col("_s.yw")
     out = cum.agg((F.sum(F.when(cw <= share, F.col("y")).otherwise(0.0)) / F.sum("y")).alias("capture"),
                   F.sum((lz - cw) * F.col("w")).alias("g"), F.sum("y").alias("np"),
                   (F.count(F.lit(1)) - F.sum("y")).alias("nn"))
@@ -38,8 +38,8 @@ def roc_points(df: DataFrame, y: str, p: str) -> DataFrame:
     """(score, tp, fp, tpr, fpr) for the cut at each distinct score, highest first."""
     counts = score_counts(df, y, p).withColumn("_o", -F.col("score"))
     cum = running(counts, [], ["_o"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
-    tot = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    return cum.select("score", "pos", "neg", "tp", "fp", (F.col("tp") / tot["p"]).alias("tpr"), (F.col("fp") / tot["n"]).alias("fpr"))
+    cum = attach(cum, counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")))
+    return cum.select("score", "pos", "neg", "tp", "fp", (F.col("tp") / F.col("_s.p")).alias("tpr"), (F.col("fp") / F.col("_s.n")).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtab.operators.neighbors import nearest
 from loomtab.operators.ordered import exact_quantiles
+from loomtab.session import spread
 from loomtab.sources.tables import numeric_columns
 
 _CLASSIFIERS = {
@@ -29,6 +30,11 @@ _CLASSIFIERS = {
 }
 
 
+def _spread_rows(rows: DataFrame) -> DataFrame:
+    """Iterative training reads its rows many times: use every core for them."""
+    return spread(rows.withColumn("_row", F.monotonically_increasing_id()), "_row")
+
+
 def train_classifier(df: DataFrame, target: str, algorithm: str, features: Sequence[str] | None = None,
                      positive_weight: float | None = None, **params) -> PipelineModel:
     """One interface for the binary classifiers; numeric columns minus the target are the features.
@@ -45,7 +51,7 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     rows = df.select(*cols, F.col(target).cast("double").alias("label"),
                      F.when(F.col(target) == 1, float(positive_weight)).otherwise(1.0).alias("weight"))
     model = _CLASSIFIERS[algorithm](labelCol="label", weightCol="weight", featuresCol="features", **params)
-    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), model]).fit(rows)
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), model]).fit(_spread_rows(rows))
 
 
 def save_model(model: PipelineModel, path: str, features: Sequence[str], target: str) -> None:
@@ -73,12 +79,12 @@ def predict_table(model: PipelineModel, df: DataFrame, target: str | None = None
 
 def train_regressor(df: DataFrame, target: str, features: Sequence[str], **params) -> PipelineModel:
     gbt = GBTRegressor(labelCol=target, featuresCol="features", **{"maxIter": 10, "maxDepth": 4, "seed": 1, **params})
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), gbt]).fit(df)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), gbt]).fit(_spread_rows(df))
 
 
 def train_naive_bayes(df: DataFrame, target: str, features: Sequence[str]) -> PipelineModel:
     nb = NaiveBayes(modelType="gaussian", labelCol=target, featuresCol="features")
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), nb]).fit(df)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), nb]).fit(_spread_rows(df))
 
 
 def knn_classify(train: DataFrame, rows: DataFrame | None, key: str, vector: str, label: str, k: int) -> DataFrame:
@@ -116,7 +122,7 @@ def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, k:
 
 def grid_search(df: DataFrame, target: str, features: Sequence[str], depths: Sequence[int], folds: int = 3, parallelism: int = 4) -> DataFrame:
     """(max_depth, mean_score): mean cross-validated area under ROC per value, best first."""
-    rows = _vectors(df, features).select("features", F.col(target).cast("double").alias("label"))
+    rows = _spread_rows(_vectors(df, features).select("features", F.col(target).cast("double").alias("label")))
     tree = RandomForestClassifier(numTrees=10, seed=1)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
     cv = CrossValidator(estimator=tree, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,

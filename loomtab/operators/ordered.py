@@ -26,6 +26,15 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def attach(df: DataFrame, one_row: DataFrame, name: str = "_s") -> DataFrame:
+    """The columns of a one-row frame as a struct beside every row.
+
+    A scalar subquery runs once and is read as a value: no join. It is attached
+    as one column because each further mention of a subquery is planned again.
+    """
+    return df.withColumn(name, one_row.select(F.struct(*one_row.columns)).scalar())
+
+
 def hot_groups(df: DataFrame, by: Sequence[str], limit: int | None = None) -> DataFrame | None:
     """Keys of groups with more than ``limit`` rows, or None when there are none.
 

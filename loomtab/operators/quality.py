@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from loomtab.operators.aggregates import melt
-from loomtab.operators.ordered import exact_quantiles, running
+from loomtab.operators.ordered import attach, exact_quantiles, running
 
 
 # ---- rules -----------------------------------------------------------------
@@ -141,14 +141,14 @@ def metric_constraints(df: DataFrame, limits: dict[str, dict[str, float]]) -> Da
 def psi(reference: DataFrame, new: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """(column, psi) over the reference's quantile bins."""
     q = exact_quantiles(reference, [], cols, [i / bins for i in range(1, bins)])
-    edges = q.select(F.struct(*[F.array(*[F.col(f"{c}_q{i}") for i in range(bins - 1)]).alias(c) for c in cols])).scalar()
 
     def bin_of(c):
-        return F.when(F.col(c).isNotNull(), sum(((F.col(c) > edges[c][i]).cast("int") for i in range(bins - 1)), F.lit(0)))
+        above = [(F.col(c) > F.col("_e")[f"{c}_q{i}"]).cast("int") for i in range(bins - 1)]
+        return F.when(F.col(c).isNotNull(), sum(above, F.lit(0)))
 
     def counted(df, tag):
         cells = [F.struct(F.lit(c).alias("column"), bin_of(c).alias("b")) for c in cols]
-        return df.select(F.inline(F.array(*cells))).where("b is not null").withColumn("side", F.lit(tag))
+        return attach(df.select(*cols), q, "_e").select(F.inline(F.array(*cells))).where("b is not null").withColumn("side", F.lit(tag))
 
     both = counted(reference, "r").unionByName(counted(new, "n")).groupBy("column", "b").agg(
         F.count_if(F.col("side") == "r").alias("r"), F.count_if(F.col("side") == "n").alias("n"))
@@ -164,14 +164,15 @@ def ks_statistic(reference: DataFrame, new: DataFrame, col: str) -> DataFrame:
             .unionByName(new.select(F.col(col).alias("v"), F.lit(0).alias("r"), F.lit(1).alias("n")))
             .where("v is not null").groupBy("v").agg(F.sum("r").alias("r"), F.sum("n").alias("n")))
     cum = running(both, [], ["v"], {"cr": ("sum", F.col("r")), "cn": ("sum", F.col("n"))})
-    tot = both.agg(F.struct(F.sum("r").alias("r"), F.sum("n").alias("n"))).scalar()
-    return cum.agg(F.max(F.abs(F.col("cr") / tot["r"] - F.col("cn") / tot["n"])).alias("ks"))
+    tot = both.agg(F.sum("r").alias("r"), F.sum("n").alias("n"))
+    return attach(cum, tot).agg(F.max(F.abs(F.col("cr") / F.col("_s.r") - F.col("cn") / F.col("_s.n"))).alias("ks"))
 
 
 def drift_report(reference: DataFrame, new: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mean_shift in reference std, psi, ks)."""
-    ref = reference.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])).scalar()
-    means = new.agg(*[F.avg(c).alias(c) for c in cols])
+    about = reference.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    ref = F.col("_s")
+    means = attach(new.agg(*[F.avg(c).alias(c) for c in cols]), about)
     shift = melt(means, [], {c: {"mean_shift": (F.col(c) - ref[f"m_{c}"]) / F.nullif(ref[f"s_{c}"], F.lit(0.0)),
                                  "ks": ks_statistic(reference, new, c).scalar()} for c in cols})
     return shift.join(psi(reference, new, cols), "column")

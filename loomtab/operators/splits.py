@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from loomtab.operators.joins import with_group_stats
-from loomtab.operators.ordered import keyed_join, row_index, running
+from loomtab.operators.ordered import attach, keyed_join, row_index, running
 from loomtab.session import is_small
 
 Quota = Callable[[Column], Column]
@@ -45,8 +45,8 @@ def hash_parts(df: DataFrame, key: str, seed: int, quotas: Sequence[Quota], by:
     if by:
         joined = keyed_join(hashed, cuts, by, "left")
     else:
-        packed = cuts.select(F.struct(*cuts.columns)).scalar()
-        joined = hashed.withColumns({c: packed[c] for c in cuts.columns})
+        joined = attach(hashed, cuts, "_cuts")
+        joined = joined.withColumns({c: F.col("_cuts")[c] for c in cuts.columns}).drop("_cuts")
     beyond = [F.coalesce(F.col("_h") > F.col(f"_cut{i}"), F.lit(True)) for i in range(len(quotas))]
     return (joined.withColumn(name, sum((c.cast("int") for c in beyond), F.lit(0)))
             .drop("_h", *[f"_cut{i}" for i in range(len(quotas))]))
@@ -136,9 +136,9 @@ def time_split(df: DataFrame, order: Sequence[str], test: float) -> DataFrame:
 
 def date_shift_validation(train: DataFrame, test: DataFrame, date: str, days: int = 365) -> DataFrame:
     """Training rows inside the test date range moved back by ``days``: > min and <= max."""
-    span = test.agg(F.struct(F.to_date(F.min(date)).alias("lo"), F.to_date(F.max(date)).alias("hi"))).scalar()
+    span = test.agg(F.date_sub(F.to_date(F.min(date)), days).alias("lo"), F.date_sub(F.to_date(F.max(date)), days).alias("hi"))
     d = F.to_date(date)
-    return train.where((d > F.date_sub(span["lo"], days)) & (d <= F.date_sub(span["hi"], days)))
+    return train.where((d > span.select("lo").scalar()) & (d <= span.select("hi").scalar()))
 
 
 def k_fold(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomtab.operators.joins import with_group_stats
-from loomtab.operators.ordered import carry_last, framed, running
+from loomtab.operators.ordered import attach, carry_last, framed, running
 
 
 def rolling_stats(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], windows: Sequence[int]) -> DataFrame:
@@ -74,9 +74,10 @@ def even_share(df: DataFrame, by: str, total: int) -> int:
 
 def zscore(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - mean) / sample std; unchanged where the std is 0."""
-    stats = df.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))]))
-    s = stats.scalar()
-    return df.withColumns({c: F.when(s[f"s_{c}"] > 0, (F.col(c) - s[f"m_{c}"]) / s[f"s_{c}"]).otherwise(F.col(c)) for c in cols})
+    stats = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_samp))])
+    s = F.col("_s")
+    scaled = {c: F.when(s[f"s_{c}"] > 0, (F.col(c) - s[f"m_{c}"]) / s[f"s_{c}"]).otherwise(F.col(c)) for c in cols}
+    return attach(df, stats).withColumns(scaled).drop("_s")
 
 
 def group_normalized(df: DataFrame, by: Sequence[str], col: str, name: str = "score") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomtab.functions import expr as X
 from loomtab.operators import text as T
 from loomtab.plans.registry import R, query, rnd
+from loomtab.session import spread
 
 STOP = ["the", "of", "and", "in", "to", "a", "is", "that", "it", "for"]
 _STOP = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
@@ -69,7 +70,7 @@ c AS (SELECT doc_id, ls, list_transform(ls, lambda s: CASE WHEN trim(s) = '' OR
 @query("strip_page_chrome", f"""WITH {_LINES} SELECT doc_id, CASE WHEN list_position(ok, true) IS NULL OR list_position(ok, true) = 0 THEN ''
  ELSE regexp_replace(array_to_string(ls[list_position(ok, true):], chr(10)), '^\\s+|\\s+$', '', 'g') END AS text FROM c""")
 def _(t):
-    return t.documents.select("doc_id", T.strip_chrome("text").alias("text"))
+    return spread(t.documents, "doc_id").select("doc_id", T.strip_chrome("text").alias("text"))
 
 
 @query("tokenize_words", rf"""SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}\p{{M}}_]+'), lambda w: NOT list_contains({_STOP}, w)), ' ') AS words FROM documents""")
@@ -99,7 +100,7 @@ def _(t):
 
 @query("lda_topics")
 def _(t):
-    words = t.documents.select("doc_id", T.word_tokens("text", STOP).alias("words"))
+    words = spread(t.documents, "doc_id").select("doc_id", T.word_tokens("text", STOP).alias("words"))
     counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=20_000, minDF=2).fit(words)
     model = LDA(k=5, maxIter=5, seed=1).fit(counter.transform(words))
     vocab = F.array(*[F.lit(w) for w in counter.vocabulary]) if len(counter.vocabulary) < 500 else None
@@ -112,7 +113,7 @@ def _(t):
 
 @query("word2vec")
 def _(t):
-    words = t.documents.select(T.word_tokens("text", STOP).alias("words"))
+    words = spread(t.documents, "doc_id").select(T.word_tokens("text", STOP).alias("words"))
     model = Word2Vec(vectorSize=200, minCount=1, seed=1, inputCol="words", outputCol="v", maxIter=1, numPartitions=8).fit(words)
     seed = words.select(F.explode("words").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").first()["w"]
     return model.findSynonyms(seed, 10)
@@ -151,13 +152,13 @@ WITH w AS (SELECT doc_id, {_WS} AS t FROM documents), f AS (SELECT doc_id, list_
 e AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS i FROM f), p AS (SELECT token, row_number() OVER (ORDER BY doc_id, i) - 1 AS p FROM e)
 SELECT CAST(p // 512 AS BIGINT) AS block, md5(string_agg(token, ' ' ORDER BY p)) AS digest FROM p WHERE p // 512 < (SELECT count(*) // 512 FROM p) GROUP BY 1""")
 def _(t):
-    docs = t.documents.select("doc_id", T.whitespace_tokens("text").alias("t"))
+    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("t"))
     return T.pack_blocks(docs, ["doc_id"], "t", 512).select("block", F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
 @query("pack_best_fit", "SELECT true AS full_rows, true AS short_at_end FROM documents LIMIT 1")
 def _(t):
-    docs = t.documents.select("doc_id", T.whitespace_tokens("text").alias("t"))
+    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("t"))
     rows = T.pack_best_fit(docs, "doc_id", "t", 257, lanes=4)
     last = rows.groupBy("lane").agg(F.max("row").alias("last"))
     n = F.size("tokens")

@@ -9,6 +9,7 @@ from loomtab.functions import expr as X
 from loomtab.operators import metrics as M, neighbors as N, retrieval as V, text as T
 from loomtab.operators.ordered import row_index
 from loomtab.plans.registry import R, query, rnd
+from loomtab.session import spread
 
 _WS = r"CASE WHEN trim(regexp_replace(lower(text), '\s+', ' ', 'g')) = '' THEN [] ELSE string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') END"
 _E = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -41,7 +42,7 @@ def _(t):
 
 @query("batch_embed_hashed", f"SELECT doc_id, CAST(256 AS INTEGER) AS dim, {R('1.0', 3)} AS norm FROM documents WHERE regexp_matches(text, '\\S')")
 def _(t):
-    docs = t.documents.select("doc_id", T.whitespace_tokens("text").alias("tok")).where(F.size("tok") > 0)
+    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("tok")).where(F.size("tok") > 0)
     return V.hashed_vectors(docs, "doc_id", "tok").select("doc_id", F.size("vector").alias("dim"), rnd(X.norm("vector"), 3).alias("norm"))
 
 
@@ -90,7 +91,7 @@ s AS (SELECT item_id, doc_id, sum(CASE WHEN idf < 0 THEN 0.25 * mean ELSE idf EN
 
 
 def _bm25(t, k):
-    return V.bm25_topk(t.documents, "doc_id", T.whitespace_tokens("text"), t.benchmark, "item_id", T.whitespace_tokens("text"), k)
+    return V.bm25_topk(spread(t.documents, "doc_id"), "doc_id", T.whitespace_tokens("text"), t.benchmark, "item_id", T.whitespace_tokens("text"), k)
 
 
 @query("bm25_topk", f"""WITH {_BM} SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS rank, doc_id, {R('score', 5)} AS score FROM s QUALIFY rank <= 10""")
@@ -141,7 +142,7 @@ p AS (SELECT a.id AS a, b.id AS b, any_value(a.c * b.c) AS n_pairs, count(*) / (
 SELECT a, b, {R('similarity', 6)} AS similarity, CAST(n_pairs AS BIGINT) AS n_pairs FROM p WHERE similarity >= 0.6
 UNION ALL SELECT id, id, 1.0, CAST(c * (c - 1) // 2 AS BIGINT) FROM g WHERE c > 1""")
 def _(t):
-    docs = t.documents.select("doc_id", T.whitespace_tokens("text").alias("w"))
+    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("w"))
     return V.jaccard_pairs(docs, "doc_id", "w", 0.6).withColumn("similarity", rnd("similarity", 6))
 
 

@@ -70,7 +70,7 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where it cannot be read."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -81,3 +81,14 @@ def is_small(df: DataFrame, bound: int | None = None) -> bool:
         bound = setting(df.sparkSession, SMALL_BYTES, SMALL_BYTES_DEFAULT)
     size = estimated_bytes(df)
     return size is not None and size <= bound
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores ahead of costly row work, for inputs too small to have enough splits.
+
+    A large table already comes in more splits than there are cores and is left
+    as it is; no shuffle is added to it.
+    """
+    if not is_small(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
