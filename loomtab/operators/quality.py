@@ -17,38 +17,41 @@ from loomtab.operators.ordered import attach, exact_quantiles, running
 
 @dataclass(frozen=True)
 class Rule:
-    """A named row test. ``test`` is true for good rows; NULL passes unless ``required``."""
+    """A named row test. ``test()`` is true for good rows; NULL passes unless ``required``.
+
+    The test is made on use, so contracts can be declared before a session exists.
+    """
     name: str
-    test: Column
+    test: Callable[[], Column]
     required: bool = False
 
     def broken(self) -> Column:
-        return F.coalesce(~self.test, F.lit(self.required))
+        return F.coalesce(~self.test(), F.lit(self.required))
 
 
 def at_least(col: str, low) -> Rule:
-    return Rule(f"{col} >= {low}", F.col(col) >= F.lit(low))
+    return Rule(f"{col} >= {low}", lambda: F.col(col) >= F.lit(low))
 
 
 def at_most(col: str, high) -> Rule:
-    return Rule(f"{col} <= {high}", F.col(col) <= F.lit(high))
+    return Rule(f"{col} <= {high}", lambda: F.col(col) <= F.lit(high))
 
 
 def in_range(col: str, low, high) -> Rule:
-    return Rule(f"{col} in [{low}, {high}]", F.col(col).between(low, high))
+    return Rule(f"{col} in [{low}, {high}]", lambda: F.col(col).between(low, high))
 
 
 def one_of(col: str, values: Sequence) -> Rule:
-    return Rule(f"{col} in {sorted(values)}", F.col(col).isin(list(values)))
+    return Rule(f"{col} in {sorted(values)}", lambda: F.col(col).isin(list(values)))
 
 
 def not_null(col: str) -> Rule:
-    return Rule(f"{col} not null", F.col(col).isNotNull(), True)
+    return Rule(f"{col} not null", lambda: F.col(col).isNotNull(), True)
 
 
-def equals(name: str, left: Column, right: Column, tolerance: float = 1e-6) -> Rule:
-    """Cross-column equality within a tolerance."""
-    return Rule(name, F.abs(left - right) <= tolerance)
+def equals(name: str, left: str, right: str, tolerance: float = 1e-6) -> Rule:
+    """Two SQL expressions over the row agree within a tolerance."""
+    return Rule(name, lambda: F.abs(F.expr(left) - F.expr(right)) <= tolerance)
 
 
 def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
