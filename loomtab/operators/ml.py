@@ -18,7 +18,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtab.operators.neighbors import nearest
-from loomtab.operators.ordered import exact_quantiles
+from loomtab.operators.ordered import exact_quantiles, framed
+from loomtab.operators.windows import top_per_group
 from loomtab.session import spread
 from loomtab.sources.tables import numeric_columns
 
@@ -170,15 +171,14 @@ def forecast_series(df: DataFrame, series: str, date: str, value: str, steps: in
 
 
 def forecast_custom(df: DataFrame, series: str, date: str, value: str, fn: Callable[[np.ndarray, int], np.ndarray], steps: int,
-                    history: int = 5000) -> DataFrame:
+                    history: int = 1000) -> DataFrame:
     """(series, date, forecast) by a function of the newest ``history`` points of each series.
 
     The points are limited before the shuffle, so a long series sends at most
     ``history`` rows per task; ``history`` is the method's look-back.
     """
-    w = Window.partitionBy(series).orderBy(F.desc(date))
-    recent = df.select(series, F.to_date(date).alias(date), F.col(value).cast("double").alias(value)) \
-        .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= history).drop("_r")
+    points = df.select(series, F.to_date(date).alias(date), F.col(value).cast("double").alias(value))
+    recent = top_per_group(points, [series], [F.desc(date)], history)
     kind = df.schema[series].dataType.simpleString()
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
@@ -206,8 +206,6 @@ def ensemble_stats(df: DataFrame, cell: Sequence[str], value: str) -> DataFrame:
 
 def convergence(df: DataFrame, run: str, iteration: str, value: str, threshold: float) -> DataFrame:
     """Change rate against the iteration before and whether it fell below the threshold."""
-    from loomtab.operators.ordered import framed
-
     out = framed(df, [run], [iteration], 1, 0, lambda w: {"_p": F.lag(value).over(w)})
     rate = F.abs(F.col(value) - F.col("_p")) / F.greatest(F.abs("_p"), F.lit(1e-12))
     return out.withColumn("change_rate", rate).withColumn("converged", F.coalesce(rate < threshold, F.lit(False))).drop("_p")

@@ -175,16 +175,27 @@ def _pruned(rows, asked, by, pivots, kinds, k, id_type, self_join):
     first = base.where("_blk = 0")
     seen = _compare(own, first, unit, k, id_type, self_join)
     bound = seen.groupBy("_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_bound"))
-    # Pass 2: every cell that can hold something closer than the bound.
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-
-    def to_pivots(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Pass 2: every cell that can hold something closer than the bound. The widest
+    # radius per pivot (a bounded list) rules most cells out inside the task; the
+    # join with the group's own cells then applies their exact radius.
+    widest = np.full(len(pivots), -np.inf)
+    for row in cells.groupBy("_cell").agg(F.max("_radius").alias("r")).collect():
+        widest[row["_cell"]] = row["r"]
+    shared = rows.sparkSession.sparkContext.broadcast((pivots, widest))
+    names = [f for f in asked.columns]
+
+    def reachable(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, radius = shared.value
         for f in frames:
-            if len(f):
-                yield f.assign(_pd=list(_distances(_matrix(f["_v"]), shared.value)))
+            if not len(f):
+                continue
+            d = _distances(_matrix(f["_v"]), p)
+            bound = f["_bound"].fillna(np.inf).to_numpy(dtype=float)
+            i, j = np.nonzero(d - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-9)
+            yield f[[*names, "_bound"]].iloc[i].assign(_cell=j.astype(np.int32), _dist=d[i, j])
 
-    far = keyed_join(asked, bound, ["_id"], "left").mapInPandas(to_pivots, f"{kinds}, _bound double, _pd array<double>")
-    reach = far.select(*by, "_id", "_v", "_bound", F.posexplode("_pd").alias("_cell", "_dist"))
+    reach = (keyed_join(asked, bound, ["_id"], "left").select(*names, "_bound")
+             .mapInPandas(reachable, f"{kinds}, _bound double, _cell int, _dist double"))
     visits = keyed_join(reach, cells, unit).where(
         F.col("_bound").isNull() | (F.col("_dist") - F.col("_radius") <= F.col("_bound") * (1 + 1e-9) + 1e-9))
     n_visits = visits.groupBy(*unit).agg(F.count(F.lit(1)).alias("_nv"))
@@ -221,18 +232,21 @@ def top_by_scan(base: DataFrame, key: str, vector: str, queries: DataFrame, quer
         for f in frames:
             if not len(f):
                 continue
-            v = _matrix(f["_v"])
-            if metric == "cosine":
-                v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-                bad = -(m @ v.T)
-            else:
-                bad = _distances(m, v)
-            top = min(k, bad.shape[1])
-            kth = np.partition(bad, top - 1, axis=1)[:, top - 1]
-            i, j = np.nonzero(bad <= kth[:, None])
-            new = pd.DataFrame({"q": i, "b": f["_id"].to_numpy()[j], "s": bad[i, j]})
-            both = new if best is None else pd.concat([best, new])
-            best = both.sort_values(["q", "s", "b"], kind="stable").groupby("q", sort=False).head(k)
+            step = max(64, 8_000_000 // len(m))  # keeps the score matrix near 64 MB
+            for s in range(0, len(f), step):
+                piece = f.iloc[s:s + step]
+                v = _matrix(piece["_v"])
+                if metric == "cosine":
+                    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                    bad = -(m @ v.T)
+                else:
+                    bad = _distances(m, v)
+                top = min(k, bad.shape[1])
+                kth = np.partition(bad, top - 1, axis=1)[:, top - 1]
+                i, j = np.nonzero(bad <= kth[:, None])
+                new = pd.DataFrame({"q": i, "b": piece["_id"].to_numpy()[j], "s": bad[i, j]})
+                both = new if best is None else pd.concat([best, new])
+                best = both.sort_values(["q", "s", "b"], kind="stable").groupby("q", sort=False).head(k)
         if best is not None:
             sign = -1.0 if metric == "cosine" else 1.0
             yield pd.DataFrame({query_key: names[best["q"].to_numpy()], key: best["b"].to_numpy(), "score": sign * best["s"].to_numpy()})

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomtab.operators.joins import with_group_stats
 from loomtab.operators.ordered import attach, carry_last, framed, running
+from loomtab.session import is_small
 
 
 def rolling_stats(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], windows: Sequence[int]) -> DataFrame:
@@ -58,10 +59,19 @@ def days_since_flag(df: DataFrame, by: Sequence[str], order: Sequence[str], date
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
-    """First ``k`` rows per group. The rank filter is also applied before the
-    shuffle (group limit), so a hot group sends at most ``k`` rows per task."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    """First ``k`` rows per group, also where one group holds most rows.
+
+    For a small ``k`` the engine applies the rank filter before the shuffle too
+    (group limit). Beyond its threshold the rows are first ranked per input
+    partition, so a task never sorts a whole hot group.
+    """
+    def ranked(frame, keys):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return frame.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+    if k > 1000 and not is_small(df):
+        df = ranked(df.withColumn("_part", F.spark_partition_id()), [*by, "_part"]).drop("_part")
+    return ranked(df, by)
 
 
 def even_share(df: DataFrame, by: str, total: int) -> int:

@@ -176,7 +176,7 @@ def _(t):
 @query("batch_insert", "SELECT r_regionkey, r_name FROM region UNION ALL SELECT r_regionkey, r_name FROM region")
 def _(t):
     path = scratch(t.spark, "staging")
-    rows = t.region.limit(1000).collect()
+    rows = t.region.collect()  # five rows by definition of the table
     columns = {"r_regionkey": [r[0] for r in rows], "r_name": [r[1] for r in rows]}
     for _i in range(2):
         S.batch_insert(t.spark, columns, SCHEMAS["region"], path)

@@ -88,8 +88,8 @@ def _(t):
 
 @query("whitespace_tokens", f"SELECT doc_id, CAST(len({_WS}) AS INTEGER) AS n, array_to_string({_WS}, '|') AS tokens FROM documents")
 def _(t):
-    tok = T.whitespace_tokens("text")
-    return t.documents.select("doc_id", F.size(tok).alias("n"), F.array_join(tok, "|").alias("tokens"))
+    tok = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("t"))
+    return tok.select("doc_id", F.size("t").alias("n"), F.array_join("t", "|").alias("tokens"))
 
 
 @query("bag_of_words", f"""WITH w AS (SELECT item_id, unnest({_WS}) AS token FROM benchmark), d AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS token_id FROM (SELECT DISTINCT token FROM w))
@@ -101,13 +101,10 @@ def _(t):
 @query("lda_topics")
 def _(t):
     words = spread(t.documents, "doc_id").select("doc_id", T.word_tokens("text", STOP).alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=20_000, minDF=2).fit(words)
+    counter = CountVectorizer(inputCol="words", outputCol="features", minDF=1).fit(words)
     model = LDA(k=5, maxIter=5, seed=1).fit(counter.transform(words))
-    vocab = F.array(*[F.lit(w) for w in counter.vocabulary]) if len(counter.vocabulary) < 500 else None
-    top = model.describeTopics(5).select("topic", F.posexplode("termIndices").alias("pos", "term_id"))
-    if vocab is not None:
-        return top.withColumn("word", F.get(vocab, F.col("term_id")))
     names = t.spark.createDataFrame(list(enumerate(counter.vocabulary)), "term_id int, word string")
+    top = model.describeTopics(5).select("topic", F.posexplode("termIndices").alias("pos", "term_id"))
     return top.join(names, "term_id").select("topic", "pos", "word")
 
 

@@ -96,7 +96,7 @@ WITH d AS {_DAY}, w AS (SELECT *, avg(close) OVER (PARTITION BY event_type ORDER
   close / lag(close) OVER (PARTITION BY event_type ORDER BY d) - 1 AS ret FROM d),
 v AS (SELECT *, stddev_samp(ret) OVER (PARTITION BY event_type ORDER BY d ROWS 4 PRECEDING) AS vol FROM w)
 SELECT a.event_type, b.event_type AS other, a.d, {R('a.ma', 5)} AS ma, {R('a.ret', 5)} AS ret, {R('a.vol', 5)} AS vol, {R('a.close - b.close', 5)} AS spread
-FROM v a JOIN v b ON a.d = b.d AND a.event_type < b.event_type""")
+FROM v a JOIN v b ON a.d = b.d AND b.event_type = 'click' AND a.event_type <> 'click'""")
 def _(t):
     d = t.events.groupBy("event_type", F.to_date("ts").alias("d")).agg(F.avg("value").alias("close"))
     return S.sql_query(t.spark, """
@@ -105,7 +105,7 @@ def _(t):
              v AS (SELECT *, stddev_samp(ret) OVER (PARTITION BY event_type ORDER BY d ROWS 4 PRECEDING) AS vol FROM w)
         SELECT a.event_type, b.event_type AS other, a.d, round(a.ma + 1e-9, 5) AS ma, round(a.ret + 1e-9, 5) AS ret,
                round(a.vol + 1e-9, 5) AS vol, round(a.close - b.close + 1e-9, 5) AS spread
-        FROM v a JOIN v b ON a.d = b.d AND a.event_type < b.event_type""", d=d)
+        FROM v a JOIN v b ON a.d = b.d AND b.event_type = 'click' AND a.event_type <> 'click'""", d=d)
 
 
 def _bars(t):

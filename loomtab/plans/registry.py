@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # all times are UTC
             return fn(Tables(spark, sf_dir))
 
         QUERIES[name] = run

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
              sep: str = ",") -> DataFrame:
     """CSV with a declared schema, so no inference pass reads the data twice."""
-    return spark.read.schema(schema).options(header=header, sep=sep, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+    return spark.read.schema(schema).options(header=header, sep=sep).csv(path)
 
 
 def csv_scan_strings(spark: SparkSession, path: str, names: Sequence[str], sep: str = ",",
