@@ -161,9 +161,9 @@ def _(t):
 
 
 @query("bbox_filter", f"SELECT event_id FROM (SELECT event_id, {_LAT} AS lat, {_LON} AS lon FROM events) "
-       "WHERE lat BETWEEN -10 AND 15 AND lon BETWEEN -20 AND 40")
+       "WHERE lat BETWEEN -28 AND 15 AND lon BETWEEN -60 AND 60")
 def _(t):
-    return _place(t).where(X.in_box("lat", "lon", -10, 15, -20, 40)).select("event_id")
+    return _place(t).where(X.in_box("lat", "lon", -28, 15, -60, 60)).select("event_id")
 
 
 @query("unit_scale_coerce", f"SELECT event_id, {R('TRY_CAST(CASE WHEN event_id % 9 = 0 THEN event_type ELSE CAST(value AS VARCHAR) END AS DOUBLE) / 10', 6)} AS v FROM events")
