@@ -81,7 +81,7 @@ def _(t):
 @query("tokenize_lemmas", rf"""WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}\p{{M}}_]+')) AS token FROM documents), d AS (SELECT DISTINCT token FROM w)
 SELECT CASE WHEN token LIKE '%ing' THEN left(token, length(token) - 3) ELSE token END AS token, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY 1""")
 def _(t):
-    words = t.documents.select(F.explode(T.word_tokens("text")).alias("token"))
+    words = T.token_rows(spread(t.documents, "doc_id"), [], T.word_tokens("text"))
     lemmas = words.where(F.col("token").endswith("ing")).distinct().withColumn("lemma", F.expr("substring(token, 1, length(token) - 3)"))
     return T.lemmatize(words, lemmas).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
@@ -119,14 +119,14 @@ def _(t):
 @query("chunk_fixed_overlap", """
 SELECT doc_id, CAST(i // 200 AS INTEGER) AS pos, substring(text, CAST(i + 1 AS BIGINT), 250) AS chunk FROM (SELECT doc_id, text, unnest(range(0, length(text), 200)) AS i FROM documents)""")
 def _(t):
-    return t.documents.select("doc_id", F.posexplode(T.chunks_with_overlap("text", 250, 50)).alias("pos", "chunk"))
+    return T.chunk_rows(t.documents, ["doc_id"], T.chunks_with_overlap("text", 250, 50))
 
 
 @query("chunk_block_skip", """
 SELECT doc_id, CAST(i // 512 AS INTEGER) AS pos, CASE WHEN length(text) < 1024 THEN text ELSE substring(text, CAST(i + 1 AS BIGINT), 1024) END AS chunk
 FROM (SELECT doc_id, text, unnest(CASE WHEN length(text) < 1024 THEN [0] ELSE range(0, length(text), 512) END) AS i FROM documents)""")
 def _(t):
-    return t.documents.select("doc_id", F.posexplode(T.chunks_by_skip("text", 1024, 512)).alias("pos", "chunk"))
+    return T.chunk_rows(t.documents, ["doc_id"], T.chunks_by_skip("text", 1024, 512))
 
 
 @query("chunk_delimiter_merge", "SELECT doc_id, text FROM documents WHERE text <> ''")

@@ -42,7 +42,7 @@ def _(t):
 
 @query("batch_embed_hashed", f"SELECT doc_id, CAST(256 AS INTEGER) AS dim, {R('1.0', 3)} AS norm FROM documents WHERE regexp_matches(text, '\\S')")
 def _(t):
-    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("tok")).where(F.size("tok") > 0)
+    docs = spread(t.documents.where(F.col("text").rlike(r"\S")), "doc_id").select("doc_id", T.whitespace_tokens("text").alias("tok"))
     return V.hashed_vectors(docs, "doc_id", "tok").select("doc_id", F.size("vector").alias("dim"), rnd(X.norm("vector"), 3).alias("norm"))
 
 
