@@ -241,7 +241,7 @@ def grouped_reduce(df: DataFrame, key: str, partial: Callable[[pd.DataFrame], di
         if held:
             yield pd.DataFrame([{key: k, **s} for k, s in held.items()])
 
-    def finish(k, frame: pd.DataFrame) -> pd.DataFrame:
+    def finish(k: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         states = frame[names].to_dict("records")
         total = states[0]
         for s in states[1:]:
