@@ -119,14 +119,14 @@ def _(t):
 @query("chunk_fixed_overlap", """
 SELECT doc_id, CAST(i // 200 AS INTEGER) AS pos, substring(text, CAST(i + 1 AS BIGINT), 250) AS chunk FROM (SELECT doc_id, text, unnest(range(0, length(text), 200)) AS i FROM documents)""")
 def _(t):
-    return T.chunk_rows(t.documents, ["doc_id"], T.chunks_with_overlap("text", 250, 50))
+    return T.chunk_rows(spread(t.documents, "doc_id"), ["doc_id"], T.chunks_with_overlap("text", 250, 50))
 
 
 @query("chunk_block_skip", """
 SELECT doc_id, CAST(i // 512 AS INTEGER) AS pos, CASE WHEN length(text) < 1024 THEN text ELSE substring(text, CAST(i + 1 AS BIGINT), 1024) END AS chunk
 FROM (SELECT doc_id, text, unnest(CASE WHEN length(text) < 1024 THEN [0] ELSE range(0, length(text), 512) END) AS i FROM documents)""")
 def _(t):
-    return T.chunk_rows(t.documents, ["doc_id"], T.chunks_by_skip("text", 1024, 512))
+    return T.chunk_rows(spread(t.documents, "doc_id"), ["doc_id"], T.chunks_by_skip("text", 1024, 512))
 
 
 @query("chunk_delimiter_merge", "SELECT doc_id, text FROM documents WHERE text <> ''")
