@@ -11,7 +11,18 @@ from pyspark.sql.types import StructType
 
 from loomtab.session import scratch
 
-BYTES_PER_STEP = 4 << 20
+BYTES_PER_STEP = 1 << 20
+BYTES_PER_BATCH = 4 << 20
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` over batches bounded by bytes: a few long texts or many short ones take the same memory.
+
+    The bound is a setting of the session and stays set, since it is read when the plan runs.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return df.mapInArrow(run, schema)
 
 
 def text_or_empty(col: str) -> Column:

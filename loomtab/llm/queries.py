@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, packing
+from loomtab.llm import ans, bpe, packing, simhash
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -26,6 +26,11 @@ def op1_bpe_round_trip(t: Tables) -> DataFrame:
         .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op3_simhash_groups")
+def op3_simhash_groups(t: Tables) -> DataFrame:
+    return simhash.near_duplicates(t.documents, shingle=3, distance=3)
+
+
 @query("op6_token_files")
 def op6_token_files(t: Tables) -> DataFrame:
     read = ans.token_files(t.documents, scratch(t.spark, "tokens"), vocabulary("word_bpe_49k.json"), 2)
