@@ -12,13 +12,13 @@ answered from a cache after that. Byte offsets of all tokens are kept.
 from __future__ import annotations
 
 import base64
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm.common import schema_of, steps, text_or_empty, worker_cache
+from loomtab.llm.common import map_batches, schema_of, steps, text_or_empty, worker_cache
+from loomtab.llm.hashing import Known
 
 # The pattern whose boundaries the automaton finds.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -29,7 +29,6 @@ before white space or the end, SHORT and LONG apostrophes of contractions of one
 START, IN_LETTERS, IN_NUMBERS, IN_OTHER, AFTER_SPACE, IN_LOOSE, ONE_LEFT, TWO_LEFT = range(8)
 
 WIDTH = 64
-MAX_PIECES = 400_000
 
 
 def automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -190,47 +189,40 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Pieces(dict):
-    """Piece -> number; the tokens of all numbers lie one after another in ``tokens``."""
+class Pieces:
+    """Answers slices it has seen from a table of their hashes and merges the others."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks, self.tokens, self.ends = ranks, array("i"), array("q", [0])
+        self.ranks, self.known = ranks, Known()
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int32)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
 
-    def __missing__(self, piece: bytes) -> int:
-        self.tokens.extend(merge(piece, self.ranks) if piece else ())
-        self.ends.append(len(self.tokens))
-        self[piece] = number = len(self.ends) - 2
-        return number
+    def encode(self, buffer: bytes, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all slices between cuts, and the count before each slice (and after the last)."""
+        starts, ends = cut[:-1], cut[1:]
 
-    def drop(self) -> None:
-        self.clear()
-        self.tokens, self.ends = array("i"), array("q", [0])
+        def learn(fresh: np.ndarray) -> np.ndarray:
+            return self.known.add([merge(buffer[a:b], self.ranks) if a < b else [] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+
+        return self.known.expand(self.known.numbers(np.frombuffer(buffer, np.uint8), starts, ends, learn))
 
 
 def encode_texts(texts: list[str], splitter: Splitter, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token ids, their byte offsets within each text, and the token count before each text (and after the last)."""
-    if len(pieces) > MAX_PIECES:
-        pieces.drop()
+    if pieces.known.full():
+        pieces.known.drop()
     points = np.concatenate([np.append(np.frombuffer(t.encode("utf-32-le"), np.uint32), np.uint32(0x110000)) for t in texts])
     starts = splitter.boundaries(points)
     width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
     width[points == 0x110000] = 0
-    at = np.append(0, np.cumsum(width))[np.append(starts, len(points))]
-    buffer = "".join(texts).encode()
-    cut = at.tolist()
-    numbers = np.fromiter(map(pieces.__getitem__, [buffer[a:b] for a, b in zip(cut, cut[1:])]), np.int64, len(starts))
-    ends = np.frombuffer(pieces.ends, np.int64)
-    first, count = ends[numbers], ends[numbers + 1] - ends[numbers]
-    before = np.append(0, np.cumsum(count))
-    ids = np.frombuffer(pieces.tokens, np.int32)[np.repeat(first - before[:-1], count) + np.arange(before[-1])]
-    bounds = np.append(0, before[1:][points[starts] == 0x110000])
+    cut = np.append(0, np.cumsum(width))[np.append(starts, len(points))]
+    ids, before = pieces.encode("".join(texts).encode(), cut)
+    closing = points[starts] == 0x110000
+    bounds = np.append(0, before[1:][closing])
     size = pieces.lengths[ids].astype(np.int64)
     offsets = np.cumsum(size) - size
-    text_start = np.append(0, np.cumsum([len(t.encode()) for t in texts]))[:-1]
+    text_start = np.append(0, cut[:-1][closing][:-1])
     return ids, offsets - np.repeat(text_start, np.diff(bounds)), bounds
 
 
@@ -254,7 +246,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str,
                 lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, pa.int32())) for v in (ids, offsets)]
                 yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:-1]] + lists, [*keep, "ids", "offsets"])
 
-    return df.select(*keep, text_or_empty(text).alias("_text")).mapInArrow(run, schema)
+    return map_batches(df.select(*keep, text_or_empty(text).alias("_text")), run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -272,4 +264,4 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", keep: tuple[str, ..
             out = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(out, pa.binary())], [*keep, "decoded"])
 
-    return df.select(*keep, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("_ids")).mapInArrow(run, schema)
+    return map_batches(df.select(*keep, F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("_ids")), run, schema)

@@ -6,6 +6,8 @@ import sys
 import types
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -57,6 +59,12 @@ def steps(sizes, limit: int = BYTES_PER_STEP):
         yield start, len(sizes)
 
 
+def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary per run of ``values`` between two bounds."""
+    offsets = (np.asarray(bounds) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written below the shared folder and read back: a lineage cut that survives lost executors."""
     path = scratch(df.sparkSession, label)
