@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, packing, simhash
+from loomtab.llm import ans, bpe, packing, simhash, suffixes
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -37,6 +37,13 @@ def op6_token_files(t: Tables) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op7_repeated_windows")
+def op7_repeated_windows(t: Tables) -> DataFrame:
+    return suffixes.repeated_spans(t.documents, threshold=50).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_packed_sequences")
 def op8_packed_sequences(t: Tables) -> DataFrame:
     pieces = packing.token_pieces(t.documents, vocabulary("byte_bpe_50k.json"), 0).drop("ids")
