@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, packing, simhash, suffixes
+from loomtab.llm import ans, bpe, packing, simhash, suffixes, vectors
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -31,6 +31,11 @@ def op3_simhash_groups(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents, shingle=3, distance=3)
 
 
+@query("op4_near_vectors")
+def op4_near_vectors(t: Tables) -> DataFrame:
+    return vectors.near_vectors(t.embeddings, cosine=0.98)
+
+
 @query("op6_token_files")
 def op6_token_files(t: Tables) -> DataFrame:
     read = ans.token_files(t.documents, scratch(t.spark, "tokens"), vocabulary("word_bpe_49k.json"), 2)
