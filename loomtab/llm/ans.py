@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomtab.llm.chunks import chunk_encoder
-from loomtab.llm.common import schema_of, steps, stored, text_or_empty
+from loomtab.llm.common import binaries, map_batches, schema_of, steps, stored, text_or_empty
 
 BITS = 20
 LANES = 64
@@ -150,11 +150,11 @@ def token_table(df: DataFrame, tokenizer: str, end: int | None, key: str = "doc_
         for batch in batches:
             column = batch.column(1)
             for a, b in steps(pa.compute.binary_length(column).to_pylist()):
-                ids = [encoder.encode(t, end) for t in column.slice(a, b - a).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(i) for i in ids], pa.int64()),
-                                                  pa.array([i.astype(wide).tobytes() for i in ids], pa.binary())], [key, "n_tokens", "ids"])
+                ids, bounds = encoder.encode(column.slice(a, b - a).to_pylist(), end)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()),
+                                                  binaries(ids.astype(wide), bounds)], [key, "n_tokens", "ids"])
 
-    return df.select(key, text_or_empty(text).alias("_text")).mapInArrow(run, schema)
+    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema)
 
 
 def _unpack(binary, count: int) -> np.ndarray:
@@ -174,7 +174,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "count"])
 
-    return tokens.select("n_tokens", "ids").mapInArrow(run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+    return map_batches(tokens.select("n_tokens", "ids"), run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
 
 
 def write_tokens(tokens: DataFrame, path: str, key: str = "doc_id") -> None:
@@ -229,7 +229,7 @@ def write_tokens(tokens: DataFrame, path: str, key: str = "doc_id") -> None:
         if ids:
             yield flush()
 
-    ordered.mapInArrow(run, schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    map_batches(ordered, run, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -260,7 +260,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                                                   pa.array([c.astype("<u4").tobytes() for c in cut], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     schema = schema_of(blocks.select(F.col("docs")[0].alias("doc_id")), "start long, n_tokens long, ids binary")
-    return blocks.select("docs", "part", "start", "tokens", "payload").mapInArrow(run, schema)
+    return map_batches(blocks.select("docs", "part", "start", "tokens", "payload"), run, schema)
 
 
 def token_files(df: DataFrame, path: str, tokenizer: str, end: int | None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,8 +1,10 @@
-"""Token ids of whole texts by the tokenizers library, with a cache of the chunks it has seen.
+"""Token ids of whole texts by the tokenizers library, which sees every new chunk once.
 
-Both vocabularies cut a text before a white-space run that follows a non-space, whatever
-stands around, so a text is encoded chunk by chunk and equal chunks are encoded once per worker.
-Only plain blanks, tabs and line ends are used as cuts; other white space stays inside its chunk.
+Both kinds of vocabulary cut a text before a white-space run that follows a non-space, and between a
+Latin letter and a following punctuation mark, whatever stands around. Such places are found
+on the bytes, chunks are told apart by hash, and those new to a worker go through the library:
+plain words together, set apart by a control character, all others one by one. Only blanks,
+tabs and line ends count as white space here; any other stays inside its chunk.
 """
 
 from __future__ import annotations
@@ -10,64 +12,137 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
 
 import numpy as np
 
 from loomtab.llm.common import worker_cache
+from loomtab.llm.hashing import Known
 
-MAX_CHUNKS = 400_000
-DROPS_SPACE = re.compile(r"[^ \t\n\r]+")
-KEEPS_SPACE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+(?:[ \t\n\r]+\Z)?|[ \t\n\r]+\Z")
+WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+SPACE, MARK, LATIN = 1, 2, 4
+LONGEST = 1 << 20
 
 
-class ChunkEncoder(dict):
-    """Chunk -> number; tokens of all chunks lie one after another."""
+def byte_kinds() -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    out[list(b" \t\n\r")] = SPACE
+    out[list(b",.!?;:")] = MARK
+    out[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = LATIN
+    return out
 
+
+class ChunkEncoder:
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = chunk_pattern(path).findall
-        self.tokens, self.ends = array("i"), array("q", [0])
-
-    def __missing__(self, chunk: str) -> int:
-        self.tokens.extend(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        self.ends.append(len(self.tokens))
-        self[chunk] = number = len(self.ends) - 2
-        return number
-
-    def encode(self, text: str, end: int | None = None) -> np.ndarray:
-        if len(self) > MAX_CHUNKS:
-            self.clear()
-            self.tokens, self.ends = array("i"), array("q", [0])
-        chunks = self.cut(text)
-        numbers = np.fromiter(map(self.__getitem__, chunks), np.int64, len(chunks))
-        ends = np.frombuffer(self.ends, np.int64)
-        first, count = ends[numbers], ends[numbers + 1] - ends[numbers]
-        before = np.cumsum(count) - count
-        total = int(count.sum())
-        out = np.empty(total + (end is not None), np.uint32)
-        if total:
-            out[:total] = np.frombuffer(self.tokens, np.int32)[np.repeat(first - before, count) + np.arange(total)]
-        if end is not None:
-            out[total] = end
+        self.spaced = keeps_space(path)
+        self.apart = "\x01" if self.spaced else " \x01 "
+        self.apart_id = self.library(["\x01"])[0][0]
+        self.kinds = byte_kinds()
+        self.known = Known()
+
+    def library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def cut(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of chunks; texts start at ``first``."""
+        kind = self.kinds[data]
+        latin = kind == LATIN
+        if len(data) > 1:  # two-byte letters up to U+00FF, without the two signs among them
+            latin[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        space = kind == SPACE
+        start = np.zeros(len(data) + 1, bool)
+        start[first] = True
+        start[1:-1] |= (kind[1:] == MARK) & latin[:-1]
+        start[1:-1] |= space[1:] & ~space[:-1]
+        if not self.spaced:
+            start[1:-1] |= space[:-1] & ~space[1:]
+        starts = np.flatnonzero(start[:-1])
+        ends = np.append(starts[1:], len(data))
+        if not self.spaced and len(starts):
+            chosen = ~space[starts]
+            starts, ends = starts[chosen], ends[chosen]
+        return starts, ends
+
+    def learn(self, chunks: list[str]) -> np.ndarray:
+        plain = np.array([WORD.fullmatch(c) is not None for c in chunks], bool)
+        words = [c for c, p in zip(chunks, plain.tolist()) if p]
+        joined = np.array(self.library([self.apart.join(words)])[0] if words else [], np.int32)
+        cuts = np.append(np.flatnonzero(joined == self.apart_id), len(joined)) if words else np.zeros(0, np.int64)
+        if len(cuts) != len(words):
+            raise AssertionError("the mark between words was not kept")
+        out = np.empty(len(chunks), np.int64)
+        out[plain] = self.known.add_runs(np.delete(joined, cuts[:-1]), np.diff(cuts - np.arange(len(cuts)), prepend=0))
+        out[~plain] = self.known.add(self.library([c for c, p in zip(chunks, plain.tolist()) if not p]))
         return out
 
-
-def chunk_pattern(path: str) -> re.Pattern:
-    """Chunks for a tokenizer file; other kinds of vocabulary than the two described above are refused."""
+    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the count before each text (and after the last); ``end`` closes each text."""
+        if self.known.full():
+            self.known.drop()
+        parts, owner = [], []
+        for i, text in enumerate(texts):
+            for part in pieces(text):
+                parts.append(part.encode())
+                owner.append(i)
+        counts, ids = np.zeros(len(texts), np.int64), []
+        step, held = [], 0
+        for i, part in enumerate(parts):
+            step.append(i)
+            held += len(part)
+            if held > LONGEST or i == len(parts) - 1:
+                got, count = self._encode([parts[j] for j in step])
+                ids.append(got)
+                np.add.at(counts, [owner[j] for j in step], count)
+                step, held = [], 0
+        ids = np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
+        bounds = np.append(0, np.cumsum(counts))
+        if end is None:
+            return ids, bounds
+        out = np.full(len(ids) + len(texts), end, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), counts)] = ids
+        return out, bounds + np.arange(len(texts) + 1)
+
+    def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        whole = b"".join(parts)
+        if not self.spaced:
+            whole = whole.lower()  # as the library will do with A-Z
+        data = np.frombuffer(whole, np.uint8)
+        bounds = np.append(0, np.cumsum([len(p) for p in parts], dtype=np.int64))
+        starts, ends = self.cut(data, bounds[:-1])
+
+        def learn(fresh: np.ndarray) -> np.ndarray:
+            return self.learn([whole[a:b].decode() for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+
+        ids, before = self.known.expand(self.known.numbers(data, starts, ends, learn))
+        return ids, np.diff(before[np.searchsorted(starts, bounds)])
+
+
+def pieces(text: str):
+    """A long text in runs that end before a blank or line end after a non-space; short ones whole."""
+    while len(text) > LONGEST:
+        at = next((m.start() + 1 for m in re.finditer(r"[^ \t\n\r][ \n]", text[LONGEST // 2:])), None)
+        if at is None:
+            break
+        at += LONGEST // 2
+        yield text[:at]
+        text = text[at:]
+    yield text
+
+
+def keeps_space(path: str) -> bool:
+    """True if white space is part of the tokens; other kinds of vocabulary than the two described above are refused."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     before, normal = spec["pre_tokenizer"], spec["normalizer"]
     if before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and normal is None:
-        return KEEPS_SPACE
+        return True
     if normal and any(n.get("pattern") == {"Regex": r"\s+"} for n in normal.get("normalizers", ())) and \
             before["type"] == "Sequence" and before["pretokenizers"][0].get("behavior") == "Removed":
-        return DROPS_SPACE
+        return False
     raise ValueError(f"no rule to cut texts for {path}")
 
 

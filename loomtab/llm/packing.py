@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtab.llm.chunks import chunk_encoder
-from loomtab.llm.common import schema_of, steps, stored, text_or_empty
+from loomtab.llm.common import binaries, map_batches, schema_of, steps, stored, text_or_empty
 
 CAPACITY = 1024
 
@@ -106,18 +106,17 @@ def token_pieces(df: DataFrame, tokenizer: str, end: int, key: str = "doc_id", t
         for batch in batches:
             column = batch.column(1)
             for a, b in steps(pa.compute.binary_length(column).to_pylist()):
-                row, start, size, crc, total, ids_of = [], [], [], [], [], []
-                for i, t in enumerate(column.slice(a, b - a).to_pylist(), a):
-                    ids = encoder.encode(t, end).astype("<u4")
-                    for at in range(0, len(ids), capacity):
-                        part = ids[at:at + capacity].tobytes()
-                        row.append(i)
-                        start.append(at)
-                        size.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        total.append(len(ids))
-                        ids_of.append(part)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64()))] + [pa.array(v, pa.int64()) for v in (start, size, crc, total)]
-                                                 + [pa.array(ids_of, pa.binary())], schema.names)
-
-    return df.select(key, text_or_empty(text).alias("_text")).mapInArrow(run, schema)
+                ids, bounds = encoder.encode(column.slice(a, b - a).to_pylist(), end)
+                total = np.diff(bounds)
+                count = -(-total // capacity)  # the end id leaves no text without a piece
+                row = np.repeat(np.arange(a, b), count)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * capacity
+                total = np.repeat(total, count)
+                size = np.minimum(capacity, total - start)
+                cuts = np.append(0, np.cumsum(size))
+                data = ids.astype("<u4").tobytes()
+                crc = [zlib.crc32(data[4 * x:4 * y]) for x, y in zip(cuts.tolist(), cuts[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row))] + [pa.array(v, pa.int64()) for v in (start, size, crc, total)]
+                                                 + [binaries(ids.astype("<u4"), cuts)], schema.names)
+
+    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema)
