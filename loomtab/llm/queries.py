@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, packing, simhash, suffixes, vectors
+from loomtab.llm import ans, bpe, packing, pages, simhash, sketches, suffixes, vectors
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -36,6 +36,11 @@ def op4_near_vectors(t: Tables) -> DataFrame:
     return vectors.near_vectors(t.embeddings, cosine=0.98)
 
 
+@query("op5_page_texts")
+def op5_page_texts(t: Tables) -> DataFrame:
+    return pages.extract_text(t.pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op6_token_files")
 def op6_token_files(t: Tables) -> DataFrame:
     read = ans.token_files(t.documents, scratch(t.spark, "tokens"), vocabulary("word_bpe_49k.json"), 2)
@@ -53,3 +58,8 @@ def op7_repeated_windows(t: Tables) -> DataFrame:
 def op8_packed_sequences(t: Tables) -> DataFrame:
     pieces = packing.token_pieces(t.documents, vocabulary("byte_bpe_50k.json"), 0).drop("ids")
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op10_edit_sketches")
+def op10_edit_sketches(t: Tables) -> DataFrame:
+    return sketches.edit_fingerprints(t.documents)
