@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, packing, pages, simhash, sketches, suffixes, vectors
+from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vectors
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -26,6 +26,38 @@ def op1_bpe_round_trip(t: Tables) -> DataFrame:
         .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+LINES_SQL = """
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents WHERE text IS NOT NULL),
+filled AS (
+  SELECT doc_id, i, trim(line, ' ') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
+  FROM split WHERE trim(line, ' ') <> ''),
+win AS (
+  SELECT doc_id, p, [s, lead(s, 1) OVER o, lead(s, 2) OVER o] AS w, lead(p, 2) OVER o IS NOT NULL AS whole
+  FROM filled WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+firsts AS (SELECT w, min({'d': doc_id, 'p': p}) AS f FROM win WHERE whole GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, p + k AS p
+  FROM (SELECT win.doc_id, win.p, unnest([0, 1, 2]) AS k FROM win JOIN firsts USING (w) WHERE whole AND {'d': win.doc_id, 'p': win.p} <> f)),
+marked AS (
+  SELECT split.doc_id, split.i, split.line, gone.p IS NOT NULL AS gone
+  FROM split LEFT JOIN filled ON filled.doc_id = split.doc_id AND filled.i = split.i
+  LEFT JOIN gone ON gone.doc_id = filled.doc_id AND gone.p = filled.p),
+kept AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text,
+         count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, k.text, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op2_line_runs", LINES_SQL)
+def op2_line_runs(t: Tables) -> DataFrame:
+    return lines.without_repeated_runs(t.documents, run=3).select("row.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
+
+
 @query("op3_simhash_groups")
 def op3_simhash_groups(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents, shingle=3, distance=3)
@@ -60,6 +92,14 @@ def op8_packed_sequences(t: Tables) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op9_quality_grades")
+def op9_quality_grades(t: Tables) -> DataFrame:
+    model = quality.train(t.documents, quality.ratings(t.labels))
+    graded = quality.grade_documents(t.documents, model)
+    return graded.select("row.doc_id", "expected_grade", F.col("tails")[0].alias("p_grade_1"), F.col("tails")[1].alias("p_grade_2"),
+                         (F.col("tails")[1] >= 0.5).alias("kept"))
+
+
 @query("op10_edit_sketches")
 def op10_edit_sketches(t: Tables) -> DataFrame:
     return sketches.edit_fingerprints(t.documents)
