@@ -22,7 +22,7 @@ def split_lines(text: str) -> Column:
 
 def line_hashes(df: DataFrame, text: str) -> DataFrame:
     """``hashes`` of the lines that are not blank, blanks around them left out."""
-    return df.withColumn("hashes", F.transform(F.filter(F.transform(split_lines(text), F.trim), lambda x: x != ""), lambda x: F.xxhash64(x)))
+    return df.withColumn("hashes", F.transform(F.filter(F.transform(split_lines(text), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
 def windows(docs: DataFrame, run: int) -> DataFrame:

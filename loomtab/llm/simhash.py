@@ -103,12 +103,13 @@ def link_edges(values: DataFrame, distance: int = 3, segments: int = SEGMENTS, d
         F.col("b").alias("value"), F.lit(False).alias("probe"))
 
     def connect(table: pa.Table) -> pa.Table:
-        value, probe = table["value"].to_numpy(), table["probe"].to_numpy()
+        value, probe = table["value"].to_numpy().astype(np.int64), table["probe"].to_numpy()
         inside, asked = np.sort(value[~probe]), np.sort(value[probe])
         out = [np.zeros((2, 0), np.int64)]
         for a in range(0, len(asked), BLOCK):
             part = asked[a:a + BLOCK]
-            out.append(np.array(star_edges(np.bitwise_count(part[:, None] ^ inside[None, :]) <= distance, part, inside)))
+            apart = np.bitwise_count((part[:, None] ^ inside[None, :]).view(np.uint64))  # of signed numbers it would count the absolute value
+            out.append(np.array(star_edges(apart <= distance, part, inside)))
         a, b = np.concatenate(out, axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
