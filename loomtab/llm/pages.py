@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomtab.llm.common import map_batches, steps, text_or_empty
+from loomtab.llm.common import map_batches, steps, stored, text_or_empty
 
 THRESHOLD = 0.3
 MIN_PAGES = 5
@@ -175,6 +175,8 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", page:
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), host_of(url).alias("host"), text_or_empty(page).alias("page"))
     noise = style_tree(pages, url, page).where((F.col("pages") >= min_pages) & (F.col("importance") < threshold)) \
         .groupBy("host").agg(F.collect_list("path").alias("noise"))
+    # Written out, so that the planner knows its size: a small table is broadcast and no page is moved, a large one is joined by host.
+    noise = stored(noise, "style-trees")
     joined = rows.join(noise, "host", "left").select("key", "url", "page", F.coalesce("noise", F.array().cast("array<bigint>")).alias("noise"))
 
     def run(batches):
