@@ -20,11 +20,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from loomtab.operators.neighbors import nearest
 from loomtab.operators.ordered import exact_quantiles, framed
 from loomtab.operators.windows import top_per_group
-from loomtab.session import spread
 from loomtab.sources.tables import numeric_columns
 
 _CLASSIFIERS = {
-    "xgboost": lambda **p: GBTClassifier(**{"maxIter": 20, "maxDepth": 4, "seed": 1, **p}),
+    "boosted_trees_depth_4": lambda **p: GBTClassifier(**{"maxIter": 20, "maxDepth": 4, "seed": 1, **p}),
     "gradient_boosting": lambda **p: GBTClassifier(**{"maxIter": 20, "maxDepth": 3, "seed": 1, **p}),
     "random_forest": lambda **p: RandomForestClassifier(**{"numTrees": 50, "maxDepth": 6, "seed": 1, **p}),
     "logistic_regression": lambda **p: LogisticRegression(**{"maxIter": 50, "regParam": 1e-3, **p}),
@@ -33,7 +32,7 @@ _CLASSIFIERS = {
 
 def _spread_rows(rows: DataFrame) -> DataFrame:
     """Iterative training reads its rows many times: use every core for them."""
-    return spread(rows.withColumn("_row", F.monotonically_increasing_id()), "_row")
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def train_classifier(df: DataFrame, target: str, algorithm: str, features: Sequence[str] | None = None,

@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from loomtab.session import HOT_ROWS, HOT_ROWS_DEFAULT, is_small, materialize, setting
+from loomtab.session import HOT_ROWS, HOT_ROWS_DEFAULT, materialize, setting
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -38,14 +38,14 @@ def attach(df: DataFrame, one_row: DataFrame, name: str = "_s") -> DataFrame:
 def hot_groups(df: DataFrame, by: Sequence[str], limit: int | None = None) -> DataFrame | None:
     """Keys of groups with more than ``limit`` rows, or None when there are none.
 
-    At most rows/limit keys come out, and the count combines map-side.
+    Groups are counted, never estimated. The count combines map-side, and at most
+    rows/limit keys come out of it.
     """
-    if is_small(df):
-        return None
     if limit is None:
         limit = setting(df.sparkSession, HOT_ROWS, HOT_ROWS_DEFAULT)
-    keys = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n"))
-    return None if keys.isEmpty() else keys
+    found = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n")
+    keys = found.collect()
+    return df.sparkSession.createDataFrame(keys, found.schema) if keys else None
 
 
 def split_hot(df: DataFrame, by: Sequence[str], limit: int | None = None) -> tuple[DataFrame, DataFrame | None]:
@@ -100,12 +100,7 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str],
     global order.
     """
     by = list(by)
-    if by:
-        cold, hot = split_hot(df, by)
-    elif is_small(df):
-        cold, hot = df, None
-    else:
-        cold, hot = None, df
+    cold, hot = split_hot(df, by) if by else (None, df)
     parts = []
     if cold is not None:
         w = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(*_sorted(order, reverse))
@@ -200,50 +195,43 @@ def decayed_mean(df: DataFrame, by: Sequence[str], order: Sequence[str],
     return out.withColumns(means).select(*df.columns, *cols)
 
 
+# Ranks this far from the wanted one, as a share of the rows, are sure to enclose it.
+_BRACKET = 4 / 10_000
+_SMALL_GROUP = 16_384
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles per group: columns ``{col}_q{i}`` for each prob.
 
-    Ordinary groups use the built-in exact aggregate, whose state is bounded by
-    the hot-row limit. Hot groups are reduced to counts per distinct value and
-    the two neighbours of each rank are read off the running count.
+    A first pass encloses each wanted rank between two approximate quantiles. A second one counts the rows below and at
+    the lower end and gathers only those strictly between the ends: under a thousandth of the rows, as a
+    value with more rows than that is an end itself. Groups of up to ``_SMALL_GROUP`` values are gathered whole.
+    Groups are never sorted or held in one task.
     """
     by = list(by)
-
-    def builtin(frame):
-        return frame.groupBy(*by).agg(*[
-            F.expr(f"percentile(`{c}`, array({','.join(map(str, probs))}))").alias(c) for c in cols
-        ]).select(*by, *[F.col(c)[i].alias(f"{c}_q{i}") for c in cols for i in range(len(probs))])
-
-    if by:
-        cold, hot = split_hot(df.select(*by, *cols), by)
-    else:
-        small = is_small(df)
-        cold, hot = (df, None) if small else (None, df.select(*cols))
-    parts = [] if cold is None else [builtin(cold)]
-    if hot is not None:
-        parts.append(_quantiles_by_rank(hot, by, cols, probs))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _quantiles_by_rank(df, by, cols, probs):
-    long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_x"))
-    counts = (long.select(*by, "_x._col", "_x._v").where(F.col("_v").isNotNull())
-              .groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    unit = [*by, "_col"]
-    ends = running(counts, unit, ["_v"], {"_end": ("sum", F.col("_n"))})
-    total = counts.groupBy(*unit).agg(F.sum("_n").alias("_total"))
-    at = keyed_join(ends, total, unit).withColumn("_start", F.col("_end") - F.col("_n"))
-    picks = []
-    for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * (F.col("_total") - 1)
-        lo, hi = F.floor(rank), F.ceil(rank)
-        inside = lambda r: (F.col("_start") <= r) & (r < F.col("_end"))
-        low = F.max(F.when(inside(lo), F.col("_v")))
-        high = F.max(F.when(inside(hi), F.col("_v")))
-        frac = F.max(rank - lo)
-        picks.append((low + (high - low) * frac).alias(f"_q{i}"))
-    per_col = at.groupBy(*unit).agg(*picks)
-    return per_col.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_col") == c, F.col(f"_q{i}"))).alias(f"{c}_q{i}")
-        for c in cols for i in range(len(probs))])
+    ends = [x for p in probs for x in (max(0.0, p - _BRACKET), min(1.0, p + _BRACKET))]
+    values = {c: F.col(c).cast("double") for c in cols}
+    first = df.groupBy(*by).agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"_n{i}"), F.percentile_approx(values[c], ends, 10_000).alias(f"_e{i}"))])
+    rows = keyed_join(df.select(*by, *cols), first, by) if by else attach(df.select(*cols), first, "_s")
+    seen = F.col if by else (lambda name: F.col("_s")[name])
+    second, out = [], []
+    for i, c in enumerate(cols):
+        n, v = seen(f"_n{i}"), values[c]
+        second.append(F.max(n).alias(f"_n{i}"))
+        for j, p in enumerate(probs):
+            whole = n <= _SMALL_GROUP
+            low = F.when(whole, F.lit(float("-inf"))).otherwise(F.get(seen(f"_e{i}"), F.lit(2 * j)))
+            high = F.when(whole, F.lit(float("inf"))).otherwise(F.get(seen(f"_e{i}"), F.lit(2 * j + 1)))
+            tag = f"{i}_{j}"
+            second += [F.max(low).alias(f"_l{tag}"), F.max(high).alias(f"_h{tag}"), F.count_if(v < low).alias(f"_b{tag}"),
+                       F.count_if(v == low).alias(f"_a{tag}"), F.sort_array(F.collect_list(F.when((v > low) & (v < high), v))).alias(f"_m{tag}")]
+            rank = F.lit(float(p)) * (F.col(f"_n{i}") - 1)
+
+            def at(place, tag=tag):
+                past = place - F.col(f"_b{tag}") - F.col(f"_a{tag}")
+                return F.when(past < 0, F.col(f"_l{tag}")).when(past < F.size(f"_m{tag}"), F.get(F.col(f"_m{tag}"), past.cast("int"))).otherwise(F.col(f"_h{tag}"))
+
+            lower, upper = at(F.floor(rank)), at(F.ceil(rank))
+            out.append(F.when(F.col(f"_n{i}") > 0, lower + F.when(F.floor(rank) == F.ceil(rank), 0.0).otherwise((upper - lower) * (rank - F.floor(rank)))).alias(f"{c}_q{j}"))
+    return rows.groupBy(*by).agg(*second).select(*by, *out)

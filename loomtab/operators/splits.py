@@ -12,16 +12,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from loomtab.operators.joins import with_group_stats
 from loomtab.operators.ordered import attach, keyed_join, row_index, running
-from loomtab.session import is_small
 
 Quota = Callable[[Column], Column]
 
 
 def seeded_key(key: Column | str, seed: int | str) -> Column:
+    """Hash of a key and the seed; NULL is a key of its own."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(key.cast("string"), F.lit(str(seed))))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("\0")), F.lit(str(seed))))
 
 
 def hash_parts(df: DataFrame, key: str, seed: int, quotas: Sequence[Quota], by: Sequence[str] = (),
@@ -29,47 +28,47 @@ def hash_parts(df: DataFrame, key: str, seed: int, quotas: Sequence[Quota], by:
     """Number the rows of each group by cumulative quota in hash order.
 
     ``quotas`` map the group's row count to the upper end of part 0, 1, ...;
-    rows beyond the last quota get ``len(quotas)``.
+    rows beyond the last quota get ``len(quotas)``. Rows with equal keys, NULL
+    keys among them, follow the hash of the whole row; rows equal in all columns
+    are interchangeable. Parts are exact at every size: a histogram of hash
+    prefixes finds the bucket in which a quota ends, its rows alone are ranked.
     """
     by = list(by)
-    hashed = df.withColumn("_h", seeded_key(key, seed))
-    if is_small(df):
-        w = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_h")
-        ranked = with_group_stats(hashed, by, F.count(F.lit(1)).alias("_n")) if by else \
-            hashed.withColumn("_n", df.agg(F.count(F.lit(1))).scalar())
-        ranked = ranked.withColumn("_r", F.row_number().over(w))
-        reached = [F.col("_r") > q(F.col("_n")).cast("long") for q in quotas]
-        part = sum((c.cast("int") for c in reached), F.lit(0))
-        return ranked.withColumn(name, part).drop("_h", "_r", "_n")
-    cuts = _hash_cuts(hashed.select(*by, "_h"), by, quotas)
+    hashed = df.withColumns({"_h": seeded_key(key, seed), "_t": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])}) \
+        .withColumn("_b", F.substring("_h", 1, 4))
+    borders = _hash_borders(hashed.select(*by, "_b"), by, quotas)
     if by:
-        joined = keyed_join(hashed, cuts, by, "left")
+        joined = keyed_join(hashed, borders, by, "left")
     else:
-        joined = attach(hashed, cuts, "_cuts")
-        joined = joined.withColumns({c: F.col("_cuts")[c] for c in cuts.columns}).drop("_cuts")
-    beyond = [F.coalesce(F.col("_h") > F.col(f"_cut{i}"), F.lit(True)) for i in range(len(quotas))]
-    return (joined.withColumn(name, sum((c.cast("int") for c in beyond), F.lit(0)))
-            .drop("_h", *[f"_cut{i}" for i in range(len(quotas))]))
-
-
-def _hash_cuts(base: DataFrame, by: list[str], quotas: Sequence[Quota]) -> DataFrame:
-    """(by..., _cut0, ...): the largest hash inside each quota, NULL for an empty one."""
-    base = base.withColumn("_b", F.substring("_h", 1, 4))
+        joined = attach(hashed, borders, "_cuts")
+        joined = joined.withColumns({c: F.col("_cuts")[c] for c in borders.columns}).drop("_cuts")
+    at_border = F.array_contains(F.array(*[F.coalesce(f"_b{i}", F.lit("")) for i in range(len(quotas))]), F.col("_b"))
+    ranked = joined.where(at_border).withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", "_t")))
+    every = joined.where(~at_border).withColumn("_r", F.lit(0)).unionByName(ranked)
+    beyond = [F.coalesce((F.col("_b") > F.col(f"_b{i}")) | ((F.col("_b") == F.col(f"_b{i}")) & (F.col("_r") > F.col(f"_need{i}"))), F.lit(True))
+              for i in range(len(quotas))]
+    return every.withColumn(name, sum((c.cast("int") for c in beyond), F.lit(0))).select(*df.columns, name)
+
+
+def _hash_borders(base: DataFrame, by: list[str], quotas: Sequence[Quota]) -> DataFrame:
+    """(by..., _b0, _need0, ...): the bucket in which each quota ends and how many of its rows are inside; NULL for an empty quota."""
     hist = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     ends = hist.withColumn("_end", F.sum("_c").over(w))  # at most 65536 rows per group
     totals = hist.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    out = totals
+    ends = keyed_join(ends, totals, by) if by else ends.withColumn("_n", totals.select("_n").scalar())
+    found = []
     for i, quota in enumerate(quotas):
-        want = totals.withColumn("_q", F.least(quota(F.col("_n")).cast("long"), F.col("_n")))
-        at = keyed_join(ends, want, by) if by else ends.withColumn("_q", want.select("_q").scalar())
-        border = at.where((F.col("_end") >= F.col("_q")) & (F.col("_end") - F.col("_c") < F.col("_q"))) \
-            .select(*by, "_b", (F.col("_q") - (F.col("_end") - F.col("_c"))).alias("_need"))
-        edge = keyed_join(base, border, [*by, "_b"])
-        rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h"))
-        cut = edge.withColumn("_r", rank).where("_r = _need").select(*by, F.col("_h").alias(f"_cut{i}"))
-        out = keyed_join(out, cut, by, "left") if by else out.withColumn(f"_cut{i}", cut.select(f"_cut{i}").scalar())
-    return out.drop("_n")
+        q = F.least(quota(F.col("_n")).cast("long"), F.col("_n"))
+        here = (F.col("_end") >= q) & (F.col("_end") - F.col("_c") < q)
+        found += [F.max(F.when(here, F.col("_b"))).alias(f"_b{i}"), F.max(F.when(here, q - (F.col("_end") - F.col("_c")))).alias(f"_need{i}")]
+    return ends.groupBy(*by).agg(*found)
+
+
+def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
+    """Rows whose seeded hash lies in the first ``fraction`` of all hashes: the same for every run and partitioning."""
+    bound = format(int(fraction * 16**8), "08x")
+    return df if fraction >= 1 else df.where(seeded_key(key, seed) < bound)
 
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:

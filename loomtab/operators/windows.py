@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomtab.operators.joins import with_group_stats
 from loomtab.operators.ordered import attach, carry_last, framed, running
-from loomtab.session import is_small
 
 
 def rolling_stats(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], windows: Sequence[int]) -> DataFrame:
@@ -69,7 +68,7 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
         w = Window.partitionBy(*keys).orderBy(*order)
         return frame.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
-    if k > 1000 and not is_small(df):
+    if k > 1000:
         df = ranked(df.withColumn("_part", F.spark_partition_id()), [*by, "_part"]).drop("_part")
     return ranked(df, by)
 

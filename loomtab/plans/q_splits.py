@@ -17,9 +17,9 @@ def _(t):
     return t.orders.orderBy(F.desc("o_orderkey")).limit(3).select("o_orderkey", "o_totalprice")
 
 
-@query("sample_fraction")
+@query("sample_fraction", "SELECT o_orderkey, o_totalprice FROM orders WHERE md5(CAST(o_orderkey AS VARCHAR) || '42') < '33333333'")
 def _(t):
-    return t.orders.sample(False, 0.2, 42).select("o_orderkey", "o_totalprice")
+    return P.sample_fraction(t.orders, "o_orderkey", 0.2, 42).select("o_orderkey", "o_totalprice")
 
 
 @query("sample_exact_n", "SELECT event_id, value FROM events ORDER BY md5(CAST(event_id AS VARCHAR) || '7') LIMIT 500")

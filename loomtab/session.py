@@ -16,12 +16,7 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
-# Frames whose scans are estimated below this many bytes fit one task, so the
-# skew probe is skipped for them.
-SMALL_BYTES = "loomtab.small.bytes"
-SMALL_BYTES_DEFAULT = 256 * 1024 * 1024
-
-# A group with more rows than this is cut over several tasks.
+# A group with more rows than this, by its own count, is cut over several tasks.
 HOT_ROWS = "loomtab.hot.rows"
 HOT_ROWS_DEFAULT = 5_000_000
 
@@ -40,25 +35,31 @@ def setting(spark: SparkSession, key: str, default: int) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees, as named by ``spark.checkpoint.dir``.
+    """The folder every executor sees: ``spark.checkpoint.dir``, or the directory set with ``setCheckpointDir``.
 
-    Only where the cluster names none (unit tests on one machine) a local
-    folder is made and set as the checkpoint directory.
+    Only where the driver and all tasks are one machine (a local master, as in unit tests) and none is
+    named, a local folder is made and set. Elsewhere a missing folder is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    own = spark.conf.get("loomtab.scratch.dir", None)
-    if not own:
-        own = tempfile.mkdtemp(prefix="loomtab-")
-        spark.conf.set("loomtab.scratch.dir", own)
-        spark.sparkContext.setCheckpointDir(own)
-    return own
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("loomtab.scratch.dir", None)
+    if not named:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        named = given.get() if given.isDefined() else None
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        named = tempfile.mkdtemp(prefix="loomtab-")
+        spark.conf.set("loomtab.scratch.dir", named)
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/loomtab/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/loomtab/{label}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -67,28 +68,11 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where it cannot be read."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def is_small(df: DataFrame, bound: int | None = None) -> bool:
-    """True when the plan's estimate is at or below the one-task bound."""
-    if bound is None:
-        bound = setting(df.sparkSession, SMALL_BYTES, SMALL_BYTES_DEFAULT)
-    size = estimated_bytes(df)
-    return size is not None and size <= bound
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores ahead of costly row work, for inputs too small to have enough splits.
+    """Rows of a scan over all cores ahead of costly row work, where the scan has fewer splits than there are cores.
 
-    A large table already comes in more splits than there are cores and is left
-    as it is; no shuffle is added to it.
+    A large table already comes in more splits and is left as it is; no shuffle is added to it. The number of
+    splits is that of the files, not an estimate.
     """
-    if not is_small(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

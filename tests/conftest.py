@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from loomtab.session import HOT_ROWS, SMALL_BYTES, build_session  # noqa: E402
+from loomtab.session import HOT_ROWS, build_session  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,11 +32,9 @@ def tables(spark, sf_dir):
 
 @pytest.fixture
 def hot(spark):
-    """Every frame counts as large and every group above 20 rows as hot."""
-    spark.conf.set(SMALL_BYTES, "-1")
+    """Every group above 20 rows counts as hot."""
     spark.conf.set(HOT_ROWS, "20")
     yield
-    spark.conf.unset(SMALL_BYTES)
     spark.conf.unset(HOT_ROWS)
 
 

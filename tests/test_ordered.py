@@ -4,7 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from conftest import same
 from loomtab.operators import indicators as I, joins as J, ordered as O, splits as P, windows as W
-from loomtab.session import HOT_ROWS, SMALL_BYTES
+from loomtab.session import HOT_ROWS
 
 
 def _skewed(tables):
@@ -73,7 +73,6 @@ def test_decayed_mean_hot(tables, hot, spark):
     bars = I.bars(tables.events, "event_type", "ts", "value", "hour")
     cut = I.macd(bars)
     rows = cut.collect()
-    spark.conf.unset(SMALL_BYTES)
     spark.conf.unset(HOT_ROWS)
     same(spark.createDataFrame(rows, cut.schema), I.macd(bars))
 
@@ -85,15 +84,25 @@ def test_quantiles(tables, hot):
     same(O.exact_quantiles(e, [], ["value"], [0.25]), e.agg(F.expr("percentile(value, 0.25)").alias("value_q0")))
 
 
-def test_splits_same_on_both_paths(spark, tables):
-    e = _skewed(tables).select("event_id", "user_id")
-    quotas = [lambda n: F.floor(n * 0.1), lambda n: F.floor(n * 0.4), lambda _: F.lit(17)]
-    for by in ([], BY):
-        plain = P.hash_parts(e, "event_id", 3, quotas[:2], by).collect()
-        spark.conf.set(SMALL_BYTES, "-1")
-        cut = P.hash_parts(e, "event_id", 3, quotas[:2], by).collect()
-        spark.conf.unset(SMALL_BYTES)
-        assert sorted(map(tuple, plain)) == sorted(map(tuple, cut))
+def test_quantiles_of_large_groups_and_ties(spark):
+    df = spark.range(150_000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 < 3, F.lit(7.0)).otherwise(F.xxhash64("id") % 1000 / 7).alias("v"),
+                                    F.when(F.col("id") % 2 == 0, F.col("id")).alias("w"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    want = [F.expr(f"percentile({c}, {p})").alias(f"{c}_q{i}") for c in "vw" for i, p in enumerate(probs)]
+    same(O.exact_quantiles(df, ["g"], ["v", "w"], probs), df.groupBy("g").agg(*want))
+    same(O.exact_quantiles(df, [], ["v", "w"], probs), df.agg(*want))
+
+
+def test_parts_are_exact_for_null_and_repeated_keys(spark):
+    rows = [(None, i, "a") for i in range(10)] + [(5, 0, "a")] * 30 + [(i, i, "b") for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, v int, c string").repartition(4)
+    assert P.sample_exact(df, "k", 10, 3).count() == 10 and P.sample_exact(df, "k", 35, 3).count() == 35
+    parts = P.hash_parts(df, "k", 1, [lambda n: F.floor(n * 0.1), lambda n: F.floor(n * 0.4)]).groupBy("part").count()
+    assert {r[0]: r[1] for r in parts.collect()} == {0: 10, 1: 30, 2: 60}
+    split = {(r[0], r[1]): r[2] for r in P.stratified_split(df, "c", "k", 0.25, 2).groupBy("c", "split").count().collect()}
+    assert split == {("a", "test"): 10, ("a", "train"): 30, ("b", "test"): 15, ("b", "train"): 45}
+    again = P.hash_parts(df.repartition(7), "k", 1, [lambda n: F.floor(n * 0.1)])
+    same(again, P.hash_parts(df, "k", 1, [lambda n: F.floor(n * 0.1)]))
 
 
 def test_empty_quota_takes_nothing(spark, tables, hot):
@@ -116,7 +125,6 @@ def test_asof_hot(tables, hot, spark):
     right = e.where("event_type = 'signup'").select("user_id", "ts", F.col("value").alias("v"))
     got = J.asof_join(left, right, "user_id", "ts", "ts", ["v"], 86_400)
     rows = got.collect()
-    spark.conf.unset(SMALL_BYTES)
     spark.conf.unset(HOT_ROWS)
     same(spark.createDataFrame(rows, got.schema), J.asof_join(left, right, "user_id", "ts", "ts", ["v"], 86_400))
 
