@@ -16,7 +16,17 @@ _STOP = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 _WS = r"CASE WHEN trim(regexp_replace(lower(text), '\s+', ' ', 'g')) = '' THEN [] ELSE string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') END"
 
 
-@query("html_to_text")
+_HIDDEN = ["(?s)<!--.*?-->", *(f"(?s)<{tag}[ >].*?</{tag}>" for tag in ("script", "style", "head", "noscript", "nav", "footer"))]
+_SHOWN = "html"
+for _pattern in _HIDDEN:
+    _SHOWN = f"regexp_replace({_SHOWN}, '{_pattern}', '<>', 'g')"
+_DECODED = "s"
+for _mark, _sign in (("&quot;?", '"'), ("&lt;?", "<"), ("&gt;?", ">"), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
+    _DECODED = f"regexp_replace({_DECODED}, '{_mark}', '{_sign}', 'g')"
+
+
+@query("html_to_text", f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split_regex({_SHOWN}, '<[^>]*>'), lambda s: trim({_DECODED}, E' \\t\\n\\r')), lambda s: s <> ''), chr(10)) AS text
+FROM pages""")
 def _(t):
     return T.html_to_text(t.pages, "page_id", "html")
 

@@ -14,27 +14,23 @@ def _(t):
     return t.events.select("event_id", rnd(U.series_udf(lambda s: s * 2 + 1, "double")("value")).alias("v"))
 
 
-def _days_since_error(frames):
-    user, last = None, None
+def _errors_so_far(frames):
+    """Running count per user over sorted batches; the last user's count goes on in the next batch."""
+    user, count = None, 0
     for f in frames:
-        out = []
-        for u, d, kind in zip(f["user_id"], f["d"], f["event_type"]):
-            if u != user:
-                user, last = u, d
-            if kind == "error":
-                last = d
-            out.append((d - last).days)
-        yield pd.DataFrame({"event_id": f["event_id"], "after_error": out}).astype({"after_error": "int32"})
+        if not len(f):
+            continue
+        run = (f["event_type"] == "error").astype("int64").groupby(f["user_id"], sort=False, dropna=False).cumsum()
+        run += (f["user_id"] == user).astype("int64") * count
+        yield pd.DataFrame({"event_id": f["event_id"], "errors": run})
+        user, count = f["user_id"].iloc[-1], int(run.iloc[-1])
 
 
-_W = "(PARTITION BY user_id ORDER BY ts, event_id)"
-
-
-@query("partition_function", f"""WITH e AS (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS d, event_type = 'error' AS f FROM events)
-SELECT event_id, CAST(date_diff('day', coalesce(max(CASE WHEN f THEN d END) OVER {_W}, min(d) OVER {_W}), d) AS INTEGER) AS after_error FROM e""")
+@query("partition_function", """SELECT event_id, CAST(count(*) FILTER (event_type = 'error') OVER
+ (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS errors FROM events""")
 def _(t):
-    rows = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("d"), "event_type")
-    return U.sorted_partition_map(rows, ["user_id"], ["ts", "event_id"], _days_since_error, "event_id long, after_error int")
+    rows = t.events.select("event_id", "user_id", "ts", "event_type")
+    return U.sorted_partition_map(rows, ["user_id"], ["ts", "event_id"], _errors_so_far, "event_id long, errors long")
 
 
 def _per_unit(x, scale):
