@@ -29,9 +29,14 @@ def _out(t):
 
 
 def _closed(t):
+    """The landed events with a heartbeat behind them, one file at a time."""
     path = _land(t)
     S.heartbeat(t.spark, path, _SCHEMA, "ts", "2030-01-01")
-    return path
+    return S.arriving(t.spark, path, S.with_beat(_SCHEMA), 1)
+
+
+def _data(t, path):
+    return t.spark.read.parquet(path).where(F.col(S.BEAT).isNull())
 
 
 @query("file_arrival_stream", "SELECT event_id, event_type, value FROM events")
@@ -63,8 +68,8 @@ def _(t):
 @query("tumbling_counts", f"SELECT date_trunc('hour', ts) AS start, event_type, CAST(count(*) AS BIGINT) AS n, {R('sum(value)', 3)} AS total, true AS bounded FROM events GROUP BY 1, 2")
 def _(t):
     out, ck = _out(t)
-    S.append_run(S.tumbling(S.arriving(t.spark, _closed(t), _SCHEMA, 1), "ts", ["event_type"], "value", "user_id", "1 hour", "1 hour"), out, ck)
-    return t.spark.read.parquet(out).where("event_type is not null").select(
+    S.append_run(S.tumbling(_closed(t), "ts", ["event_type", S.BEAT], "value", "user_id", "1 hour", "1 hour"), out, ck)
+    return _data(t, out).select(
         "start", "event_type", "n", rnd("total", 3).alias("total"), F.col("approx_distinct").between(1, F.col("n") + 1).alias("bounded"))
 
 
@@ -72,8 +77,8 @@ def _(t):
 FROM events, range(0, 6) r(i) GROUP BY 1, 2""")
 def _(t):
     out, ck = _out(t)
-    S.append_run(S.sliding(S.arriving(t.spark, _closed(t), _SCHEMA, 1), "ts", ["event_type"], "value", "6 hours", "1 hour", "1 hour"), out, ck)
-    return t.spark.read.parquet(out).where("event_type is not null").select("start", "event_type", rnd("mean", 5).alias("mean"), "low", "high", "n")
+    S.append_run(S.sliding(_closed(t), "ts", ["event_type", S.BEAT], "value", "6 hours", "1 hour", "1 hour"), out, ck)
+    return _data(t, out).select("start", "event_type", rnd("mean", 5).alias("mean"), "low", "high", "n")
 
 
 @query("session_activity", f"""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS cut FROM events),
@@ -81,8 +86,8 @@ s AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g)
 SELECT user_id, min(ts) AS start, CAST(count(*) AS BIGINT) AS n, {R('sum(value)', 3)} AS total FROM s GROUP BY user_id, sid""")
 def _(t):
     out, ck = _out(t)
-    S.append_run(S.sessions(S.arriving(t.spark, _closed(t), _SCHEMA, 1), "ts", "user_id", "value", "6 hours", "1 hour"), out, ck)
-    return t.spark.read.parquet(out).where("user_id is not null").select("user_id", "start", "n", rnd("total", 3).alias("total"))
+    S.append_run(S.sessions(_closed(t), "ts", ["user_id", S.BEAT], "value", "6 hours", "1 hour"), out, ck)
+    return _data(t, out).select("user_id", "start", "n", rnd("total", 3).alias("total"))
 
 
 _LATE = "event_type = 'error' AND ts < TIMESTAMP '2024-01-20'"

@@ -145,7 +145,9 @@ def parse_fixed_width(lines: DataFrame, spans: dict[str, tuple[int, int, str]],
 
 def fasta_scan(spark: SparkSession, path: str) -> DataFrame:
     """(record_id, sequence) from ``>``-headed files, split on the record mark."""
-    records = spark.read.option("lineSep", ">").text(path).where(F.length(F.trim("value")) > 0)
+    # A mark inside a header line is part of it: records start at a mark at the start of a line.
+    records = spark.read.option("lineSep", "\n>").text(path).where(F.length(F.trim("value")) > 0)
+    records = records.select(F.regexp_replace("value", "^\\s*>", "").alias("value"))
     head = F.substring_index("value", "\n", 1)
     body = F.expr("substring(value, length(substring_index(value, '\n', 1)) + 2)")
     return records.select(F.trim(head).alias("record_id"), F.regexp_replace(body, r"\s", "").alias("sequence"))

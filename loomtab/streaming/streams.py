@@ -59,16 +59,27 @@ def sliding(stream: DataFrame, ts: str, keys: Sequence[str], value: str, length:
     return agg.select(F.col("window.start").alias("start"), *keys, "mean", "low", "high", "n")
 
 
-def sessions(stream: DataFrame, ts: str, key: str, value: str, gap: str, delay: str) -> DataFrame:
-    agg = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("s"), key).agg(
+def sessions(stream: DataFrame, ts: str, keys: Sequence[str], value: str, gap: str, delay: str) -> DataFrame:
+    agg = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("s"), *keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-    return agg.select(key, F.col("s.start").alias("start"), "n", "total")
+    return agg.select(*keys, F.col("s.start").alias("start"), "n", "total")
+
+
+BEAT = "_beat"
+"""Column that only a heartbeat row fills: group by it as well, and take the groups where it is NULL."""
+
+
+def with_beat(schema: str) -> str:
+    return f"{schema}, {BEAT} boolean"
 
 
 def heartbeat(spark: SparkSession, path: str, schema: str, ts: str, at: str) -> None:
-    """Land one row that holds only a late time, so every open window before it closes."""
-    row = spark.range(1).select(F.lit(at).cast("timestamp").alias(ts))
-    empty = spark.createDataFrame([], schema)
+    """Land one row that holds a late time and its mark, so every open window before it closes.
+
+    The mark keeps it apart from all data, rows with NULL keys included.
+    """
+    row = spark.range(1).select(F.lit(at).cast("timestamp").alias(ts), F.lit(True).alias(BEAT))
+    empty = spark.createDataFrame([], with_beat(schema))
     empty.unionByName(row, allowMissingColumns=True).select(*empty.columns).write.mode("append").parquet(path)
 
 
