@@ -170,7 +170,7 @@ def forecast_series(df: DataFrame, series: str, date: str, value: str, steps: in
 
 
 def forecast_custom(df: DataFrame, series: str, date: str, value: str, fn: Callable[[np.ndarray, int], np.ndarray], steps: int,
-                    history: int = 1000) -> DataFrame:
+                    history: int) -> DataFrame:
     """(series, date, forecast) by a function of the newest ``history`` points of each series.
 
     The points are limited before the shuffle, so a long series sends at most

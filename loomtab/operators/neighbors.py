@@ -1,6 +1,7 @@
 """Exact nearest neighbours as a pruned block join.
 
-Rows are put into cells around a bounded number of pivots. A first pass bounds
+Rows are put into cells around pivots, whose number grows with the square root of the
+rows: the pivots of ten billion rows are 25,000, some MB, and a cell has a few hundred thousand rows. A first pass bounds
 each row's k-th distance inside its own cell; the row is then sent only to cells whose
 nearest possible point is within that bound (triangle inequality), so nothing is
 dropped and far cells are never visited. Both sides of a cell are cut into
@@ -11,6 +12,7 @@ block with one block in numpy and emits only the k best per row, never all pairs
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,8 @@ from loomtab.operators.ordered import keyed_join
 from loomtab.session import materialize
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 256
+QUERY_BLOCK = 20_000
+"""Queries that go to the tasks as one matrix."""
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -61,7 +64,7 @@ def _with_cell(rows: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
     return rows.mapInPandas(run, f"{kind}, _cell int, _d double")
 
 
-def _best(query: pd.DataFrame, base: pd.DataFrame, k: int, skip_self: bool) -> pd.DataFrame:
+def _best(query: pd.DataFrame, base: pd.DataFrame, k: int) -> pd.DataFrame:
     """k nearest base rows per query row: (_id, neighbor, distance)."""
     qi, bi = query["_id"].to_numpy(), base["_id"].to_numpy()
     out = []
@@ -69,8 +72,6 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, k: int, skip_self: bool) -> p
     for s in range(0, len(query), 1024):
         part = slice(s, s + 1024)
         d = _distances(_matrix(query["_v"].iloc[part]), b)
-        if skip_self:
-            d[qi[part][:, None] == bi[None, :]] = np.inf
         m = min(k, d.shape[1])
         # the m-th distance keeps every tie, so the id decides later
         kth = np.partition(d, m - 1, axis=1)[:, m - 1]
@@ -85,7 +86,7 @@ def _block(col: str, n: Column) -> Column:
     return F.pmod(F.xxhash64(F.col(col)), F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS))).cast("int")
 
 
-def _compare(queries: DataFrame, base: DataFrame, unit: Sequence[str], k: int, id_type: str, skip_self: bool) -> DataFrame:
+def _compare(queries: DataFrame, base: DataFrame, unit: Sequence[str], k: int, id_type: str) -> DataFrame:
     """Meet every query block of a unit with every base block of it; k best per pair of blocks.
 
     ``queries`` and ``base`` carry unit..., _blk. Each row is copied once per
@@ -102,7 +103,7 @@ def _compare(queries: DataFrame, base: DataFrame, unit: Sequence[str], k: int, i
     def run(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if q.empty or b.empty:
             return pd.DataFrame({"_id": [], "neighbor": [], "distance": []})
-        return _best(q, b.set_axis(q.columns, axis=1), k, skip_self)
+        return _best(q, b.set_axis(q.columns, axis=1), k)
 
     other = [f"_b{c}" for c in key]
     return (left.select(*key, "_id", "_v").groupBy(*key)
@@ -126,54 +127,37 @@ def nearest(base: DataFrame, key: str, vector: str, k: int, queries: DataFrame |
 
     rows = shaped(base)
     asked = rows if self_join else shaped(queries)
-    copies = (rows.groupBy(*by, F.xxhash64("_v").alias("_h")).agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.sum("n").alias("total"), F.max("n").alias("most")).first())
-    total, w = copies["total"] or 0, Window.partitionBy("_id").orderBy("distance", "neighbor")
-    named = [F.col("_id").alias(key), "rank", "neighbor", "distance"]
-    if total and copies["most"] > max(64, 4 * k):
-        # Equal vectors have equal distances, so only the k + 1 lowest ids of each
-        # can be anyone's neighbours, and one of them asks for all its copies.
-        same = Window.partitionBy(*by, "_v").orderBy("_id")
-        kept = rows.withColumn("_c", F.row_number().over(same)).where(F.col("_c") <= k + 1).drop("_c")
-        heads = asked.groupBy(*by, "_v").agg(F.min("_id").alias("_id"))
-        found = _search(kept, heads, by, k + 1, id_type, total, False, n_pivots)
-        ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1).drop("rank")
-        of_copy = keyed_join(asked, heads.withColumnRenamed("_id", "_head"), [*by, "_v"]).select("_id", "_head")
-        found = of_copy.join(ranked.withColumnRenamed("_id", "_head"), "_head").drop("_head")
-        found = found.where(F.col("_id") != F.col("neighbor")) if self_join else found
-    else:
-        found = _search(rows, asked, by, k, id_type, total, self_join, n_pivots)
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(*named)
-
-
-def _search(rows, asked, by, k, id_type, total, self_join, n_pivots):
+    total, w = rows.count(), Window.partitionBy("_id").orderBy("distance", "neighbor")
+    # Equal vectors have equal distances, so only the k + 1 lowest ids of each
+    # can be anyone's neighbours, and one of them asks for all its copies.
+    same = Window.partitionBy(*by, "_v").orderBy("_id")
+    kept = rows.withColumn("_c", F.row_number().over(same)).where(F.col("_c") <= k + 1).drop("_c")
+    heads = asked.groupBy(*by, "_v").agg(F.min("_id").alias("_id"))
+    found = _search(kept, heads, by, k + 1, id_type, total, n_pivots)
+    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1).drop("rank")
+    of_copy = keyed_join(asked, heads.withColumnRenamed("_id", "_head"), [*by, "_v"]).select("_id", "_head")
+    found = of_copy.join(ranked.withColumnRenamed("_id", "_head"), "_head").drop("_head")
+    found = found.where(F.col("_id") != F.col("neighbor")) if self_join else found
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col("_id").alias(key), "rank", "neighbor", "distance")
+
+
+def _search(rows, asked, by, k, id_type, total, n_pivots):
     """(_id, neighbor, distance) holding at least the k nearest per asked row."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     asked = asked.select(*rows.columns)
-    wanted = n_pivots or int(min(MAX_PIVOTS, max(1, total // BLOCK_ROWS)))
-    if wanted > 1:
-        pivots = _matrix(_pivots(rows, wanted)["_v"])
-        return _pruned(rows, asked, by, pivots, kinds, k, id_type, self_join)
-    unit = by or ["_all"]
-    if not by:
-        rows, asked = rows.withColumn("_all", F.lit(0)), asked.withColumn("_all", F.lit(0))
-    blocks = rows.withColumn("_blk", _block("_id", F.lit(max(total, 1))))
-    if self_join:
-        return _compare(blocks, blocks, unit, k, id_type, True)
-    return _compare(asked.withColumn("_blk", _block("_id", F.lit(asked.count()))), blocks, unit, k, id_type, False)
-
-
-def _pruned(rows, asked, by, pivots, kinds, k, id_type, self_join):
+    if not total:
+        return rows.sparkSession.createDataFrame([], f"_id {id_type}, neighbor {id_type}, distance double")
+    pivots = _matrix(_pivots(rows, n_pivots or max(1, int(total ** 0.5) // 4))["_v"])
     unit = [*by, "_cell"]
     placed = _with_cell(rows, pivots, kinds)
     cells = materialize(placed.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_radius")))
     base = keyed_join(placed, cells, unit).withColumn("_blk", _block("_id", F.col("_n"))).drop("_n", "_radius", "_d")
-    placed_q = placed if self_join else _with_cell(asked, pivots, kinds)
+    placed_q = _with_cell(asked, pivots, kinds)
     sizes = placed_q.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"))
     own = keyed_join(placed_q, sizes, unit).withColumn("_blk", _block("_id", F.col("_n"))).drop("_n", "_d")
     # Pass 1: an upper bound of the k-th distance from one base block of the own cell.
     first = base.where("_blk = 0")
-    seen = _compare(own, first, unit, k, id_type, self_join)
+    seen = _compare(own, first, unit, k, id_type)
     bound = seen.groupBy("_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_bound"))
     # Pass 2: every cell that can hold something closer than the bound. The widest
     # radius per pivot (a bounded list) rules most cells out inside the task; the
@@ -201,26 +185,30 @@ def _pruned(rows, asked, by, pivots, kinds, k, id_type, self_join):
     n_visits = visits.groupBy(*unit).agg(F.count(F.lit(1)).alias("_nv"))
     visits = keyed_join(visits.drop("_n", "_radius", "_dist", "_bound"), n_visits, unit)
     visits = visits.withColumn("_blk", _block("_id", F.col("_nv"))).drop("_nv")
-    return _compare(visits, base, unit, k, id_type, self_join)
+    return _compare(visits, base, unit, k, id_type)
 
 
 def top_by_scan(base: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int,
-                metric: str = "cosine", max_queries: int = 20_000) -> DataFrame:
+                metric: str = "cosine", query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_key, rank, key, score): k best base rows per query, ties by key.
 
-    A bounded query set is sent to every task as one matrix and each task keeps
-    its k best per query, so the corpus is scanned once and never shuffled.
-    Beyond the bound the pruned block join takes over.
+    A stated query set goes against all rows: queries are sent to every task as a matrix, in blocks of about
+    ``query_block``, and each task keeps its k best per query, so the corpus is scanned once per block and never
+    shuffled. For as many queries as rows use ``nearest``.
     """
-    held = queries.select(query_key, F.col(vector).cast("array<double>").alias("_v")).limit(max_queries + 1).toPandas()
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric {metric}")
-    if len(held) > max_queries:
-        return _top_by_join(base, key, vector, queries, query_key, k, metric)
+    blocks = max(1, -(-queries.count() // query_block))
+    asked = queries.select(query_key, F.col(vector).cast("array<double>").alias("_v"), F.pmod(F.xxhash64(query_key), F.lit(blocks)).alias("_blk"))
+    parts = [_scan(base, key, vector, asked.where(F.col("_blk") == i).drop("_blk").toPandas(), query_key, asked.schema[query_key].dataType.simpleString(), k, metric)
+             for i in range(blocks)]
+    return _rank(reduce(DataFrame.unionByName, parts), query_key, key, k, metric)
+
+
+def _scan(base, key, vector, held, query_key, q_type, k, metric):
     key_type = base.schema[key].dataType.simpleString()
-    q_type = queries.schema[query_key].dataType.simpleString()
     if held.empty:
-        return base.sparkSession.createDataFrame([], f"{query_key} {q_type}, rank int, {key} {key_type}, score double")
+        return base.sparkSession.createDataFrame([], f"`{query_key}` {q_type}, `{key}` {key_type}, score double")
     q = _matrix(held["_v"])
     if metric == "cosine":
         q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
@@ -251,9 +239,8 @@ def top_by_scan(base: DataFrame, key: str, vector: str, queries: DataFrame, quer
             sign = -1.0 if metric == "cosine" else 1.0
             yield pd.DataFrame({query_key: names[best["q"].to_numpy()], key: best["b"].to_numpy(), "score": sign * best["s"].to_numpy()})
 
-    part = (base.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    return (base.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
             .mapInPandas(scan, f"`{query_key}` {q_type}, `{key}` {key_type}, score double"))
-    return _rank(part, query_key, key, k, metric)
 
 
 def _rank(part, query_key, key, k, metric):
@@ -261,15 +248,3 @@ def _rank(part, query_key, key, k, metric):
     w = Window.partitionBy(query_key).orderBy(first, key)
     return (part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query_key, "rank", key, "score"))
-
-
-def _top_by_join(base, key, vector, queries, query_key, k, metric):
-    from loomtab.functions.expr import unit_vector
-
-    scale = unit_vector if metric == "cosine" else F.col
-    b = base.select(F.col(key).alias("_key"), scale(vector).cast("array<double>").alias("_vec"))
-    q = queries.select(F.col(query_key).cast(base.schema[key].dataType).alias("_key"), scale(vector).cast("array<double>").alias("_vec"))
-    near = nearest(b, "_key", "_vec", k, queries=q)
-    score = 1 - F.col("distance") * F.col("distance") / 2 if metric == "cosine" else F.col("distance")
-    kind = queries.schema[query_key].dataType
-    return near.select(F.col("_key").cast(kind).alias(query_key), "rank", F.col("neighbor").alias(key), score.alias("score"))

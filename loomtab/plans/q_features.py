@@ -38,7 +38,7 @@ def _(t):
 
 @query("one_hot_encode", "SELECT o_orderkey, " + ", ".join(f"CAST(o_orderstatus = '{v}' AS INTEGER) AS \"o_orderstatus_{v}\"" for v in "FOP") + " FROM orders")
 def _(t):
-    return E.one_hot(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus").drop("o_orderstatus")
+    return E.one_hot(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", 10).drop("o_orderstatus")
 
 
 @query("label_encode", "SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS code FROM part")

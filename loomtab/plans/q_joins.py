@@ -25,10 +25,10 @@ def _(t):
 _SPLIT = "TIMESTAMP '1998-07-01'"
 
 
-def _periods(t):
+def _facts(t):
+    """Line items with their order, and whether the order is of the early period: both periods come out of one grouped pass."""
     f = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    early = F.col("o_orderdate") < F.lit("1998-07-01").cast("timestamp")
-    return f.where(early), f.where(~early)
+    return f.withColumn("_early", F.col("o_orderdate") < F.lit("1998-07-01").cast("timestamp"))
 
 
 @query("left_join_not_null", f"""
@@ -38,17 +38,20 @@ r AS (SELECT l_suppkey, avg(l_quantity) AS avg_new FROM f WHERE o_orderdate >= {
 SELECT h.l_suppkey, {R('avg_old')} AS avg_old, {R('avg_new')} AS avg_new FROM h LEFT JOIN r ON h.l_suppkey = r.l_suppkey
 WHERE avg_new IS NOT NULL""")
 def _(t):
-    old, new = _periods(t)
-    h = old.groupBy("l_suppkey").agg(F.avg("l_quantity").alias("avg_old"))
-    r = new.groupBy("l_suppkey").agg(F.avg("l_quantity").alias("avg_new"))
-    return (h.join(r, "l_suppkey", "left").where("avg_new is not null")
-            .select("l_suppkey", rnd("avg_old").alias("avg_old"), rnd("avg_new").alias("avg_new")))
+    early = F.col("_early")
+    both = _facts(t).groupBy("l_suppkey").agg(F.avg(F.when(early, F.col("l_quantity"))).alias("avg_old"),
+                                              F.avg(F.when(~early, F.col("l_quantity"))).alias("avg_new"), F.count_if(early).alias("_n"))
+    return both.where("_n > 0 and avg_new is not null").select("l_suppkey", rnd("avg_old").alias("avg_old"), rnd("avg_new").alias("avg_new"))
 
 
-def _spend(df, tag):
-    return df.groupBy("o_custkey").agg(
-        F.countDistinct("o_orderkey").alias(f"{tag}_orders"),
-        F.sum(F.col("l_quantity") * F.col("l_extendedprice")).alias(f"{tag}_spend"))
+def _spend(facts):
+    """Orders and spend of each customer in both periods; NULL where there is none."""
+    orders = facts.groupBy("o_custkey", "o_orderkey", "_early").agg(F.sum(F.col("l_quantity") * F.col("l_extendedprice")).alias("_spend"))
+    out = {}
+    for tag, inside in (("old", F.col("_early")), ("new", ~F.col("_early"))):
+        out[f"{tag}_orders"] = F.nullif(F.count_if(inside), F.lit(0).cast("long"))
+        out[f"{tag}_spend"] = F.sum(F.when(inside, F.col("_spend")))
+    return orders.groupBy("o_custkey").agg(*[c.alias(n) for n, c in out.items()])
 
 
 @query("left_join_null_safe_ratio", f"""
@@ -62,8 +65,7 @@ SELECT h.o_custkey, new_orders, old_orders, {R('100.0 * new_orders / nullif(old_
        {R('100.0 * new_spend / nullif(old_spend, 0)')} AS spend_pct
 FROM h LEFT JOIN r ON h.o_custkey = r.o_custkey ORDER BY spend_pct DESC, h.o_custkey""")
 def _(t):
-    old, new = _periods(t)
-    j = _spend(old.where("l_quantity > 0"), "old").join(_spend(new.where("l_quantity > 0"), "new"), "o_custkey", "left")
+    j = _spend(_facts(t).where("l_quantity > 0")).where("old_orders > 0")
     return j.select("o_custkey", "new_orders", "old_orders",
                     rnd(X.percent_of("new_orders", "old_orders")).alias("orders_pct"),
                     rnd("new_spend", 2).alias("new_spend"), rnd("old_spend", 2).alias("old_spend"),

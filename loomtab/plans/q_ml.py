@@ -262,7 +262,7 @@ def _mean_of_tail(values, steps):
 m AS (SELECT event_type, avg(v) FILTER (r <= 5) AS f, max(d) AS last FROM r GROUP BY 1)
 SELECT event_type, CAST(last + CAST(h AS INTEGER) AS DATE) AS date, {R('f', 5)} AS forecast FROM m, range(1, 4) s(h)""")
 def _(t):
-    return L.forecast_custom(_daily(t), "event_type", "d", "v", _mean_of_tail, 3).withColumn("forecast", rnd("forecast", 5))
+    return L.forecast_custom(_daily(t), "event_type", "d", "v", _mean_of_tail, 3, history=5).withColumn("forecast", rnd("forecast", 5))
 
 
 @query("ensemble_stats", f"""WITH c AS (SELECT event_type, hour(ts) AS h, avg(value) AS m, coalesce(stddev_samp(value), 0) AS s FROM events GROUP BY ALL)

@@ -121,7 +121,7 @@ def _(t):
 @query("word2vec")
 def _(t):
     words = spread(t.documents, "doc_id").select(T.word_tokens("text", STOP).alias("words"))
-    model = Word2Vec(vectorSize=200, minCount=1, seed=1, inputCol="words", outputCol="v", maxIter=1, numPartitions=8).fit(words)
+    model = Word2Vec(vectorSize=200, minCount=1, seed=1, inputCol="words", outputCol="v", maxIter=1, numPartitions=t.spark.sparkContext.defaultParallelism).fit(words)
     seed = words.select(F.explode("words").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").first()["w"]
     return model.findSynonyms(seed, 10)
 
@@ -147,11 +147,13 @@ def _(t):
     return whole.select("doc_id", F.array_join("c.chunk", "").alias("text"))
 
 
-@query("chunk_recursive", "SELECT true AS within, CAST(count(*) FILTER (regexp_matches(text, '\\S')) AS BIGINT) AS n_docs FROM documents")
+@query("chunk_recursive", f"""WITH w AS (SELECT doc_id, {_WS} AS t FROM documents)
+SELECT doc_id, true AS within, md5(array_to_string(list_sort(list_distinct(t)), ' ')) AS words FROM w WHERE len(t) > 0""")
 def _(t):
-    chunks = T.chunk_recursive(t.documents, "doc_id", "text", 100, 50)
-    size = F.size(T.whitespace_tokens("chunk"))
-    return chunks.agg((F.max(size) <= 100).alias("within"), F.countDistinct("doc_id").alias("n_docs"))
+    # Every word of a document is in its chunks, and none besides.
+    chunks = T.chunk_recursive(t.documents, "doc_id", "text", 100, 50).withColumn("w", T.whitespace_tokens("chunk"))
+    words = F.array_sort(F.array_distinct(F.flatten(F.collect_list("w"))))
+    return chunks.groupBy("doc_id").agg((F.max(F.size("w")) <= 100).alias("within"), F.md5(F.array_join(words, " ")).alias("words"))
 
 
 @query("pack_fixed_blocks", f"""

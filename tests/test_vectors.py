@@ -58,7 +58,7 @@ def test_scan_and_join_agree(spark, tables):
     q = e.limit(15).select("vec_id", "embedding").withColumnRenamed("vec_id", "q")
     for metric in ("cosine", "l2"):
         a = {(r.q, r["rank"], r.vec_id) for r in N.top_by_scan(e, "vec_id", "embedding", q, "q", 4, metric).collect()}
-        b = {(r.q, r["rank"], r.vec_id) for r in N.top_by_scan(e, "vec_id", "embedding", q, "q", 4, metric, max_queries=0).collect()}
+        b = {(r.q, r["rank"], r.vec_id) for r in N.top_by_scan(e, "vec_id", "embedding", q, "q", 4, metric, query_block=4).collect()}
         assert a == b and len(a) == 60
 
 
@@ -92,6 +92,6 @@ def test_late_interaction_in_blocks(spark, tables):
     patches = tables.embeddings.select((F.col("vec_id") % 7).alias("page"), "embedding")
     tokens = tables.embeddings.limit(12).select((F.col("vec_id") % 3).alias("q"), F.col("embedding").alias("t"))
     one = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3).collect()
-    many = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3, max_tokens=4).collect()
+    many = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3, token_block=4).collect()
     key = lambda r: (r.q, r["rank"], r.page, round(r.score, 9))
     assert sorted(map(key, one)) == sorted(map(key, many))
