@@ -13,7 +13,7 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -54,6 +54,43 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), model]).fit(_spread_rows(rows))
 
 
+def feature_importance(model: PipelineModel) -> DataFrame:
+    """(feature, importance), best first: the gains of a tree model, the absolute coefficients of a linear one."""
+    from pyspark.sql import SparkSession
+
+    names, last = model.stages[0].getInputCols(), model.stages[-1]
+    values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
+    rows = [(n, abs(float(v))) for n, v in zip(names, values.toArray())]
+    return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
+def train_linear(df: DataFrame, target: str, features: Sequence[str], **params) -> PipelineModel:
+    line = LinearRegression(labelCol=target, featuresCol="features", **params)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), line]).fit(_spread_rows(df))
+
+
+def cross_validated_r2(df: DataFrame, key: str, target: str, features: Sequence[str], folds: int = 5, seed: int = 1,
+                       train: Callable[..., PipelineModel] | None = None) -> DataFrame:
+    """(folds, mean_score, std_score): share of the variance explained on the rows left out; folds follow a seeded hash of the key."""
+    from loomtab.operators.splits import seeded_key
+
+    fold = F.pmod(F.conv(F.substring(seeded_key(key, seed), 1, 7), 16, 10).cast("long"), F.lit(folds))
+    rows = df.withColumn("_fold", fold)
+    scores = []
+    for i in range(folds):
+        model = (train or train_linear)(rows.where(F.col("_fold") != i), target, features)
+        scored = model.transform(rows.where(F.col("_fold") == i))
+        scores.append(RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="r2").evaluate(scored))
+    return df.sparkSession.createDataFrame([(folds, float(np.mean(scores)), float(np.std(scores)))], "folds int, mean_score double, std_score double")
+
+
+def rank_experiments(runs: DataFrame, name: str, first: str, second: str) -> DataFrame:
+    """Runs by their first metric, then the second, then the name: ``rank``, ``best`` and the ``gap`` of each to the best."""
+    w = Window.orderBy(F.desc_nulls_last(first), F.desc_nulls_last(second), name)  # one row per experiment
+    out = runs.withColumn("rank", F.row_number().over(w))
+    return out.withColumns({"best": F.col("rank") == 1, "gap": runs.agg(F.max(first)).scalar() - F.col(first)})
+
+
 def save_model(model: PipelineModel, path: str, features: Sequence[str], target: str) -> None:
     """The fitted pipeline and, beside it, its feature columns and target."""
     from pyspark.sql import SparkSession

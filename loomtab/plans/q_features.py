@@ -100,6 +100,32 @@ def _(t):
     return E.anova_f(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"], "l_linestatus").withColumn("f", rnd("f", 5))
 
 
+@query("select_variance_applied", "SELECT p_partkey, p_size, p_retailprice FROM part")
+def _(t):
+    df = t.part.select("p_partkey", "p_size", "p_retailprice", F.lit(3).alias("constant"), F.when(F.col("p_size") < 0, 1.0).alias("never"))
+    return E.select_variance(df, ["p_size", "p_retailprice", "constant", "never"])
+
+
+_FLAGGED = "CAST(CASE WHEN l_linestatus = 'F' THEN 100 ELSE 0 END AS INTEGER) + l_linenumber"
+
+
+def _with_signal(t):
+    signal = F.when(F.col("l_linestatus") == "F", 100).otherwise(0) + F.col("l_linenumber")
+    return t.lineitem.select("l_orderkey", "l_linestatus", "l_quantity", "l_tax", signal.alias("signal"))
+
+
+@query("select_kbest_applied", f"SELECT l_orderkey, l_linestatus, {_FLAGGED} AS signal FROM lineitem")
+def _(t):
+    df, cols = _with_signal(t), ["l_quantity", "l_tax", "signal"]
+    return E.select_top(df, E.anova_f(df, cols, "l_linestatus"), "f", cols, 1)
+
+
+@query("select_mutual_info_applied", f"SELECT l_orderkey, l_linestatus, {_FLAGGED} AS signal FROM lineitem")
+def _(t):
+    df, cols = _with_signal(t), ["l_quantity", "l_tax", "signal"]
+    return E.select_top(df, E.mutual_information(df, cols, "l_linestatus"), "mi", cols, 1)
+
+
 # ---- contracts ---------------------------------------------------------------
 
 

@@ -55,11 +55,47 @@ def _(t):
     return mine.select((F.col("mae") < 0.3 * naive.scalar()).alias("below_mean_error"))
 
 
-@query("train_naive_bayes", "SELECT true AS good FROM lineitem LIMIT 1")
+_SIGNAL = "CAST(l_quantity + l_discount * 100 + l_orderkey % 12 > 40 AS INTEGER)"
+_STATS = ", ".join(f"avg({c}) AS m{i}, var_pop({c}) + (SELECT eps FROM e) AS v{i}" for i, c in enumerate(_FEATS))
+_LOGP = " - ".join(["ln(n)", *(f"0.5 * (ln(v{i}) + pow({c} - m{i}, 2) / v{i})" for i, c in enumerate(_FEATS))])
+
+
+@query("train_naive_bayes", f"""WITH r AS (SELECT l_orderkey, l_linenumber, {", ".join(_FEATS)}, {_SIGNAL} AS target FROM lineitem),
+e AS (SELECT 1e-9 * greatest({", ".join(f"var_pop({c})" for c in _FEATS)}) AS eps FROM r),
+c AS (SELECT target, count(*) AS n, {_STATS} FROM r GROUP BY target)
+SELECT {", ".join(_FEATS)}, CAST(c.target AS DOUBLE) AS prediction FROM (SELECT DISTINCT {", ".join(_FEATS)} FROM r), c
+QUALIFY row_number() OVER (PARTITION BY {", ".join(_FEATS)} ORDER BY {_LOGP} DESC) = 1""")
 def _(t):
     rows = _rows(t).withColumn("target", F.col("target").cast("double"))
-    scored = L.train_naive_bayes(rows, "target", _FEATS).transform(rows)
-    return scored.agg((F.avg((F.col("prediction") == F.col("target")).cast("double")) > 0.7).alias("good"))
+    return L.train_naive_bayes(rows, "target", _FEATS).transform(rows).select(*_FEATS, "prediction").distinct()
+
+
+def _slope(x, other):
+    top = f"(covar_pop({x}, y) * var_pop({other}) - covar_pop({other}, y) * covar_pop({x}, {other}))"
+    return f"SELECT '{x}' AS feature, {R(f'abs({top} / (var_pop({x}) * var_pop({other}) - pow(covar_pop({x}, {other}), 2)))', 3)} AS importance FROM f"
+
+
+@query("feature_importance", f"""WITH f AS (SELECT l_quantity, l_discount, l_quantity * 900 * (1 - l_discount) + l_orderkey % 500 AS y FROM lineitem)
+{_slope("l_quantity", "l_discount")} UNION ALL {_slope("l_discount", "l_quantity")}""")
+def _(t):
+    y = F.col("l_quantity") * 900 * (1 - F.col("l_discount")) + F.col("l_orderkey") % 500
+    model = L.train_linear(t.lineitem.select("l_quantity", "l_discount", y.alias("y")), "y", ["l_quantity", "l_discount"], solver="normal")
+    return L.feature_importance(model).withColumn("importance", rnd("importance", 3))
+
+
+@query("cross_validated_r2", "SELECT CAST(4 AS INTEGER) AS folds, CAST(1 AS DOUBLE) AS mean_score, CAST(0 AS DOUBLE) AS std_score FROM part LIMIT 1")
+def _(t):
+    # An exact linear relation: every fold must explain all of it.
+    rows = t.part.select("p_partkey", "p_size", "p_retailprice", (F.col("p_size") * 3 + F.col("p_retailprice") * 0.5 + 7).alias("y"))
+    out = L.cross_validated_r2(rows, "p_partkey", "y", ["p_size", "p_retailprice"], folds=4)
+    return out.select("folds", rnd("mean_score", 6).alias("mean_score"), rnd("std_score", 6).alias("std_score"))
+
+
+@query("rank_experiments", f"""WITH r AS (SELECT event_type AS name, avg(value) AS auc, min(value) AS f1 FROM events GROUP BY 1)
+SELECT name, CAST(row_number() OVER (ORDER BY auc DESC, f1 DESC, name) AS INTEGER) AS rank, auc = max(auc) OVER () AS best, {R('max(auc) OVER () - auc', 6)} AS gap FROM r""")
+def _(t):
+    runs = t.events.groupBy(F.col("event_type").alias("name")).agg(F.avg("value").alias("auc"), F.min("value").alias("f1"))
+    return L.rank_experiments(runs, "name", "auc", "f1").select("name", "rank", "best", rnd("gap", 6).alias("gap"))
 
 
 _V = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -75,8 +111,8 @@ def _(t):
 
 @query("kmeans_silhouette", "SELECT CAST(2 AS BIGINT) AS clusters, CAST(count(*) AS BIGINT) AS n, true AS valid FROM embeddings")
 def _(t):
-    xyz = t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate("xyz")])
-    rows, score, centres = L.kmeans(xyz, ["x", "y", "z"])
+    names = [f"d{i}" for i in range(64)]
+    rows, score, centres = L.kmeans(t.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).alias(n) for i, n in enumerate(names)]), names)
     return rows.agg(F.countDistinct("cluster").alias("clusters"), F.count(F.lit(1)).alias("n"), F.lit(-1 <= score <= 1 and len(centres) == 2).alias("valid"))
 
 
