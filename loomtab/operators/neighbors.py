@@ -147,7 +147,7 @@ def _search(rows, asked, by, k, id_type, total, n_pivots):
     asked = asked.select(*rows.columns)
     if not total:
         return rows.sparkSession.createDataFrame([], f"_id {id_type}, neighbor {id_type}, distance double")
-    pivots = _matrix(_pivots(rows, n_pivots or max(1, int(total ** 0.5) // 4))["_v"])
+    pivots = _matrix(_pivots(rows, n_pivots or max(1, min(int(total ** 0.5) // 4, total // BLOCK_ROWS)))["_v"])
     unit = [*by, "_cell"]
     placed = _with_cell(rows, pivots, kinds)
     cells = materialize(placed.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_radius")))
@@ -155,6 +155,8 @@ def _search(rows, asked, by, k, id_type, total, n_pivots):
     placed_q = _with_cell(asked, pivots, kinds)
     sizes = placed_q.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"))
     own = keyed_join(placed_q, sizes, unit).withColumn("_blk", _block("_id", F.col("_n"))).drop("_n", "_d")
+    if len(pivots) == 1:  # one cell: nothing to prune
+        return _compare(own, base, unit, k, id_type)
     # Pass 1: an upper bound of the k-th distance from one base block of the own cell.
     first = base.where("_blk = 0")
     seen = _compare(own, first, unit, k, id_type)
