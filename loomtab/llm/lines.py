@@ -16,41 +16,39 @@ from loomtab.session import materialize
 RUN = 3
 
 
-def split_lines(text: str) -> Column:
-    return F.split(F.col(text).cast("string"), "\n", -1)
-
+def windows(docs: DataFrame, run: int) -> DataFrame:
+    """One row per window: its fingerprint (smallest line hash), its hash, its place and the numbers of its lines."""
+    each = F.transform(F.sequence(F.lit(0), F.size("hashes") - run), lambda i: F.struct(
+        i.alias("at"), F.array_min(F.slice("hashes", i + 1, run)).alias("fingerprint"), F.xxhash64(F.slice("hashes", i + 1, run)).alias("window"),
+        F.slice("filled", i + 1, run).alias("covers")))
+    return docs.select("key", "digest", F.explode(each).alias("w")).select("key", "digest", "w.*")
 
-def line_hashes(df: DataFrame, text: str) -> DataFrame:
-    """``hashes`` of the lines that are not blank, blanks around them left out."""
-    return df.withColumn("hashes", F.transform(F.filter(F.transform(split_lines(text), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
+def selected_places(run: int) -> Column:
+    """(fingerprint, place) of every line that is the smallest of a window; a place that several windows select is there once."""
+    def smallest(i):
+        window = F.slice("hashes", i + 1, run)
+        return F.struct(F.array_min(window).alias("fingerprint"), (i + F.array_position(window, F.array_min(window))).alias("at"))
 
-def windows(docs: DataFrame, run: int) -> DataFrame:
-    """One row per window: its fingerprint (smallest line hash), the hash of the window and the number of its first line."""
-    each = F.transform(F.sequence(F.lit(0), F.size("hashes") - run), lambda i: F.struct(
-        i.alias("at"), F.array_min(F.slice("hashes", i + 1, run)).alias("fingerprint"), F.xxhash64(F.slice("hashes", i + 1, run)).alias("window")))
-    return docs.where(F.size("hashes") >= run).select("key", "digest", F.explode(each).alias("w")).select("key", "digest", "w.*")
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("hashes") - run), smallest))
 
 
-def repeated_lines(df: DataFrame, key: str, text: str, run: int) -> tuple[DataFrame, DataFrame]:
-    """The rows as ``row``, ``key``, ``digest``, ``text``, and for each (key, digest) the numbers of lines at which repeated windows start."""
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(key).alias("key"),
-                     F.xxhash64(F.col(text).cast("string")).alias("digest"), F.col(text).cast("string").alias("text"))
-    docs = materialize(line_hashes(rows.select("key", "digest", "text"), "text").select("key", "digest", "hashes").where(F.size("hashes") >= run).distinct())
-    # A place is selected by several neighbouring windows: it counts once.
-    places = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("hashes") - run), lambda i: F.struct(
-        F.array_min(F.slice("hashes", i + 1, run)).alias("fingerprint"),
-        (i + F.array_position(F.slice("hashes", i + 1, run), F.array_min(F.slice("hashes", i + 1, run)))).alias("at"))))
-    again = docs.select(F.explode(places).alias("p")).groupBy(F.col("p.fingerprint").alias("fingerprint")).count().where("count > 1").select("fingerprint")
-    candidates = windows(docs, run).join(again, "fingerprint", "left_semi")
+def repeated_lines(rows: DataFrame, run: int) -> DataFrame:
+    """``gone``: the numbers of lines in repeated windows, for each (key, digest) of ``rows`` that has any."""
+    numbered = F.transform("lines", lambda x, i: F.struct(F.trim(x).alias("line"), (i + 1).alias("number")))
+    docs = rows.select("key", "digest", F.filter(numbered, lambda x: x["line"] != "").alias("filled")) \
+        .select("key", "digest", F.transform("filled", lambda x: F.xxhash64(x["line"])).alias("hashes"), F.col("filled.number").alias("filled"))
+    docs = materialize(docs.where(F.size("hashes") >= run).distinct())
+    again = docs.select(F.explode(selected_places(run)).alias("p")).groupBy(F.col("p.fingerprint").alias("fingerprint")).count().where("count > 1")
+    candidates = windows(docs, run).drop("covers").join(again.select("fingerprint"), "fingerprint", "left_semi")
     order = F.struct(F.col("key").isNull().alias("last"), "key", "digest", "at")
     first = candidates.groupBy("fingerprint", "window").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = windows(docs, run).join(first, ["fingerprint", "window"]).where(order != F.col("first"))
-    return rows, later.groupBy("key", "digest").agg(F.collect_list("at").alias("starts"))
+    return later.groupBy("key", "digest").agg(F.array_distinct(F.flatten(F.collect_list("covers"))).alias("gone"))
 
 
 def without_repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
-    """All columns of ``df`` as ``row``, ``kept`` text, ``n_lines`` and ``n_removed`` of every row.
+    """All other columns of ``df`` as ``row``, ``kept`` text, ``n_lines`` and ``n_removed`` of every row.
 
     A line goes if it stands in ``run`` lines in a row that also stand in a document of a smaller key, or earlier in the
     same document; lines are compared without blanks around them, blank lines are skipped over and stay. NULL keys
@@ -59,15 +57,12 @@ def without_repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text"
     """
     if run < 1:
         raise ValueError("a run has one line at least")
-    rows, found = repeated_lines(df, key, text, run)
-    found = found.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "starts")
+    value = F.col(text).cast("string")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text]).alias("row"), F.col(key).alias("key"),
+                     F.xxhash64(value).alias("digest"), F.split(value, "\n", -1).alias("lines"))
+    found = repeated_lines(rows, run).select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "gone")
     joined = rows.join(found, F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest")), "left")
-    lines = split_lines("text")
-    numbers = F.sequence(F.lit(1), F.size("lines"))
-    filled = F.filter(numbers, lambda i: F.trim(F.element_at("lines", i)) != "")
-    gone = F.array_distinct(F.flatten(F.transform("starts", lambda i: F.slice("filled", i + 1, run))))
-    out = joined.withColumn("lines", lines).withColumn("filled", F.when(F.col("starts").isNotNull(), filled)).withColumn("gone", gone)
-    kept = F.array_join(F.transform(F.array_except(numbers, F.col("gone")), lambda i: F.element_at("lines", i)), "\n")
-    return out.select("row", F.when(F.col("starts").isNull(), F.col("text")).otherwise(kept).alias("kept"),
-                      F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"),
-                      F.coalesce(F.when(F.col("starts").isNotNull(), F.size("gone")), F.lit(0)).cast("long").alias("n_removed"))
+    left = F.transform(F.array_except(F.sequence(F.lit(1), F.size("lines")), "gone"), lambda i: F.element_at("lines", i))
+    return joined.select("row", F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(left), "\n").alias("kept"),
+                         F.coalesce(F.when(F.col("lines").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"),
+                         F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long").alias("n_removed"))
