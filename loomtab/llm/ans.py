@@ -154,7 +154,7 @@ def token_table(df: DataFrame, tokenizer: str, end: int | None, key: str = "doc_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(bounds), pa.int64()),
                                                   binaries(ids.astype(wide), bounds)], [key, "n_tokens", "ids"])
 
-    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema)
+    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema, cached=True)
 
 
 def _unpack(binary, count: int) -> np.ndarray:

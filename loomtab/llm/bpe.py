@@ -246,7 +246,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str,
                 lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, pa.int32())) for v in (ids, offsets)]
                 yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:-1]] + lists, [*keep, "ids", "offsets"])
 
-    return map_batches(df.select(*keep, text_or_empty(text).alias("_text")), run, schema)
+    return map_batches(df.select(*keep, text_or_empty(text).alias("_text")), run, schema, cached=True)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

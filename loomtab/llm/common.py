@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable
@@ -13,18 +14,59 @@ from pyspark.sql.types import StructType
 
 from loomtab.session import scratch
 
+CACHE = "loomtab_worker_cache"
 BYTES_PER_STEP = 1 << 20
-BYTES_PER_BATCH = 4 << 20
+BYTES_PER_BATCH = 2 << 20
 
 
-def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` over batches bounded by bytes: a few long texts or many short ones take the same memory.
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches bounded by bytes: a few long texts or many short ones take the same memory.
 
     The bound is a setting of the session and stays set, since it is read when the plan runs.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    return df.mapInArrow(run, schema)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str, cached: bool = False) -> DataFrame:
+    """``mapInArrow`` over bounded batches; ``cached`` says that ``run`` uses the worker's cache, which other operators let go.
+
+    What a task has freed goes back to the system, as workers live on.
+    """
+    bound_batches(df.sparkSession)
+
+    def tidy(batches):
+        if not cached:
+            sys.modules.pop(CACHE, None)
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def tidy_groups(step: Callable) -> Callable:
+    """A function of one group or two that drops the worker's cache and returns freed memory."""
+    def one(table: pa.Table) -> pa.Table:
+        sys.modules.pop(CACHE, None)
+        out = step(table)
+        give_back()
+        return out
+
+    def two(table: pa.Table, other: pa.Table) -> pa.Table:
+        sys.modules.pop(CACHE, None)
+        out = step(table, other)
+        give_back()
+        return out
+
+    return two if step.__code__.co_argcount == 2 else one
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_or_empty(col: str) -> Column:
@@ -37,14 +79,15 @@ def schema_of(df: DataFrame, more: str) -> StructType:
 
 
 def worker_cache(name: str, make: Callable):
-    """One object per Python worker process, kept over its tasks; ``make`` builds it when it is missing.
+    """One object per Python worker process, kept over its tasks; ``make`` builds it when another or none is kept.
 
     Functions travel by value, so a plain module global would be built anew in each task.
     """
-    home = sys.modules.setdefault("loomtab_worker_cache", types.ModuleType("loomtab_worker_cache"))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    home = sys.modules.setdefault(CACHE, types.ModuleType(CACHE))
+    if getattr(home, "name", None) != name:
+        home.name, home.kept = name, None
+        home.kept = make()
+    return home.kept
 
 
 def steps(sizes, limit: int = BYTES_PER_STEP):

@@ -119,4 +119,4 @@ def token_pieces(df: DataFrame, tokenizer: str, end: int, key: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row))] + [pa.array(v, pa.int64()) for v in (start, size, crc, total)]
                                                  + [binaries(ids.astype("<u4"), cuts)], schema.names)
 
-    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema)
+    return map_batches(df.select(key, text_or_empty(text).alias("_text")), run, schema, cached=True)

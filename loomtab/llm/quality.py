@@ -22,7 +22,7 @@ RATED = 12_000
 ROUNDS = 200
 PENALTY = 1e-5
 MIN_DOCUMENTS = 3
-MEASURES = 6
+FIT_STEP = 400_000
 
 
 def byte_kinds() -> np.ndarray:
@@ -88,25 +88,27 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, grade: np.ndarray, grades: int,
     """Weights and ordered thresholds; documents of rare grades weigh more, so that no grade is given up."""
     n, size = len(grade), 1 << BITS
     count = np.diff(bounds)
-    row = np.repeat(np.arange(n), count)
     scale = 1 / np.sqrt(np.maximum(count, 1))
-    seen = np.bincount(numbers, minlength=size)
-    usable = seen >= MIN_DOCUMENTS
+    cuts = [(a, b, numbers[bounds[a]:bounds[b]], np.repeat(np.arange(b - a), count[a:b])) for a, b in steps(count, FIT_STEP)]
+
+    def spread(value: np.ndarray) -> np.ndarray:
+        """Sum over documents of a value for each of their features."""
+        return sum(np.bincount(part, value[a:b][row], size) for a, b, part, row in cuts)
+
+    usable = spread(np.ones(n)) >= MIN_DOCUMENTS
     # Rare features get longer steps: the curvature of a weight is bounded by how often it is seen.
-    held = np.bincount(np.minimum(grade, grades - 1), minlength=grades)
+    held = np.bincount(grade, minlength=grades)
     importance = np.sqrt(n / (grades * np.maximum(held, 1)))[grade]
     importance /= importance.mean()
-    curvature = np.bincount(numbers, (importance * scale * count ** 0.5)[row], size) * (grades - 1) / n * 0.25
+    curvature = spread(importance * scale * np.sqrt(count)) * (grades - 1) / n * 0.25
     step = np.where(usable, 1 / np.maximum(curvature, 1e-9), 0)
     weights, thresholds = np.zeros(size), np.linspace(-1, 1, grades - 1)
     ahead, ahead_t, momentum = weights, thresholds, 1.0
     above = (grade[:, None] >= np.arange(1, grades)[None, :]).astype(np.float64)
     for _ in range(rounds):
-        z = np.bincount(row, ahead[numbers], n) * scale
-        p = tails(z, ahead_t)
-        gap = (p - above) * importance[:, None] / n
-        pull = np.bincount(numbers, (gap.sum(axis=1) * scale)[row], size)
-        moved = ahead - step * pull
+        z = np.concatenate([np.bincount(row, ahead[part], b - a) for a, b, part, row in cuts]) * scale
+        gap = (tails(z, ahead_t) - above) * importance[:, None] / n
+        moved = ahead - step * spread(gap.sum(axis=1) * scale)
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
         new_t = np.sort(ahead_t + gap.sum(axis=0) * 2.0)
         faster = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
@@ -174,13 +176,14 @@ def grade_documents(df: DataFrame, model: tuple[np.ndarray, np.ndarray], text: s
     weights, thresholds = model
     used = np.flatnonzero(weights).astype(np.int32)
     values = weights[used]
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), text_or_empty(text).alias("text"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    place = df.columns.index(text)
 
     def run(batches):
         table = np.zeros(1 << BITS)
         table[used] = values
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = pa.compute.fill_null(pa.compute.struct_field(batch.column(0), [place]), "").cast(pa.binary())
             for a, b in steps(pa.compute.binary_length(texts).to_pylist()):
                 p = tails(scores(table, *features(texts.slice(a, b - a).to_pylist())), thresholds)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p.sum(axis=1)), pa.array(p.tolist(), pa.list_(pa.float64()))],
