@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomtab.llm.common import binaries, map_batches, schema_of, text_or_empty
+from loomtab.llm.common import binaries, bound_batches, schema_of, text_or_empty, tidy_groups
 from loomtab.llm.hashing import BASE, OTHER_BASE, gram_hashes, mixed, powers, prefix
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 5 << 20
+BUCKET_BYTES = 5 << 20
+"""Text per block of documents, and text whose anchors make up a bucket."""
 CROWDED = 20_000
 """Occurrences of an anchor above which its windows are dealt one by one."""
 SEGMENT = 1 << 18
@@ -70,7 +72,7 @@ def anchors(data: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(sliding(np.concatenate([edge, least, edge]), width, np.maximum) == h)
         at = at[(at + low >= a) & (at + low < a + SEGMENT)]
         places.append(at + low)
-        hashes.append(h[at])
+        hashes.append(mixed(h[at] + np.uint64(BASE)))  # smallest hashes are small: mixed again they fill all buckets alike
     return np.concatenate(places), np.concatenate(hashes)
 
 
@@ -383,8 +385,8 @@ def classes(shape: Shape):
     return run
 
 
-def covered(shape: Shape, schema):
-    """Bytes of every text that a window of a smaller document covers, as runs, and what is left."""
+def covered(shape: Shape, schema, as_text: bool):
+    """Bytes of every text that a window of a smaller document covers, as runs, and what is left: bytes, or the text that they make up."""
     def run(table: pa.Table, found: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
@@ -443,27 +445,31 @@ def covered(shape: Shape, schema):
         kept = np.append(0, np.cumsum(left))[base]
         back = pa.array(np.argsort(order))
         lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v - base[owner], pa.int64())) for v in (begins, ends)]
-        made = [pa.array(size, pa.int64()), *lists, binaries(data[left], kept)]
+        rest = binaries(data[left], kept)
+        if as_text:
+            rest = pa.array([b.decode("utf-8", "ignore") for b in rest.to_pylist()], pa.string())
+        made = [pa.array(size, pa.int64()), *lists, rest]
         out = table.select(["row"]).columns + [c.take(back) for c in made]
         return pa.table(out, schema=schema)
     return run
 
 
-def marked_rows(df: DataFrame, key: str, text: str, threshold: int, crowded: int) -> DataFrame:
+def marked_rows(df: DataFrame, key: str, text: str, threshold: int, crowded: int, as_text: bool = False) -> DataFrame:
     """``row`` with all columns of ``df``, ``n_bytes``, ``starts``, ``stops`` and ``kept`` of every row."""
     shape = Shape(threshold)
     value = text_or_empty(text).cast("binary")
     total = df.agg(F.sum(F.octet_length(text_or_empty(text)))).first()[0] or 0
-    blocks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_BYTES))
+    blocks, buckets = (max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // size)) for size in (BLOCK_BYTES, BUCKET_BYTES))
+    bound_batches(df.sparkSession)
     number = F.col(key).cast("long")
     texts = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text], F.col(text).isNull().alias("")).alias("row"),
                       F.coalesce(number, F.lit(LAST)).alias("key"), value.alias("text"), F.pmod(F.xxhash64(number, value), F.lit(blocks)).alias("block"))
-    sent = texts.groupBy("block").applyInArrow(first_digit(shape, blocks), BLOBS)
-    marks = sent.groupBy("bucket").applyInArrow(repeated(crowded), BLOBS)
-    around = texts.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(second_digit(shape, blocks), BLOBS)
-    found = around.groupBy("bucket").applyInArrow(classes(shape), BLOBS)
-    schema = schema_of(texts.select("row"), "n_bytes long, starts array<long>, stops array<long>, kept binary")
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(covered(shape, to_arrow_schema(schema)), schema)
+    sent = texts.groupBy("block").applyInArrow(tidy_groups(first_digit(shape, buckets)), BLOBS)
+    marks = sent.groupBy("bucket").applyInArrow(tidy_groups(repeated(crowded)), BLOBS)
+    around = texts.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(tidy_groups(second_digit(shape, buckets)), BLOBS)
+    found = around.groupBy("bucket").applyInArrow(tidy_groups(classes(shape)), BLOBS)
+    schema = schema_of(texts.select("row"), f"n_bytes long, starts array<long>, stops array<long>, kept {'string' if as_text else 'binary'}")
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidy_groups(covered(shape, to_arrow_schema(schema), as_text)), schema)
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 50, crowded: int = CROWDED) -> DataFrame:
@@ -480,12 +486,5 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", thres
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 50, crowded: int = CROWDED) -> DataFrame:
     """All columns of ``df`` with the repeated bytes cut out of ``text``; what is left of a character that was cut goes too. NULL stays NULL."""
-    found = marked_rows(df, key, text, threshold, crowded).select("row", "kept")
-
-    def run(batches):
-        for batch in batches:
-            data = [b.decode("utf-8", "ignore") for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.string())], ["row", "kept"])
-
-    whole = map_batches(found, run, schema_of(found.select("row"), "kept string"))
-    return whole.select(*[F.when(~F.col("row")[""], F.col("kept")).alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns])
+    found = marked_rows(df, key, text, threshold, crowded, as_text=True)
+    return found.select(*[F.when(~F.col("row")[""], F.col("kept")).alias(c) if c == text else F.col("row")[c].alias(c) for c in df.columns])
