@@ -103,4 +103,4 @@ def chunk_function(size: int, overlap: int):
             for pos, at in enumerate(range(0, len(text or ""), step)):
                 yield pos, text[at:at + size]
 
-    return F.udtf(Chunks, returnType="pos int, chunk string")
+    return F.udtf(Chunks, returnType="pos int, chunk string", useArrow=True)
