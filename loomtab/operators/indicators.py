@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomtab.operators.ordered import decayed_mean, framed
+from loomtab.operators.ordered import decayed_mean, framed, row_index
 
 
 def bars(df: DataFrame, symbol: str, ts: str, value: str, unit: str) -> DataFrame:
@@ -17,6 +17,12 @@ def bars(df: DataFrame, symbol: str, ts: str, value: str, unit: str) -> DataFram
 
 
 KEY, ORDER = ["symbol"], ["t"]
+AT = "_at"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Bars with their place in their symbol: a chain of indicators numbers them once."""
+    return row_index(df, KEY, ORDER, AT)
 
 
 def sma(df: DataFrame, windows: Sequence[int]) -> DataFrame:
@@ -29,19 +35,19 @@ def ema(df: DataFrame, spans: Sequence[int], col: str = "close") -> DataFrame:
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    out = ema(df, [fast, slow])
+    out = decayed_mean(numbered(df), KEY, ORDER, {f"ema_{n}": (F.col("close"), 2.0 / (n + 1)) for n in (fast, slow)}, AT)
     out = out.withColumn("macd", F.col(f"ema_{fast}") - F.col(f"ema_{slow}")).drop(f"ema_{fast}", f"ema_{slow}")
-    out = decayed_mean(out, KEY, ORDER, {"macd_signal": (F.col("macd"), 2.0 / (signal + 1))})
-    return out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    out = decayed_mean(out, KEY, ORDER, {"macd_signal": (F.col("macd"), 2.0 / (signal + 1))}, AT)
+    return out.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop(AT)
 
 
 def rsi(df: DataFrame, n: int = 14) -> DataFrame:
     """0 to 100; the first bar counts as no change."""
-    out = framed(df, KEY, ORDER, 1, 0, lambda w: {"_d": F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0))})
+    out = framed(numbered(df), KEY, ORDER, 1, 0, lambda w: {"_d": F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0))}, index=AT)
     out = decayed_mean(out, KEY, ORDER, {"_up": (F.greatest("_d", F.lit(0.0)), 1.0 / n),
-                                         "_down": (F.greatest(-F.col("_d"), F.lit(0.0)), 1.0 / n)})
+                                         "_down": (F.greatest(-F.col("_d"), F.lit(0.0)), 1.0 / n)}, AT)
     both = F.col("_up") + F.col("_down")
-    return out.withColumn("rsi", F.when(both > 0, 100 * F.col("_up") / both)).drop("_d", "_up", "_down")
+    return out.withColumn("rsi", F.when(both > 0, 100 * F.col("_up") / both)).drop("_d", "_up", "_down", AT)
 
 
 def bollinger(df: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
@@ -57,9 +63,9 @@ def true_range(high: Column, low: Column, prior: Column) -> Column:
 
 
 def atr(df: DataFrame, n: int = 14) -> DataFrame:
-    out = framed(df, KEY, ORDER, 1, 0,
-                 lambda w: {"tr": true_range(F.col("high"), F.col("low"), F.lag("close").over(w))})
-    return decayed_mean(out, KEY, ORDER, {"atr": (F.col("tr"), 1.0 / n)})
+    out = framed(numbered(df), KEY, ORDER, 1, 0,
+                 lambda w: {"tr": true_range(F.col("high"), F.col("low"), F.lag("close").over(w))}, index=AT)
+    return decayed_mean(out, KEY, ORDER, {"atr": (F.col("tr"), 1.0 / n)}, AT).drop(AT)
 
 
 def _typical() -> Column:
@@ -75,8 +81,8 @@ def vwma(df: DataFrame, n: int = 14) -> DataFrame:
 
 def mfi(df: DataFrame, n: int = 14) -> DataFrame:
     """Money flow index 0 to 100; 50 where no money moved."""
-    out = df.withColumn("_tp", _typical())
-    out = framed(out, KEY, ORDER, 1, 0, lambda w: {"_move": F.col("_tp") - F.lag("_tp").over(w)})
+    out = numbered(df.withColumn("_tp", _typical()))
+    out = framed(out, KEY, ORDER, 1, 0, lambda w: {"_move": F.col("_tp") - F.lag("_tp").over(w)}, index=AT)
     flow = F.col("_tp") * F.col("volume")
 
     def build(w):
@@ -84,4 +90,4 @@ def mfi(df: DataFrame, n: int = 14) -> DataFrame:
         up = F.sum(F.when(F.col("_move") > 0, flow).otherwise(0.0)).over(f)
         down = F.sum(F.when(F.col("_move") < 0, flow).otherwise(0.0)).over(f)
         return {"mfi": F.when(up + down > 0, 100 * up / (up + down)).otherwise(50.0)}
-    return framed(out, KEY, ORDER, n, 0, build).drop("_tp", "_move")
+    return framed(out, KEY, ORDER, n, 0, build, index=AT).drop("_tp", "_move", AT)

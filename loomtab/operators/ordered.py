@@ -132,20 +132,27 @@ def carry_last(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: dic
 
 
 def framed(df: DataFrame, by: Sequence[str], order: Sequence[str], before: int, after: int,
-           build: Callable[[WindowSpec], dict[str, Column]], chunk_rows: int = 250_000) -> DataFrame:
+           build: Callable[[WindowSpec], dict[str, Column]], chunk_rows: int = 250_000, index: str | None = None) -> DataFrame:
     """Window expressions that look at most ``before`` rows back and ``after`` ahead.
 
     Hot groups are cut into row-count chunks; each chunk also receives the few
-    neighbour rows its frames reach, which are dropped after the window.
+    neighbour rows its frames reach, which are dropped after the window. With the rows' ``index`` in their
+    group (as ``row_index`` numbers them) every group is cut by it, and nothing is counted again.
     """
     by = list(by)
+    size = max(chunk_rows, before, after, 1)
+    if index is not None:
+        return _chunked(df, by, order, before, after, build, size, index)
     cold, hot = split_hot(df, by)
     out = cold.withColumns(build(Window.partitionBy(*by).orderBy(*order)))
     if hot is None:
         return out
-    size = max(chunk_rows, before, after, 1)
-    pos = F.col("_idx") % size
-    own = F.floor(F.col("_idx") / size)
+    return out.unionByName(_chunked(row_index(hot, by, order, "_idx"), by, order, before, after, build, size, "_idx").drop("_idx"))
+
+
+def _chunked(df, by, order, before, after, build, size, index):
+    pos = F.col(index) % size
+    own = F.floor(F.col(index) / size)
     copies = F.filter(
         F.array(
             F.struct(own.alias("chunk"), F.lit(True).alias("own")),
@@ -154,34 +161,33 @@ def framed(df: DataFrame, by: Sequence[str], order: Sequence[str], before: int,
         ),
         lambda c: c.isNotNull(),
     )
-    spread = (row_index(hot, by, order, "_idx")
-              .withColumn("_c", F.explode(copies))
-              .withColumns({"_chunk": F.col("_c.chunk"), "_own": F.col("_c.own")}))
+    spread = df.withColumn("_c", F.explode(copies)).withColumns({"_chunk": F.col("_c.chunk"), "_own": F.col("_c.own")})
     w = Window.partitionBy(*by, "_chunk").orderBy(*order)
-    done = spread.withColumns(build(w)).where("_own").drop("_idx", "_c", "_chunk", "_own")
-    return out.unionByName(done)
+    return spread.withColumns(build(w)).where("_own").drop("_c", "_chunk", "_own")
 
 
 def decayed_mean(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                 cols: dict[str, tuple[Column, float]]) -> DataFrame:
+                 cols: dict[str, tuple[Column, float]], index: str | None = None) -> DataFrame:
     """Exponentially weighted means ``{name: (value, alpha)}``, weights (1-alpha)^age.
 
     The weight of rows older than one block is below 2**-60, so a block of rows
     plus the total of the block before it gives the recursive value to double
-    precision with no recursion and no whole group in one task.
+    precision with no recursion and no whole group in one task. ``index`` names
+    a column with the rows' place in their group, if there is one.
     """
     blocks = {n: max(2, math.ceil(60 * math.log(2) / -math.log(1.0 - a))) for n, (_, a) in cols.items()}
     block = max(blocks.values())
     # Weights inside a block are scaled by keep**-position and must stay finite.
     if max(-math.log(1.0 - a) for _, a in cols.values()) * block > 500:
         for name, spec in cols.items():
-            df = decayed_mean(df, by, order, {name: spec})
+            df = decayed_mean(df, by, order, {name: spec}, index)
         return df
-    unit = [*by, "_b"]
-    pos = (F.col("_i") % block).cast("double")
+    unit, at = [*by, "_b"], index or "_i"
+    pos = (F.col(at) % block).cast("double")
     w = Window.partitionBy(*unit).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     keep = {n: F.lit(1.0 - a) for n, (_, a) in cols.items()}
-    rows = row_index(df, by, order, "_i").withColumn("_b", F.floor(F.col("_i") / block))
+    rows = df if index else row_index(df, by, order, "_i")
+    rows = rows.withColumn("_b", F.floor(F.col(at) / block))
     rows = rows.withColumns({f"_y_{n}": v * F.pow(keep[n], -pos) for n, (v, _) in cols.items()})
     tail = (rows.groupBy(*unit)
             .agg(*[(F.sum(f"_y_{n}") * F.pow(keep[n], F.lit(block - 1.0))).alias(f"_p_{n}") for n in cols])
@@ -191,7 +197,7 @@ def decayed_mean(df: DataFrame, by: Sequence[str], order: Sequence[str],
     means = {}
     for n, (_, alpha) in cols.items():
         total = F.col(f"_s_{n}") + F.pow(keep[n], pos + 1) * F.coalesce(f"_p_{n}", F.lit(0.0))
-        means[n] = total * alpha / (1 - F.pow(keep[n], F.col("_i") + 1))
+        means[n] = total * alpha / (1 - F.pow(keep[n], F.col(at) + 1))
     return out.withColumns(means).select(*df.columns, *cols)
 
 
