@@ -69,10 +69,10 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a scan over all cores ahead of costly row work, where the scan has fewer splits than there are cores.
+    """Rows over all cores ahead of costly row work, where they come from fewer files than there are cores.
 
-    A large table already comes in more splits and is left as it is; no shuffle is added to it. The number of
-    splits is that of the files, not an estimate.
+    A large table already comes in more splits and is left as it is; no shuffle is added to it. Files are
+    counted, no size is estimated and nothing is run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
