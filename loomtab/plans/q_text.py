@@ -168,7 +168,7 @@ def _(t):
 @query("pack_best_fit", "SELECT true AS full_rows, true AS short_at_end FROM documents LIMIT 1")
 def _(t):
     docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("t"))
-    rows = T.pack_best_fit(docs, "doc_id", "t", 257, lanes=4)
+    rows = T.pack_best_fit(docs, "doc_id", "t", 257, lanes=t.spark.sparkContext.defaultParallelism)
     last = rows.groupBy("lane").agg(F.max("row").alias("last"))
     n = F.size("tokens")
     return rows.join(last, "lane").agg((F.max(n) == 257).alias("full_rows"), F.bool_and((n == 257) | (F.col("row") == F.col("last"))).alias("short_at_end"))
