@@ -153,7 +153,8 @@ def with_neighbour(df: DataFrame, key: str, text: str) -> DataFrame:
     own = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), F.lit(-2**63)).alias("at"), text_or_empty(text).alias("text"))
     own = own.withColumn("digest", F.xxhash64("text"))
     size = df.agg(F.sum(F.octet_length(text_or_empty(text)))).first()[0] or 0
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    parts = 4 * tasks  # several ranges to a task even out what hashing their numbers deals unevenly
     cuts = own.agg(F.percentile_approx("at", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
     bounds = sorted(set(cuts or []))
     own = own.withColumn("part", bucket_of(F.col("at"), bounds))
@@ -171,7 +172,7 @@ def with_neighbour(df: DataFrame, key: str, text: str) -> DataFrame:
                                                                F.struct(F.element_at(follows, mine).alias("part"), F.lit(True).alias("halo"))))
                                            .otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("halo"))))))
     dealt = dealt.select("id", "at", "digest", "text", F.col("to.part").alias("part"), F.col("to.halo").alias("halo"))
-    return dealt.repartition(n, "part").sortWithinPartitions("part", F.desc("halo"), "at", "digest").select("id", "part", "halo", "text")
+    return dealt.repartition(tasks, "part").sortWithinPartitions("part", F.desc("halo"), "at", "digest").select("id", "part", "halo", "text")
 
 
 def edited(text: str, following: str) -> str:
