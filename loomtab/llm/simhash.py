@@ -83,6 +83,8 @@ def link_edges(values: DataFrame, distance: int = 3, segments: int = SEGMENTS, d
     if segments < 2 or segments > 8:
         raise ValueError("segments must be 2 to 8")
     radius = distance // segments
+    # Few bytes become many rows: without a fixed number of partitions they would all start in a few tasks.
+    values = values.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fingerprint"))
     own = F.array(*[segment(F.col("fingerprint"), s, segments) for s in range(segments)])
     near = F.array(*[segment(F.col("fingerprint"), s, segments).bitwiseXOR(F.lit(m)) for s in range(segments) for m in ball(s, segments, radius)])
     index = values.select(F.explode(own).alias("key"), F.col("fingerprint").alias("b"))
@@ -123,8 +125,9 @@ def grouped(df: DataFrame, key: str, text: str, shingle: int, distance: int) ->
     prints = materialize(fingerprints(rows, "value", shingle, ("key", "digest")))
     values = prints.select("fingerprint").distinct()
     roots = components(link_edges(values, distance))
-    named = values.join(roots, values["fingerprint"] == roots["node"], "left") \
-        .select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+    # Written out, so that the join meets plain shuffles, of which a large one can be split.
+    named = materialize(values.join(roots, values["fingerprint"] == roots["node"], "left")
+                        .select("fingerprint", F.coalesce("root", "fingerprint").alias("root")))
     return prints.join(named, "fingerprint")
 
 
@@ -136,7 +139,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     (a group of NULL keys only has component NULL). Repeated rows stay repeated. No other column is read.
     """
     rows = grouped(df, key, text, shingle, distance)
-    least = rows.groupBy("root").agg(F.min("key").alias("component_id"))
+    # Written out, so that the join meets plain shuffles, of which a large one can be split.
+    least = materialize(rows.groupBy("root").agg(F.min("key").alias("component_id")))
     return rows.join(least, "root").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -147,9 +151,16 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     Of several rows with that key the one whose text has the smallest hash stays, of rows equal in key and text a single one.
     """
     names = df.columns
+    kind = df.schema[key].dataType
+
+    def identity(column: str) -> list[Column]:
+        """Plain columns, so that the join and the step after it share one shuffle of the texts."""
+        return [F.col(column).isNull().alias("absent"), F.coalesce(column, F.lit(0).cast(kind)).alias("id")]
+
     order = F.struct(F.col("key").isNull(), "key", "digest")
     kept = grouped(df, key, text, shingle, distance).groupBy("root").agg(F.min(order).alias("first")) \
-        .select(F.col("first.key").alias("kept_key"), F.col("first.digest").alias("kept_digest"))
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(key).alias("key"), F.xxhash64(text_or_empty(text)).alias("digest"))
-    rows = rows.join(kept, F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("digest") == F.col("kept_digest")), "left_semi")
-    return rows.dropDuplicates(["key", "digest"]).select("row.*")
+        .select(F.col("first.key").alias("key"), F.col("first.digest").alias("digest")).select(*identity("key"), "digest")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(key).alias("key"), F.xxhash64(text_or_empty(text)).alias("digest")) \
+        .select("row", *identity("key"), "digest")
+    same = ["absent", "id", "digest"]
+    return rows.join(kept, same, "left_semi").dropDuplicates(same).select("row.*")
