@@ -174,7 +174,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "count"])
 
-    return map_batches(tokens.select("n_tokens", "ids"), run, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
+    return map_batches(tokens.select("n_tokens", "ids"), run, "id long, count long", cached=True).groupBy("id").agg(F.sum("count").alias("count"))
 
 
 def write_tokens(tokens: DataFrame, path: str, key: str = "doc_id") -> None:
@@ -229,7 +229,7 @@ def write_tokens(tokens: DataFrame, path: str, key: str = "doc_id") -> None:
         if ids:
             yield flush()
 
-    map_batches(ordered, run, schema).write.option("compression", "none").parquet(f"{path}/blocks")
+    map_batches(ordered, run, schema, cached=True).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -260,7 +260,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                                                   pa.array([c.astype("<u4").tobytes() for c in cut], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     schema = schema_of(blocks.select(F.col("docs")[0].alias("doc_id")), "start long, n_tokens long, ids binary")
-    return map_batches(blocks.select("docs", "part", "start", "tokens", "payload"), run, schema)
+    return map_batches(blocks.select("docs", "part", "start", "tokens", "payload"), run, schema, cached=True)
 
 
 def token_files(df: DataFrame, path: str, tokenizer: str, end: int | None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@
 Both kinds of vocabulary cut a text before a white-space run that follows a non-space, and between a
 Latin letter and a following punctuation mark, whatever stands around. Such places are found
 on the bytes, chunks are told apart by hash, and those new to a worker go through the library:
-plain words together, set apart by a control character, all others one by one. Only blanks,
+ASCII words through its model, other words together, set apart by a control character, all others one by one. Only blanks,
 tabs and line ends count as white space here; any other stays inside its chunk.
 """
 
@@ -18,6 +18,7 @@ import numpy as np
 from loomtab.llm.common import worker_cache
 from loomtab.llm.hashing import Known
 
+PLAIN = re.compile(r" ?[A-Za-z]+")
 WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 SPACE, MARK, LATIN = 1, 2, 4
 LONGEST = 1 << 20
@@ -68,16 +69,22 @@ class ChunkEncoder:
         return starts, ends
 
     def learn(self, chunks: list[str]) -> np.ndarray:
-        plain = np.array([WORD.fullmatch(c) is not None for c in chunks], bool)
-        words = [c for c, p in zip(chunks, plain.tolist()) if p]
+        """ASCII words go to the library's model as they are, its other steps would not change them; all else takes every step."""
+        merge, others, places = self.tokenizer.model.tokenize, [], []
+        lists: list = [None] * len(chunks)
+        for i, c in enumerate(chunks):
+            if PLAIN.fullmatch(c) and (self.spaced or c.islower()):
+                lists[i] = [t.id for t in merge("\u0120" + c[1:] if c[0] == " " else c)]
+            else:
+                others.append(c)
+                places.append(i)
+        words = [c for c in others if WORD.fullmatch(c)]
         joined = np.array(self.library([self.apart.join(words)])[0] if words else [], np.int32)
-        cuts = np.append(np.flatnonzero(joined == self.apart_id), len(joined)) if words else np.zeros(0, np.int64)
-        if len(cuts) != len(words):
-            raise AssertionError("the mark between words was not kept")
-        out = np.empty(len(chunks), np.int64)
-        out[plain] = self.known.add_runs(np.delete(joined, cuts[:-1]), np.diff(cuts - np.arange(len(cuts)), prepend=0))
-        out[~plain] = self.known.add(self.library([c for c, p in zip(chunks, plain.tolist()) if not p]))
-        return out
+        runs = iter(np.split(joined, np.flatnonzero(joined == self.apart_id)))
+        rest = iter(self.library([c for c in others if not WORD.fullmatch(c)]))
+        for i, c in zip(places, others):
+            lists[i] = [t for t in next(runs).tolist() if t != self.apart_id] if WORD.fullmatch(c) else next(rest)
+        return self.known.add(lists)
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the count before each text (and after the last); ``end`` closes each text."""

@@ -111,7 +111,7 @@ def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written below the shared folder and read back: a lineage cut that survives lost executors."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
