@@ -3,8 +3,8 @@
 Both kinds of vocabulary cut a text before a white-space run that follows a non-space, and between a
 Latin letter and a following punctuation mark, whatever stands around. Such places are found
 on the bytes, chunks are told apart by hash, and those new to a worker go through the library:
-ASCII words through its model, other words together, set apart by a control character, all others one by one. Only blanks,
-tabs and line ends count as white space here; any other stays inside its chunk.
+ASCII words through its model, other words together, set apart by a control character, all others one by one. A run is
+cut before a blank, tab or line end only, and only if it starts there: runs of other white space stay inside their chunk.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ PLAIN = re.compile(r" ?[A-Za-z]+")
 WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 SPACE, MARK, LATIN = 1, 2, 4
 LONGEST = 1 << 20
+# White space outside ASCII, as the bytes of its code points.
+WIDE_SPACE = np.array([int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)], np.uint32)
 
 
 def byte_kinds() -> np.ndarray:
@@ -32,6 +34,16 @@ def byte_kinds() -> np.ndarray:
     return out
 
 
+def ends_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """True where white space that is not one of the four bytes above ends at a position."""
+    last = data[at]
+    out = (last >= 0x0B) & (last <= 0x1F)  # control characters of which some are white space
+    wide = np.flatnonzero(last >= 0x80)
+    two = data[at[wide] - 1].astype(np.uint32) << 8 | last[wide]
+    out[wide] = (two == 0xC285) | (two == 0xC2A0) | np.isin(data[at[wide] - 2].astype(np.uint32) << 16 | two, WIDE_SPACE)
+    return out
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,7 +70,8 @@ class ChunkEncoder:
         start = np.zeros(len(data) + 1, bool)
         start[first] = True
         start[1:-1] |= (kind[1:] == MARK) & latin[:-1]
-        start[1:-1] |= space[1:] & ~space[:-1]
+        run = np.flatnonzero(space[1:] & ~space[:-1])
+        start[run[~ends_wide_space(data, run)] + 1] = True
         if not self.spaced:
             start[1:-1] |= space[:-1] & ~space[1:]
         starts = np.flatnonzero(start[:-1])
@@ -129,9 +142,9 @@ class ChunkEncoder:
 
 
 def pieces(text: str):
-    """A long text in runs that end before a blank or line end after a non-space; short ones whole."""
+    """A long text in runs that end before a blank or line end after what is no white space of any kind; short ones whole."""
     while len(text) > LONGEST:
-        at = next((m.start() + 1 for m in re.finditer(r"[^ \t\n\r][ \n]", text[LONGEST // 2:])), None)
+        at = next((m.start() + 1 for m in re.finditer(r"\S[ \n]", text[LONGEST // 2:])), None)
         if at is None:
             break
         at += LONGEST // 2

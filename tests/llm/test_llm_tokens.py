@@ -84,6 +84,19 @@ def test_chunks_as_the_library(vocabulary, name):
             assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids + ([] if end is None else [end])
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_chunks_with_every_white_space(vocabulary, name):
+    library = Tokenizer.from_file(vocabulary(name))
+    encoder = chunks.ChunkEncoder(vocabulary(name))
+    r = random.Random(0)
+    white = [chr(c) for c in range(0x10000) if chr(c).isspace()]
+    texts = ["a \u00a0 \u00a0 b", *["".join(r.choices(["a", "é", ".", "漢", " ", " ", "\n", "\u00a0", "\u00a0", "\u200b", r.choice(white)], k=r.randint(0, 40))) for _ in range(5000)]]
+    texts += ["a" + w + " " + w + " " + w + " b" for w in white] + ["ab\u00a0 \u00a0 " * 150_000]
+    ids, bounds = encoder.encode(texts)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_blocks_round_trip_and_damage():
     rng = np.random.default_rng(0)
     blocks = [rng.zipf(1.3, n).clip(0, 49_000).astype(np.uint32) for n in (1, 5, 63, 64, 65, 8191, 8192, 8193, 40_000)] + [np.full(300, 7, np.uint32)]
