@@ -101,8 +101,6 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the count before each text (and after the last); ``end`` closes each text."""
-        if self.known.full():
-            self.known.drop()
         parts, owner = [], []
         for i, text in enumerate(texts):
             for part in pieces(text):
@@ -127,6 +125,8 @@ class ChunkEncoder:
         return out, bounds + np.arange(len(texts) + 1)
 
     def _encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self.known.full():
+            self.known.drop()
         whole = b"".join(parts)
         if not self.spaced:
             whole = whole.lower()  # as the library will do with A-Z

@@ -53,22 +53,28 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 class Known:
-    """Number of each slice seen before, found by 96 bits of hash in an open table; the ids of a slice belong to its number."""
+    """Number of each slice seen before, found by 96 bits of hash in an open table; the ids of a slice belong to its number.
+
+    The table starts with 2**``bits`` places. It grows within a step that needs more; ``full`` tells to drop it before the next one.
+    """
 
     def __init__(self, bits: int = 21):
-        self.bits = bits
+        self.least = bits
         self.drop()
 
     def drop(self) -> None:
-        size = 1 << self.bits
-        self.key, self.check, self.value = np.zeros(size, np.uint64), np.zeros(size, np.uint32), np.full(size, -1, np.int32)
+        self.empty(self.least)
         self.tokens, self.ends = array("i"), array("q", [0])
 
+    def empty(self, bits: int) -> None:
+        self.bits, self.used, size = bits, 0, 1 << bits
+        self.key, self.check, self.value = np.zeros(size, np.uint64), np.zeros(size, np.uint32), np.full(size, -1, np.int32)
+
     def __len__(self) -> int:
         return len(self.ends) - 1
 
     def full(self) -> bool:
-        return len(self) > (1 << self.bits) * 6 // 10
+        return len(self) > (1 << self.least) * 6 // 10
 
     def add(self, lists: list[list[int]]) -> np.ndarray:
         """Numbers given to the ids of new slices."""
@@ -97,6 +103,15 @@ class Known:
         return out
 
     def put(self, key: np.ndarray, check: np.ndarray, number: np.ndarray) -> None:
+        need, bits = self.used + len(key), self.bits
+        while need > (1 << bits) * 8 // 10:
+            bits += 1
+        if bits > self.bits:
+            held = np.flatnonzero(self.value >= 0)
+            old = self.key[held], self.check[held], self.value[held]
+            self.empty(bits)
+            self.put(*old)
+        self.used += len(key)
         at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
         left = np.arange(len(key))
         while len(left):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import signal
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 import odd
-from loomtab.llm import ans, bpe, chunks, packing, queries  # noqa: F401 - registers the queries
+from loomtab.llm import ans, bpe, chunks, hashing, packing, queries  # noqa: F401 - registers the queries
 from loomtab.plans.registry import QUERIES
 from loomtab.sources.tables import Tables
 
@@ -97,6 +98,34 @@ def test_chunks_with_every_white_space(vocabulary, name):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture
+def soon():
+    """A call that never ends fails."""
+    def stop(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(30)
+    yield
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)
+
+
+def test_more_new_slices_in_a_step_than_places(vocabulary, multi, soon):
+    text = " ".join(f"{i:x}!" for i in range(3000))
+    pieces, own = bpe.Pieces(bpe.read_ranks(multi)), engine(multi)
+    pieces.known = hashing.Known(bits=6)
+    splitter = bpe.Splitter(bpe.code_classes())
+    for texts in (["some words"], [text], ["then others", text[:50]], [text]):
+        ids, _, bounds = bpe.encode_texts(texts, splitter, pieces)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == own.encode_ordinary_batch(texts)
+    encoder, library = chunks.ChunkEncoder(vocabulary("byte_bpe_50k.json")), Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    encoder.known = hashing.Known(bits=6)
+    for texts in (["some words"], [text] * 3, ["then others", text[:50]], [text]):
+        ids, bounds = encoder.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_blocks_round_trip_and_damage():
     rng = np.random.default_rng(0)
     blocks = [rng.zipf(1.3, n).clip(0, 49_000).astype(np.uint32) for n in (1, 5, 63, 64, 65, 8191, 8192, 8193, 40_000)] + [np.full(300, 7, np.uint32)]
