@@ -5,6 +5,7 @@ Latin letter and a following punctuation mark, whatever stands around. Such plac
 on the bytes, chunks are told apart by hash, and those new to a worker go through the library:
 ASCII words through its model, other words together, set apart by a control character, all others one by one. A run is
 cut before a blank, tab or line end only, and only if it starts there: runs of other white space stay inside their chunk.
+Added tokens are looked up in the text as it is, before all else; what stands between them is encoded by itself, as the library does.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ PLAIN = re.compile(r" ?[A-Za-z]+")
 WORD = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 SPACE, MARK, LATIN = 1, 2, 4
 LONGEST = 1 << 20
+TOKEN = "\udcff"  # the byte 0xFF
 # White space outside ASCII, as the bytes of its code points.
 WIDE_SPACE = np.array([int.from_bytes(chr(c).encode(), "big") for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)], np.uint32)
 
@@ -45,17 +47,21 @@ def ends_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class ChunkEncoder:
-    def __init__(self, path: str):
+    """``added`` tells whether strings of added tokens in a text are these tokens, as in a plain call of the library, or ordinary text."""
+
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # a chunk holds none: they are cut out before, or are ordinary text
         self.spaced = keeps_space(path)
         self.apart = "\x01" if self.spaced else " \x01 "
         self.apart_id = self.library(["\x01"])[0][0]
         self.kinds = byte_kinds()
         self.known = Known()
+        self.added = added_tokens(path) if added else {}
+        self.cut_out = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,7 +92,9 @@ class ChunkEncoder:
         merge, others, places = self.tokenizer.model.tokenize, [], []
         lists: list = [None] * len(chunks)
         for i, c in enumerate(chunks):
-            if PLAIN.fullmatch(c) and (self.spaced or c.islower()):
+            if c[:1] == TOKEN:
+                lists[i] = [int(c[1:])]
+            elif PLAIN.fullmatch(c) and (self.spaced or c.islower()):
                 lists[i] = [t.id for t in merge("\u0120" + c[1:] if c[0] == " " else c)]
             else:
                 others.append(c)
@@ -99,12 +107,23 @@ class ChunkEncoder:
             lists[i] = [t for t in next(runs).tolist() if t != self.apart_id] if WORD.fullmatch(c) else next(rest)
         return self.known.add(lists)
 
+    def parts(self, text: str):
+        """Bytes of the parts of a text that are encoded by themselves; an added token is a byte no text has, and its id."""
+        at = 0
+        for found in self.cut_out.finditer(text) if self.cut_out else ():
+            if found.start() > at:
+                yield from map(str.encode, pieces(text[at:found.start()]))
+            yield (TOKEN + str(self.added[found[0]])).encode(errors="surrogateescape")
+            at = found.end()
+        if at < len(text):
+            yield from map(str.encode, pieces(text[at:] if at else text))
+
     def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the count before each text (and after the last); ``end`` closes each text."""
         parts, owner = [], []
         for i, text in enumerate(texts):
-            for part in pieces(text):
-                parts.append(part.encode())
+            for part in self.parts(text):
+                parts.append(part)
                 owner.append(i)
         counts, ids = np.zeros(len(texts), np.int64), []
         step, held = [], 0
@@ -135,7 +154,7 @@ class ChunkEncoder:
         starts, ends = self.cut(data, bounds[:-1])
 
         def learn(fresh: np.ndarray) -> np.ndarray:
-            return self.learn([whole[a:b].decode() for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+            return self.learn([whole[a:b].decode(errors="surrogateescape") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
 
         ids, before = self.known.expand(self.known.numbers(data, starts, ends, learn))
         return ids, np.diff(before[np.searchsorted(starts, bounds)])
@@ -166,5 +185,14 @@ def keeps_space(path: str) -> bool:
     raise ValueError(f"no rule to cut texts for {path}")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the added tokens that are found in a text as it is; those with rules of their own are refused."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+        raise ValueError(f"no rule to find the added tokens of {path}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def chunk_encoder(path: str) -> ChunkEncoder:
-    return worker_cache("chunks_" + path, lambda: ChunkEncoder(path))
+    return worker_cache("chunks_" + path, lambda: ChunkEncoder(path, added=True))

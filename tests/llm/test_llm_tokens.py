@@ -98,6 +98,24 @@ def test_chunks_with_every_white_space(vocabulary, name):
         assert ids[bounds[i]:bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_as_in_a_plain_call(spark, vocabulary, tmp_path, name):
+    library = Tokenizer.from_file(vocabulary(name))
+    r = random.Random(0)
+    signs = ["<|endoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|endof", "text|>", "|>", "<", " ", "  ", "\n", "\u00a0", "a", "B", "é", "Σ", ".", "'s", "1", "́", "\x01"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", *["".join(r.choices(signs, k=r.randint(0, 20))) for _ in range(1500)], "ab, <|endoftext|>" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    got = ans.token_files(df, str(tmp_path / "a"), vocabulary(name), 2).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == want
+    found = {}
+    for r in packing.token_pieces(df, vocabulary(name), 2).collect():
+        assert r["doc_tokens"] == len(want[r["doc_id"]])
+        assert r["ids_crc32"] == zlib.crc32(np.array(want[r["doc_id"]][r["start"]:r["start"] + r["length"]], "<u4").tobytes())
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + r["length"]
+    assert found == {i: len(w) for i, w in want.items()}
+
+
 @pytest.fixture
 def soon():
     """A call that never ends fails."""
