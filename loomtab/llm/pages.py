@@ -3,8 +3,9 @@
 Pages of one host are merged into one tree: a node is a path of block elements with their names, and each
 page adds to every node the style it uses there (the sequence of child elements) and the texts below it. A
 node's importance joins the entropy of its styles over the pages with that of its texts: a branch that
-looks alike and says the same on every page has none. Presentation weighs in as well: elements and names
-made for menus, footers, notices and the like have no importance anywhere, an article is important as such. The
+looks alike and says the same on every page has none. Presentation weighs in as well: elements
+made for menus, footers and the like have no importance anywhere, an article is important as such. Names made for such
+branches count against a branch only if it holds less than half of the text; else, and for the article and what it stands in, entropy decides. The
 tree is a table of hashes and counts, so a host of any size is spread over tasks; only the hosts' unimportant
 paths go back to the pages.
 """
@@ -22,6 +23,7 @@ from loomtab.llm.common import map_batches, steps, stored, text_or_empty
 THRESHOLD = 0.3
 MIN_PAGES = 5
 STYLE_WEIGHT = 0.4
+NAME_SHARE = 0.5
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))""")
@@ -42,10 +44,21 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 
 
 class Node:
-    __slots__ = ("tag", "path", "article", "chrome", "children")
+    """``chrome`` by element, ``named`` by names; ``own`` is 2 for an article, 1 for the main part."""
 
-    def __init__(self, tag: str, path: str, article: bool, chrome: bool):
+    __slots__ = ("tag", "path", "article", "chrome", "children", "parent", "named", "own")
+
+    def __init__(self, tag: str, path: str, article: bool, chrome: bool, parent: Node | None = None, named: bool = False):
         self.tag, self.path, self.article, self.chrome, self.children = tag, path, article, chrome, []
+        self.parent, self.named, self.own = parent, named, 0
+
+    def line(self) -> list[Node]:
+        """The node and all above it."""
+        out, node = [], self
+        while node.parent is not None:
+            out.append(node)
+            node = node.parent
+        return out
 
 
 def below(parent: Node, tag: str, attributes: str) -> Node:
@@ -53,11 +66,13 @@ def below(parent: Node, tag: str, attributes: str) -> Node:
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
     names = NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
     role = found.get("role", "").lower()
-    article = parent.article or tag in ("article", "main") or role in ("main", "article")
-    top = not parent.article and (tag == "header" or "header" in names)
-    chrome = parent.chrome or top or tag in CHROME or role in CHROME_ROLES or not CHROME_NAMES.isdisjoint(names) \
+    own = 2 if tag == "article" or role == "article" else 1 if tag == "main" or role == "main" else 0
+    chrome = parent.chrome or tag in CHROME or role in CHROME_ROLES or (tag == "header" and not parent.article) \
         or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    return Node(tag, f"{parent.path}/{tag}" + "".join("." + n for n in sorted(set(names))), article, chrome)
+    named = tag not in ("html", "body") and (not CHROME_NAMES.isdisjoint(names) or ("header" in names and not parent.article))
+    node = Node(tag, f"{parent.path}/{tag}" + "".join("." + n for n in sorted(set(names))), parent.article or own > 0, chrome, parent, named)
+    node.own = own
+    return node
 
 
 def blocks(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
@@ -157,12 +172,29 @@ def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
 
 
 def main_text(page: str, unimportant: set[int]) -> str:
-    """Blocks of the article if the page has one, else all, without branches of no importance."""
-    found, _ = blocks(page)
-    inside = [(n, t) for n, t in found if n.article and not n.chrome]
-    if inside:
-        return "\n".join(t for _, t in inside)
-    return "\n".join(t for n, t in found if not n.chrome and not any(digest(p) in unimportant for p in ancestors(n.path)))
+    """Blocks of the article if the page has one, else all, without branches of no importance.
+
+    A named branch goes if it holds less than ``NAME_SHARE`` of the text considered. The article (the longest one, or the main part
+    of a page without) and all that it stands in never go; if nothing is left of it, all of it stays.
+    """
+    found = [(n, t) for n, t in blocks(page)[0] if not n.chrome]
+    inside = [(n, t) for n, t in found if n.article]
+    found = inside or found
+    size: dict[Node, int] = {}
+    for node, text in found:
+        for n in node.line():
+            if n.named or n.own:
+                size[n] = size.get(n, 0) + len(text)
+    total = sum(len(t) for _, t in found)
+    chosen = max((n for n in size if n.own), key=lambda n: (n.own, size[n]), default=None)
+    kept = dict.fromkeys(chosen.line(), True) if chosen else {}
+
+    def stays(n: Node) -> bool:
+        if n not in kept:
+            kept[n] = not (n.named and size[n] < NAME_SHARE * total) and (bool(inside) or digest(n.path) not in unimportant)
+        return kept[n]
+
+    return "\n".join([t for node, t in found if all(map(stays, node.line()))] or [t for _, t in inside])
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:

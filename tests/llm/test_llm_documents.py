@@ -46,6 +46,22 @@ def test_branches_that_repeat_on_a_host_go(spark):
     assert all("Welcome" in t for t in few.values())  # no evidence from so few pages
 
 
+def test_names_do_not_remove_the_article(spark):
+    cases = [
+        ("<body class='no-sidebar has-header'><p>text {0}</p><div class=sidebar>x</div></body>", "text {0}"),
+        ("<body><div class='page with-sidebar'><p>text {0}</p><p>more {0}</p></div><div class=sidebar>x</div></body>", "text {0}\nmore {0}"),
+        ("<article class='post social'><p>text {0}</p><ul class=share><li>x</ul></article>", "text {0}"),
+        ("<main class=has-banner><div class='content related'>text {0}</div></main><p>out", "text {0}"),
+        ("<div class=with-menu><article>text {0}</article><div class=related><article>x</article></div></div>", "text {0}"),
+    ]
+    article = "<main><article class=social>t 5 and 6</article><div class=comments>" + "<article>said</article>" * 30 + "</div></main>"
+    assert pages.main_text(article, set()).startswith("t 5 and 6")
+    for case, want in cases:
+        for n in (1, 12):  # without and with evidence
+            df = spark.createDataFrame([(i, f"http://h.x/{i}", case.format(i * 7919 + 1000)) for i in range(n)], "page_id long, url string, html string")
+            assert text_of(pages.extract_text(df)) == {i: want.format(i * 7919 + 1000) for i in range(n)}, case
+
+
 def test_op5_whole_table(spark, sf_dir):
     got = {r["page_id"]: r for r in QUERIES["op5_page_texts"](spark, sf_dir).collect()}
     rows = Tables(spark, sf_dir).pages.collect()
