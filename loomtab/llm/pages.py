@@ -1,7 +1,8 @@
 """Main text of web pages by site style trees.
 
 Pages of one host are merged into one tree: a node is a path of block elements with their names, and each
-page adds to every node the style it uses there (the sequence of child elements) and the texts below it. A
+page adds to every node the style it uses there (the sequence of child elements) and the texts below it; equal pages
+of a host count as one. A
 node's importance joins the entropy of its styles over the pages with that of its texts: a branch that
 looks alike and says the same on every page has none. Presentation weighs in as well: elements
 made for menus, footers and the like have no importance anywhere, an article is important as such. Names made for such
@@ -147,20 +148,27 @@ def page_features(page: str) -> set[tuple[int, int, int]]:
 
 
 def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host``, ``path`` (hash), ``pages`` that have it and its ``importance`` from 0 to 1; pages without a host are left out."""
+    """``host``, ``path`` (hash), different ``pages`` that have it and its ``importance`` from 0 to 1; pages without a host are left out.
+
+    Each of n equal pages of a host counts 1/n, so no page has to be moved to its copies: only their hashes are counted, and
+    those that repeat go back to the pages.
+    """
     def run(batches):
         for batch in batches:
             counts: dict = {}
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for host, text, copies in zip(*(c.to_pylist() for c in batch.columns)):
                 for feature in page_features(text):
-                    counts[host, *feature] = counts.get((host, *feature), 0) + 1
+                    counts[host, *feature] = counts.get((host, *feature), 0) + 1 / copies
             host, path, kind, value = ([k[i] for k in counts] for i in range(4))
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.int64()), pa.array(kind, pa.int32()), pa.array(value, pa.int64()),
-                                              pa.array(list(counts.values()), pa.int64())], ["host", "path", "kind", "value", "n"])
-
-    rows = pages.select(host_of(url).alias("host"), text_or_empty(page).alias("page")).where("host <> ''")
-    features = map_batches(rows, run, "host string, path long, kind int, value long, n long") \
-        .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+                                              pa.array(list(counts.values()), pa.float64())], ["host", "path", "kind", "value", "n"])
+
+    rows = pages.select(host_of(url).alias("host"), text_or_empty(page).alias("page")).where("host <> ''").withColumn("digest", F.xxhash64("page"))
+    repeated = rows.groupBy("host", "digest").agg(F.count("*").alias("copies")).where("copies > 1")
+    # Written out for the same reason as below: few copies are broadcast.
+    rows = rows.join(stored(repeated, "page-copies"), ["host", "digest"], "left").select("host", "page", F.coalesce("copies", F.lit(1)).alias("copies"))
+    features = map_batches(rows, run, "host string, path long, kind int, value long, n double") \
+        .groupBy("host", "path", "kind", "value").agg(F.round(F.sum("n")).alias("n"))
     style, text = F.col("kind") == 0, F.col("kind") == 1
     nodes = features.groupBy("host", "path").agg(
         F.sum(F.when(style, F.col("n"))).alias("pages"), F.sum(F.when(style, F.col("n") * F.log("n"))).alias("styles"),

@@ -62,6 +62,22 @@ def test_names_do_not_remove_the_article(spark):
             assert text_of(pages.extract_text(df)) == {i: want.format(i * 7919 + 1000) for i in range(n)}, case
 
 
+def paged(spark, pages_of):
+    return spark.createDataFrame(list(enumerate(pages_of)), "page_id long, html string").selectExpr("page_id", "'http://h.x/' || page_id as url", "html").repartition(7)
+
+
+def test_copies_of_pages_count_once(spark):
+    page = "<body><div id=top>Welcome to us</div><div class=text><p>story {0}</p></div></body>"
+    few = text_of(pages.extract_text(paged(spark, [page.format(i % 3) for i in range(60)])))
+    assert few == {i: f"Welcome to us\nstory {i % 3}" for i in range(60)}  # three pages give no evidence
+    many = text_of(pages.extract_text(paged(spark, [page.format(min(i, 9)) for i in range(3000)])))
+    assert many == {i: f"story {min(i, 9)}" for i in range(3000)}
+    tree = pages.style_tree(paged(spark, [page.format(min(i, 9)) for i in range(3000)]))
+    once = pages.style_tree(paged(spark, [page.format(i) for i in range(10)]))
+    rounded = lambda t: {(r["host"], r["path"]): (r["pages"], round(r["importance"], 9)) for r in t.collect()}
+    assert rounded(tree) == rounded(once)
+
+
 def test_op5_whole_table(spark, sf_dir):
     got = {r["page_id"]: r for r in QUERIES["op5_page_texts"](spark, sf_dir).collect()}
     rows = Tables(spark, sf_dir).pages.collect()
