@@ -199,7 +199,7 @@ def main_text(page: str, unimportant: set[int]) -> str:
 
     def stays(n: Node) -> bool:
         if n not in kept:
-            kept[n] = not (n.named and size[n] < NAME_SHARE * total) and (bool(inside) or digest(n.path) not in unimportant)
+            kept[n] = not (n.named and size[n] < NAME_SHARE * total) and digest(n.path) not in unimportant
         return kept[n]
 
     return "\n".join([t for node, t in found if all(map(stays, node.line()))] or [t for _, t in inside])

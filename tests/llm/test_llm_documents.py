@@ -78,6 +78,14 @@ def test_copies_of_pages_count_once(spark):
     assert rounded(tree) == rounded(once)
 
 
+def test_branches_that_repeat_inside_the_article_go(spark):
+    page = "<body><article><h1>title {0}</h1><p>story {0}</p><div><p>Written by us</p></div></article></body>"
+    got = text_of(pages.extract_text(paged(spark, [page.format(i * 7919) for i in range(40)])))
+    assert got == {i: f"title {i * 7919}\nstory {i * 7919}" for i in range(40)}
+    same = text_of(pages.extract_text(paged(spark, [f"<!-- {i} --><article><p>one</p></article>" for i in range(40)])))
+    assert set(same.values()) == {"one"}  # the article itself never goes
+
+
 def test_op5_whole_table(spark, sf_dir):
     got = {r["page_id"]: r for r in QUERIES["op5_page_texts"](spark, sf_dir).collect()}
     rows = Tables(spark, sf_dir).pages.collect()
