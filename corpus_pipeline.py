@@ -19,6 +19,11 @@ PASSAGE_BYTES = 160
 """Shorter repeats are common phrases; a passage of fifty words is about twice as long."""
 
 
+def says(text: str) -> Column:
+    """True for a text with a character that is no white space."""
+    return F.col(text).rlike(r"(?U)\S")
+
+
 def with_text(df: DataFrame, row: str, text: Column, columns: list[str]) -> DataFrame:
     """The columns of a row struct with another text."""
     out = df.select(*[text.alias(c) if c == "text" else F.col(row)[c].alias(c) for c in columns])
@@ -34,7 +39,7 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines that an earlier one has."""
     found = lines.without_repeated_runs(docs)
-    return with_text(found.where((F.col("n_removed") == 0) | (F.trim("kept") != "")), "row", F.col("kept"), docs.columns)
+    return with_text(found.where((F.col("n_removed") == 0) | says("kept")), "row", F.col("kept"), docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +50,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier one has."""
     found = suffixes.without_repeats(docs.withColumn("_before", F.octet_length("text")), threshold=PASSAGE_BYTES)
-    found = found.where((F.coalesce("_before", F.lit(0)) == 0) | (F.trim("text") != ""))
+    found = found.where((F.coalesce("_before", F.lit(0)) == 0) | says("text"))
     return with_text(found.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")), "row", F.col("row.text"), docs.columns)
 
 

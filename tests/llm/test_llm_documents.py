@@ -4,16 +4,20 @@ import collections
 import hashlib
 import html
 import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 import odd
+import test_llm_duplicates as duplicates
 from loomtab.llm import pages, quality, queries, sketches  # noqa: F401 - registers the queries
 from loomtab.plans.registry import QUERIES
 from loomtab.sources.tables import Tables
+from test_llm_tokens import packed
 
 
 def text_of(page):
@@ -220,3 +224,49 @@ def test_pipeline_takes_effect(spark, sf_dir):
     assert np.mean([r["kept"] for r in judged if r["toxic"] or not r["quality"]]) < 0.1
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() == out.select("doc_id", "start").distinct().count() > 0
+
+
+PASSAGE = " ".join(f"word{i}" for i in range(60))
+
+
+def test_documents_of_which_only_white_space_is_left_go(spark, sf_dir):
+    data = [(1, "a\nb\nc"), (2, "a\n\nb\n \nc"), (3, "a\nb\nc\n\u3000\n"), (4, "\n\n"), (5, "a\nb\nc\n\nd"), (6, None)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_line_runs(spark, odd.frame(spark, data), sf_dir).collect()}
+    assert got == {1: "a\nb\nc", 4: "\n\n", 5: "\nd", 6: None}
+    data = [(1, PASSAGE), (2, f"\n{PASSAGE}\n\u00a0"), (3, f"x {PASSAGE}\n"), (4, "")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_passages(spark, odd.frame(spark, data), sf_dir).collect()}
+    assert got == {1: PASSAGE, 3: "x ", 4: ""}
+
+
+def plain_run(docs, accepted, library):
+    """Rows (doc_id, start, length, ids_crc32, doc_tokens) of the pipeline; ids are neither NULL nor repeated."""
+    data = [(i, t) for i, t in docs if i in accepted]
+    data = [(i, t) for i, t, _, gone in duplicates.runs_removed(data, 3) if not gone or t.strip()]
+    data = [(i, t) for (i, t), (_, _, root) in zip(data, duplicates.groups(data)) if root == i]
+    first, left = {}, []
+    for i, t in sorted(data):
+        b = t.encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - corpus_pipeline.PASSAGE_BYTES + 1):
+            if first.setdefault(b[p:p + corpus_pipeline.PASSAGE_BYTES], i) < i:
+                gone[p:p + corpus_pipeline.PASSAGE_BYTES] = True
+        t = np.frombuffer(b, np.uint8)[~gone].tobytes().decode(errors="ignore")
+        if not b or t.strip():
+            left.append((i, t))
+    out = []
+    for i, t in left:
+        ids = library.encode(t, add_special_tokens=False).ids + [0]
+        for a in range(0, len(ids), 1024):
+            piece = np.array(ids[a:a + 1024], "<u4")
+            out.append((i, a, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+    return out
+
+
+def test_pipeline_row_by_row(spark, sf_dir, vocabulary):
+    docs = [(r["doc_id"], r["text"]) for r in Tables(spark, sf_dir).documents.collect()]
+    t = Tables(spark, sf_dir)
+    tails = quality.grade_documents(t.documents, quality.train(t.documents, quality.ratings(t.labels))).select("row.doc_id", "tails").collect()
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    want = plain_run(docs, {r["doc_id"] for r in tails if r["tails"][-1] >= 0.5}, Tokenizer.from_file(vocabulary("byte_bpe_50k.json")))
+    assert odd.plain(tuple(r)[:5] for r in got) == odd.plain(want)
+    packed([(r["length"], r["sequence_id"], r["offset"]) for r in got], 1024)
