@@ -13,7 +13,7 @@ from loomtab.llm.common import stored
 from loomtab.llm.queries import vocabulary
 from loomtab.sources.tables import Tables
 
-ORACLE_SQL = None  # classifier, Hamming groups and packing are beyond SQL; tests/llm holds each stage against a plain version
+ORACLE_SQL = None  # classifier, Hamming groups and packing are beyond SQL; tests/llm holds all stages but the grades against a plain version
 
 PASSAGE_BYTES = 160
 """Shorter repeats are common phrases; a passage of fifty words is about twice as long."""
