@@ -2,7 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
-from conftest import same
+from support import same
 from loomtab.operators import indicators as I, joins as J, ordered as O, splits as P, windows as W
 from loomtab.session import HOT_ROWS
 

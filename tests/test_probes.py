@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import same
+from support import same
 from loomtab import session
 from loomtab.operators import retrieval as V, splits as P, text as T
 from loomtab.sources import files as S
