@@ -190,7 +190,7 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces:
-    """Answers slices it has seen from a table of their hashes and merges the others."""
+    """Answers slices it has seen from a table of known ones and merges the others."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.known = ranks, Known()

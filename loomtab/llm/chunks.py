@@ -2,7 +2,7 @@
 
 Both kinds of vocabulary cut a text before a white-space run that follows a non-space, and between a
 Latin letter and a following punctuation mark, whatever stands around. Such places are found
-on the bytes, chunks are told apart by hash, and those new to a worker go through the library:
+on the bytes, chunks are told apart by their bytes, and those new to a worker go through the library:
 ASCII words through its model, other words together, set apart by a control character, all others one by one. A run is
 cut before a blank, tab or line end only, and only if it starts there: runs of other white space stay inside their chunk.
 Added tokens are looked up in the text as it is, before all else; what stands between them is encoded by itself, as the library does.

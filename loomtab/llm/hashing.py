@@ -1,13 +1,20 @@
-"""Polynomial hashes of byte slices, and a table of known slices kept by their hashes alone."""
+"""Hashes of byte slices, and a table of known slices.
+
+Slices of up to 15 bytes are told apart by their bytes, held in two words with their length; longer ones are keys
+of a dictionary, or hashed by XXH3. No equality of slices rests on the polynomial hash, which is for windows of one length only.
+"""
 
 from __future__ import annotations
 
 from array import array
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15
 OTHER_BASE = 0xC2B2AE3D27D4EB4F
+SHORT = 15
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -40,10 +47,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
-    """Hash of each slice, the same wherever the slice stands; its length counts."""
-    sums = prefix(data, base)
-    return mixed((sums[ends] - sums[starts]) * powers(len(data) + 1, base)[1][starts] + (ends - starts).astype(np.uint64))
+def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 15 bytes of each slice as two words; the last byte is the length, 255 for slices that do not fit."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[:len(data)] = data
+    words = np.ndarray(len(data) + 9, "<u8", padded.data, strides=(1,))
+    size = ends - starts
+    low = words[starts] & MASKS[np.minimum(size, 8)]
+    high = words[starts + 8] & MASKS[np.clip(size - 8, 0, 7)]
+    return low, high | np.where(size <= SHORT, size, 255).astype(np.uint64) << np.uint64(56)
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each slice, the same wherever the slice stands."""
+    low, high = packed(data, starts, ends)
+    out = mixed(low * np.uint64(BASE) ^ mixed(high))
+    long = np.flatnonzero(ends - starts > SHORT)
+    view = memoryview(data).cast("B")
+    out[long] = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())], np.uint64)
+    return out
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -53,9 +75,9 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 class Known:
-    """Number of each slice seen before, found by 96 bits of hash in an open table; the ids of a slice belong to its number.
+    """Number of each slice seen before; the ids of a slice belong to its number.
 
-    The table starts with 2**``bits`` places. It grows within a step that needs more; ``full`` tells to drop it before the next one.
+    Short slices stand in an open table under their own bytes, long ones in a dictionary. The table starts with 2**``bits`` places. It grows within a step that needs more; ``full`` tells to drop it before the next one.
     """
 
     def __init__(self, bits: int = 21):
@@ -65,10 +87,11 @@ class Known:
     def drop(self) -> None:
         self.empty(self.least)
         self.tokens, self.ends = array("i"), array("q", [0])
+        self.long: dict[bytes, int] = {}
 
     def empty(self, bits: int) -> None:
         self.bits, self.used, size = bits, 0, 1 << bits
-        self.key, self.check, self.value = np.zeros(size, np.uint64), np.zeros(size, np.uint32), np.full(size, -1, np.int32)
+        self.low, self.high, self.value = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, -1, np.int32)
 
     def __len__(self) -> int:
         return len(self.ends) - 1
@@ -91,49 +114,58 @@ class Known:
         self.ends.frombytes((held + np.cumsum(counts, dtype=np.int64)).tobytes())
         return np.arange(first, len(self))
 
-    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
-        at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
+    def places(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return (mixed(low * np.uint64(BASE) ^ mixed(high)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        at = self.places(low, high)
         out = self.value[at]
-        open_ = np.flatnonzero((out >= 0) & ((self.key[at] != key) | (self.check[at] != check)))
+        open_ = np.flatnonzero((out >= 0) & ((self.low[at] != low) | (self.high[at] != high)))
         while len(open_):
             at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
             place = at[open_]
             out[open_] = value = self.value[place]
-            open_ = open_[(value >= 0) & ((self.key[place] != key[open_]) | (self.check[place] != check[open_]))]
+            open_ = open_[(value >= 0) & ((self.low[place] != low[open_]) | (self.high[place] != high[open_]))]
         return out
 
-    def put(self, key: np.ndarray, check: np.ndarray, number: np.ndarray) -> None:
-        need, bits = self.used + len(key), self.bits
+    def put(self, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> None:
+        need, bits = self.used + len(low), self.bits
         while need > (1 << bits) * 8 // 10:
             bits += 1
         if bits > self.bits:
             held = np.flatnonzero(self.value >= 0)
-            old = self.key[held], self.check[held], self.value[held]
+            old = self.low[held], self.high[held], self.value[held]
             self.empty(bits)
             self.put(*old)
-        self.used += len(key)
-        at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
-        left = np.arange(len(key))
+        self.used += len(low)
+        at = self.places(low, high)
+        left = np.arange(len(low))
         while len(left):
             free = left[self.value[at[left]] < 0]
             self.value[at[free]] = number[free]  # of several for one place the last one stays
             won = free[self.value[at[free]] == number[free]]
-            self.key[at[won]], self.check[at[won]] = key[won], check[won]
+            self.low[at[won]], self.high[at[won]] = low[won], high[won]
             left = np.setdiff1d(left, won, assume_unique=True)
             at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
 
     def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, learn) -> np.ndarray:
         """Numbers of all slices; ``learn(positions)`` adds the ids of new ones and returns their numbers."""
-        key, check = slice_hashes(data, starts, ends), slice_hashes(data, starts, ends, OTHER_BASE).astype(np.uint32)
-        out = self.find(key, check)
-        missing = np.flatnonzero(out < 0)
-        if len(missing):
-            order = missing[np.lexsort((check[missing], key[missing]))]
-            new = np.append(True, (key[order[1:]] != key[order[:-1]]) | (check[order[1:]] != check[order[:-1]]))
-            fresh = order[new]
-            given = learn(fresh).astype(np.int32)
-            self.put(key[fresh], check[fresh], given)
+        low, high = packed(data, starts, ends)
+        fits = ends - starts <= SHORT
+        out = np.where(fits, self.find(low, high), -1)
+        missing = np.flatnonzero((out < 0) & fits)
+        order = missing[np.lexsort((low[missing], high[missing]))]
+        new = np.append(True, (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]]))[:len(order)]
+        fresh = order[new]
+        view, long = memoryview(data).cast("B"), np.flatnonzero(~fits)
+        names = [bytes(view[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        unseen = {name: i for i, name in zip(long.tolist(), names) if name not in self.long}
+        if len(fresh) or unseen:
+            given = learn(np.concatenate([fresh, np.fromiter(unseen.values(), np.int64, len(unseen))])).astype(np.int32)
+            self.put(low[fresh], high[fresh], given[:len(fresh)])
             out[order] = given[np.cumsum(new) - 1]
+            self.long.update(zip(unseen, given[len(fresh):].tolist()))
+        out[long] = [self.long[name] for name in names]
         return out.astype(np.int64)
 
     def expand(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,6 +11,12 @@ def texts(seed=3, n=60):
     return [*made, "", " ", "\n", "\n\n", None, "a" * 5000, "word " * 3000, "x", "é" * 40, "tail \n", *made[:5]]
 
 
+def twins(n=2048, signs="ab"):
+    """Two different words whose polynomial hashes modulo 2**64 are equal for every odd base."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join(signs[b] for b in bits), "".join(signs[1 - b] for b in bits)
+
+
 def rows(seed=3, n=60):
     """(doc_id, text): NULL ids, a repeated id with other texts, and rows that repeat as a whole."""
     made = [(i, t) for i, t in enumerate(texts(seed, n))]

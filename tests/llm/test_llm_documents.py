@@ -101,6 +101,11 @@ def test_op5_whole_table(spark, sf_dir):
         assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"])
 
 
+def test_paragraphs_of_equal_polynomial_hash():
+    made = sketches.digests([t.encode() for t in odd.twins()])[0]
+    assert len(set(made.tolist())) == 2
+
+
 def paragraphs(text):
     seen, out = collections.Counter(), set()
     for line in text.split("\n"):

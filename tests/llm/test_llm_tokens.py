@@ -144,6 +144,33 @@ def test_more_new_slices_in_a_step_than_places(vocabulary, multi, soon):
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("signs", ["ab", "éè", "12", "!?"])
+def test_slices_of_equal_polynomial_hash(vocabulary, multi, signs):
+    texts = [t for n in (2048, 1024, 4096) for t in odd.twins(n, signs)] * 2
+    own, splitter, pieces = engine(multi), bpe.Splitter(bpe.code_classes()), bpe.Pieces(bpe.read_ranks(multi))
+    ids, _, bounds = bpe.encode_texts(texts, splitter, pieces)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == own.encode_ordinary_batch(texts)
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder, library = chunks.ChunkEncoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+        ids, bounds = encoder.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_slices_of_every_length_keep_their_number():
+    r = random.Random(2)
+    words = [bytes(r.choices(b"ab\x00\xff", k=n)) for n in range(40) for _ in range(30)]
+    known, numbers = hashing.Known(bits=5), {}
+    for _ in range(3):
+        drawn = r.choices(words, k=500)
+        data = np.frombuffer(b"".join(drawn), np.uint8)
+        ends = np.cumsum([len(w) for w in drawn])
+        starts = ends - [len(w) for w in drawn]
+        found = known.numbers(data, starts, ends, lambda fresh: known.add([[int(i)] for i in fresh]))
+        for w, n in zip(drawn, found.tolist()):
+            assert numbers.setdefault(w, n) == n
+    assert len(set(numbers.values())) == len(numbers)
+
+
 def test_blocks_round_trip_and_damage():
     rng = np.random.default_rng(0)
     blocks = [rng.zipf(1.3, n).clip(0, 49_000).astype(np.uint32) for n in (1, 5, 63, 64, 65, 8191, 8192, 8193, 40_000)] + [np.full(300, 7, np.uint32)]
