@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vectors
+from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vectors, wordbpe
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -103,3 +103,13 @@ def op9_quality_grades(t: Tables) -> DataFrame:
 @query("op10_edit_sketches")
 def op10_edit_sketches(t: Tables) -> DataFrame:
     return sketches.edit_fingerprints(t.documents)
+
+
+@query("op13_word_bpe")
+def op13_word_bpe(t: Tables) -> DataFrame:
+    words = vocabulary("word_bpe_49k.json")
+    ids = wordbpe.encode(t.documents, words)
+    counted = ids.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"))
+    return wordbpe.decode(counted, words, keep=("doc_id", "n_tokens", "ids_sha256")) \
+        .select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
