@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vectors, wordbpe
+from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vector_codes, vectors, wordbpe
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -105,6 +105,14 @@ def op10_edit_sketches(t: Tables) -> DataFrame:
     return sketches.edit_fingerprints(t.documents)
 
 
+@query("op12_vector_codes")
+def op12_vector_codes(t: Tables) -> DataFrame:
+    coded, books = vector_codes.encode(t.embeddings, parts=16, entries=64, rounds=2)
+    return vector_codes.with_label_error(coded).select(
+        F.col("key").alias("vec_id"), vector_codes.hex_codes("codes").alias("code"), "error", "label_error",
+        F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
 @query("op13_word_bpe")
 def op13_word_bpe(t: Tables) -> DataFrame:
     words = vocabulary("word_bpe_49k.json")
