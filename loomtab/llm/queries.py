@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from loomtab.llm import ans, bpe, lines, packing, pages, quality, simhash, sketches, suffixes, vector_codes, vectors, wordbpe
+from loomtab.llm import ans, bpe, conversations, lines, packing, pages, quality, simhash, sketches, suffixes, vector_codes, vectors, wordbpe
+from loomtab.operators.ordered import keyed_join
 from loomtab.plans.registry import query
 from loomtab.session import scratch
 from loomtab.sources.tables import Tables
@@ -105,6 +106,17 @@ def op10_edit_sketches(t: Tables) -> DataFrame:
     return sketches.edit_fingerprints(t.documents)
 
 
+@query("op11_conversation_repair")
+def op11_conversation_repair(t: Tables) -> DataFrame:
+    report, rows = conversations.repair(conversations.damage(t.conversations))
+    every = t.conversations.select(F.col("conv_id").alias("conv")).distinct()
+    found = keyed_join(keyed_join(every, report, ["conv"], "left"), conversations.digests(rows), ["conv"], "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]
+    gaps = F.when(F.col("audit").isNull(), F.lit(0)).otherwise(F.col("gaps")).cast("long").alias("gaps")
+    return found.select(F.col("conv").alias("conv_id"), gaps, *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 @query("op12_vector_codes")
 def op12_vector_codes(t: Tables) -> DataFrame:
     coded, books = vector_codes.encode(t.embeddings, parts=16, entries=64, rounds=2)
