@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from loomtab.session import HOT_ROWS, HOT_ROWS_DEFAULT, materialize, setting
+from loomtab.session import HOT_ROWS, HOT_ROWS_DEFAULT, materialize, setting, written
 
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -201,43 +201,87 @@ def decayed_mean(df: DataFrame, by: Sequence[str], order: Sequence[str],
     return out.withColumns(means).select(*df.columns, *cols)
 
 
-# Ranks this far from the wanted one, as a share of the rows, are sure to enclose it.
-_BRACKET = 4 / 10_000
-_SMALL_GROUP = 16_384
+# Size of a quantile sketch. One of fewer values than this share of it holds them all, and its ranks are exact.
+_SKETCH = 4096
+_HELD = _SKETCH * 9 // 10
+# Ranks this far from the wanted one enclose it nearly always; where they do not, the counts tell and another round follows.
+_BRACKET = 2.296 / _SKETCH ** 0.9021
+
+
+# Shares of the ranks at which a sketch is read, finer than the values it holds: a constant for few values and one for many.
+_GRIDS = (128, 4096)
+
+
+def _spelled(sketch: str, n: str) -> str:
+    """Values of a sketch of ``n`` values at the middles of equal shares of its ranks; NULL for none."""
+    few, many = (f"kll_sketch_get_quantile_double({sketch}, cast(split('{','.join(f'{(k + 0.5) / g:.6g}' for k in range(g))}', ',') as array<double>))" for g in _GRIDS)
+    return f"CASE WHEN {n} > 0 AND {n} < {_GRIDS[0]} THEN {few} WHEN {n} > 0 THEN {many} END"
+
+
+def _ranked(values: str, share: str) -> str:
+    return f"get({values}, cast(least(greatest(floor(({share}) * size({values})), 0), size({values}) - 1) as int))"
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles per group: columns ``{col}_q{i}`` for each prob.
+    """Linear-interpolated quantiles per group: columns ``{col}_q{i}`` for each prob. NULL and NaN are left out.
 
-    A first pass encloses each wanted rank between two approximate quantiles. A second one counts the rows below and at
-    the lower end and gathers only those strictly between the ends: under a thousandth of the rows, as a
-    value with more rows than that is an end itself. Groups of up to ``_SMALL_GROUP`` values are gathered whole.
-    Groups are never sorted or held in one task.
+    Mergeable sketches of bounded size give each wanted rank an interval. A round counts exactly what lies below, at the
+    ends of and inside each interval and sketches the inside; an interval that still holds more values than a sketch keeps
+    is narrowed by that sketch for the next round, which shrinks it some hundredfold. Ends are counted apart, so a value
+    that repeats without bound is found by its count. Only groups that are not done are read again. No values are gathered:
+    whatever the rows, a group's state is its intervals and its sketches, and groups are never sorted or held in one task.
     """
-    by = list(by)
-    ends = [x for p in probs for x in (max(0.0, p - _BRACKET), min(1.0, p + _BRACKET))]
-    values = {c: F.col(c).cast("double") for c in cols}
-    first = df.groupBy(*by).agg(*[x for i, c in enumerate(cols) for x in (
-        F.count(c).alias(f"_n{i}"), F.percentile_approx(values[c], ends, 10_000).alias(f"_e{i}"))])
-    rows = keyed_join(df.select(*by, *cols), first, by) if by else attach(df.select(*cols), first, "_s")
-    seen = F.col if by else (lambda name: F.col("_s")[name])
-    second, out = [], []
-    for i, c in enumerate(cols):
-        n, v = seen(f"_n{i}"), values[c]
-        second.append(F.max(n).alias(f"_n{i}"))
-        for j, p in enumerate(probs):
-            whole = n <= _SMALL_GROUP
-            low = F.when(whole, F.lit(float("-inf"))).otherwise(F.get(seen(f"_e{i}"), F.lit(2 * j)))
-            high = F.when(whole, F.lit(float("inf"))).otherwise(F.get(seen(f"_e{i}"), F.lit(2 * j + 1)))
-            tag = f"{i}_{j}"
-            second += [F.max(low).alias(f"_l{tag}"), F.max(high).alias(f"_h{tag}"), F.count_if(v < low).alias(f"_b{tag}"),
-                       F.count_if(v == low).alias(f"_a{tag}"), F.sort_array(F.collect_list(F.when((v > low) & (v < high), v))).alias(f"_m{tag}")]
-            rank = F.lit(float(p)) * (F.col(f"_n{i}") - 1)
-
-            def at(place, tag=tag):
-                past = place - F.col(f"_b{tag}") - F.col(f"_a{tag}")
-                return F.when(past < 0, F.col(f"_l{tag}")).when(past < F.size(f"_m{tag}"), F.get(F.col(f"_m{tag}"), past.cast("int"))).otherwise(F.col(f"_h{tag}"))
-
-            lower, upper = at(F.floor(rank)), at(F.ceil(rank))
-            out.append(F.when(F.col(f"_n{i}") > 0, lower + F.when(F.floor(rank) == F.ceil(rank), 0.0).otherwise((upper - lower) * (rank - F.floor(rank)))).alias(f"{c}_q{j}"))
-    return rows.groupBy(*by).agg(*second).select(*by, *out)
+    by, given = list(by), range(len(cols))
+    keys = [f"`{b}`" for b in by]
+    rows = df.select(*by, *[F.expr(f"nullif(cast(`{c}` as double), double('NaN')) AS _v{i}") for i, c in enumerate(cols)])
+    entries = [(i, f"{i}_{j}", f"({float(p)!r}D * (_n{i} - 1))") for i in given for j, p in enumerate(probs)]
+    first = rows.groupBy(*by).agg(*[F.expr(e) for i in given for e in (f"count(_v{i}) AS _n{i}", f"kll_sketch_agg_double(_v{i}, {_SKETCH}) AS _s{i}")])
+    first = first.selectExpr(*keys, *[f"_n{i}" for i in given], *[f"{_spelled(f'_s{i}', f'_n{i}')} AS _q{i}" for i in given])
+    known = []
+    for i, tag, at in entries:
+        below, above = f"floor({at}) / _n{i} - {_BRACKET}", f"(ceil({at}) + 1) / _n{i} + {_BRACKET}"
+        known += [f"CASE WHEN _n{i} <= {_HELD} THEN {_ranked(f'_q{i}', f'({side}({at}) + 0.5) / _n{i}')} END AS _{name}{tag}" for name, side in (("u", "floor"), ("w", "ceil"))]
+        known += [f"CASE WHEN _n{i} > {_HELD} AND {below} > 0 THEN {_ranked(f'_q{i}', below)} END AS _l{tag}",
+                  f"CASE WHEN _n{i} > {_HELD} AND {above} < 1 THEN {_ranked(f'_q{i}', above)} END AS _h{tag}"]
+    state = written(first.selectExpr(*keys, *[f"_n{i}" for i in given], *known), "quantiles")
+    unfinished = " OR ".join(f"(_n{i} > 0 AND (_u{tag} IS NULL OR _w{tag} IS NULL))" for i, tag, _ in entries)
+    done = []
+    while state.selectExpr(f"count_if({unfinished})").first()[0]:
+        done.append(state.where(f"NOT ({unfinished})"))
+        state = written(_narrowed(rows, by, state.where(unfinished), entries, len(cols)), "quantiles")
+    done.append(state)
+    out = [f"CASE WHEN floor({at}) = ceil({at}) THEN _u{tag} ELSE _u{tag} + (_w{tag} - _u{tag}) * ({at} - floor({at})) END AS `{cols[i]}_q{tag.split('_')[1]}`"
+           for i, tag, at in entries]
+    return reduce(DataFrame.unionByName, done).selectExpr(*keys, *out)
+
+
+def _narrowed(rows: DataFrame, by: list[str], state: DataFrame, entries: list[tuple[int, str, str]], n: int) -> DataFrame:
+    """One round over the rows of groups that are not done: values found, narrower intervals for the others."""
+    tracked = [f"_{x}{tag}" for _, tag, _ in entries for x in "uwlh"] + [f"_n{i}" for i in range(n)]
+    rows, place = (keyed_join(rows, state, by), "") if by else (attach(rows, state.select(*tracked)), "_s.")
+    counts = [f"any_value({place}{c}) AS {c}" for c in tracked]
+    for i, tag, _ in entries:
+        v, low, high = f"_v{i}", f"{place}_l{tag}", f"{place}_h{tag}"
+        # An interval without a lower or an upper end is open there.
+        inside = f"({v} IS NOT NULL AND coalesce({v} > {low}, true) AND coalesce({v} < {high}, true))"
+        counts += [f"count_if({v} < {low}) AS _b{tag}", f"count_if({v} = {low}) AS _a{tag}", f"count_if({inside}) AS _m{tag}", f"count_if({v} = {high}) AS _e{tag}",
+                   f"kll_sketch_agg_double(CASE WHEN {inside} THEN {v} END, {_SKETCH}) AS _s{tag}"]
+    counted = rows.groupBy(*by).agg(*map(F.expr, counts))
+    keys = [f"`{b}`" for b in by]
+    carried = [*keys, *tracked]
+    counted = counted.selectExpr(*carried, *[e for _, tag, _ in entries for e in (
+        f"_b{tag} AS _below{tag}", f"_b{tag} + _a{tag} AS _start{tag}", f"_b{tag} + _a{tag} + _m{tag} AS _stop{tag}", f"_m{tag}",
+        f"_b{tag} + _a{tag} + _m{tag} + CASE WHEN _l{tag} = _h{tag} THEN 0 ELSE _e{tag} END AS _top{tag}", f"{_spelled(f'_s{tag}', f'_m{tag}')} AS _q{tag}")])
+    made = []
+    for _, tag, at in entries:
+        low, high, inside, read, below, start, stop, top = (f"{x}{tag}" for x in ("_l", "_h", "_m", "_q", "_below", "_start", "_stop", "_top"))
+        for name, place in (("u", f"floor({at})"), ("w", f"ceil({at})")):
+            exact = f"CASE WHEN {inside} <= {_HELD} THEN {_ranked(read, f'({place} - {start} + 0.5) / {inside}')} END"
+            found = f"CASE WHEN {place} < {below} THEN NULL WHEN {place} < {start} THEN {low} WHEN {place} < {stop} THEN {exact} WHEN {place} < {top} THEN {high} END"
+            made.append(f"coalesce(_{name}{tag}, {found}) AS _{name}{tag}")
+        first, last, margin = f"floor({at})", f"ceil({at})", f"{_BRACKET} * {inside}"
+        from_low = f"CASE WHEN {first} - {start} < {margin} THEN {low} ELSE {_ranked(read, f'({first} - {start}) / {inside} - {_BRACKET}')} END"
+        to_high = f"CASE WHEN {stop} - {last} - 1 < {margin} THEN {high} ELSE {_ranked(read, f'({last} - {start} + 1) / {inside} + {_BRACKET}')} END"
+        made += [f"CASE WHEN {first} < {below} THEN NULL WHEN {first} < {start} THEN {low} WHEN {first} < {stop} THEN {from_low} ELSE {high} END AS _l{tag}",
+                 f"CASE WHEN {last} < {start} THEN {low} WHEN {last} < {stop} THEN {to_high} WHEN {last} < {top} THEN {high} END AS _h{tag}"]
+    return counted.selectExpr(*keys, *[f"_n{i}" for i in range(n)], *made)

@@ -68,6 +68,13 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows in a table below the shared folder, read back: unlike a checkpoint the plan runs once, and columns can be pruned."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows over all cores ahead of costly row work, where they come from fewer files than there are cores.
 

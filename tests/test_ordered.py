@@ -1,5 +1,9 @@
 """The cut paths for hot groups must equal the plain windows."""
 
+import math
+import random
+
+import pytest
 from pyspark.sql import Window, functions as F
 
 from support import same
@@ -149,3 +153,39 @@ def test_grouped_map_refuses_hot_groups(tables, hot):
     from loomtab.operators import aggregates as A
     with pytest.raises(ValueError):
         A.grouped_map(_skewed(tables), BY, lambda f: f, "event_id long")
+
+
+@pytest.mark.parametrize("sketch", [None, 64, 256])
+def test_quantiles_by_rounds(spark, monkeypatch, sketch):
+    """NULL, NaN, ties, one-row and empty groups; small sketches need several rounds."""
+    if sketch:
+        for name, value in (("_SKETCH", sketch), ("_HELD", sketch * 9 // 10), ("_BRACKET", 2.296 / sketch ** 0.9021), ("_GRIDS", (8, sketch))):
+            monkeypatch.setattr(O, name, value)
+    r = random.Random(sketch or 0)
+    rows = [(r.choice([None, 0, 0, 0, 0, 1, 2]), None if r.random() < 0.1 else r.gauss(0, 1), r.choice([1.0, 1.0, 1.0, 2.0, 2.5, 7.0]), 4.0) for _ in range(9000)]
+    rows += [(7, 1.5, float("nan"), None), (8, None, None, None), (9, 1.0, 2.0, float("inf")), (9, 3.0, -2.0, 0.0)]
+    df = spark.createDataFrame(rows, "g int, x double, t double, c double").repartition(5)
+    probs = [0.0, 0.01, 0.5, 0.99, 1.0]
+    for by in ([], ["g"]):
+        got = {tuple(q[b] for b in by): q for q in O.exact_quantiles(df, by, ["x", "t", "c"], probs).collect()}
+        groups = {}
+        for g, *values in rows:
+            groups.setdefault((g,) if by else (), []).append(values)
+        assert set(got) == set(groups)
+        for key, values in groups.items():
+            for i, name in enumerate("xtc"):
+                own = sorted(v[i] for v in values if v[i] is not None and v[i] == v[i])
+                for j, p in enumerate(probs):
+                    at = p * (len(own) - 1)
+                    low, high = (own[math.floor(at)], own[math.ceil(at)]) if own else (None, None)
+                    want = low if not own or low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at))
+                    assert got[key][f"{name}_q{j}"] == (None if want is None else pytest.approx(want, rel=1e-12)), (key, name, p)
+    assert O.exact_quantiles(df.limit(0), [], ["x"], [0.5]).collect()[0][0] is None
+
+
+def test_quantiles_of_ten_million_equal_values(spark):
+    df = spark.range(10_000_000, numPartitions=8).selectExpr("CASE WHEN id % 1000 = 0 THEN id ELSE 5 END AS v")
+    plan = O.exact_quantiles(df, [], ["v"], [0.0005, 0.5, 0.99999])
+    assert "collect_list" not in plan._jdf.queryExecution().toString()
+    low, middle, high = plan.first()
+    assert (low, middle) == (5.0, 5.0) and high == pytest.approx(9_900_000, rel=1e-4)
