@@ -268,8 +268,8 @@ def slice_choices(table: pa.Table, chain: pa.Table) -> pa.Table:
 def identified(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     own = df.select(F.col(conversation).alias("conv"), F.col(turn).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit(" ")).alias("role"),
                     F.coalesce(F.col(text).cast("string"), F.lit(" ")).alias("text"))
-    return own.withColumns({"id": F.unhex(F.sha2(F.to_json(F.struct("conv", "turn", "role", "text")), 256)),
-                            "said": F.unhex(F.sha2(F.to_json(F.struct("conv", "role", "text")), 256))})
+    return own.withColumns({name: F.substring(F.unhex(F.sha2(F.to_json(F.struct(*cols)), 256)), 1, 16)
+                            for name, cols in (("id", ("conv", "turn", "role", "text")), ("said", ("conv", "role", "text")))})
 
 
 def faulty(text: str):
