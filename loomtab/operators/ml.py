@@ -9,14 +9,15 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F
 
+from loomtab.operators.density import density_clusters, reduced
 from loomtab.operators.neighbors import nearest
 from loomtab.operators.ordered import exact_quantiles, framed
 from loomtab.operators.windows import top_per_group
@@ -148,13 +149,9 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, seed: int = 1) -> tup
     return out.drop("features"), score, [list(map(float, c)) for c in model.clusterCenters()]
 
 
-def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, k: int = 4, seed: int = 1) -> DataFrame:
-    """(key, cluster, probabilities): mixture membership after a PCA."""
-    rows = df.select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))
-    pca = PCA(k=components, inputCol="_v", outputCol="_p").fit(rows).transform(rows)
-    scaled = StandardScaler(inputCol="_p", outputCol="_s").fit(pca).transform(pca)
-    mix = GaussianMixture(k=k, seed=seed, featuresCol="_s", predictionCol="cluster", probabilityCol="_m", maxIter=20).fit(scaled)
-    return mix.transform(scaled).select(key, "cluster", vector_to_array("_m").alias("probabilities"))
+def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, neighbors: int = 15, min_size: int = 50, top: int = 8) -> DataFrame:
+    """(key, cluster, memberships): clusters by density after a PCA, NULL for noise."""
+    return density_clusters(reduced(df, key, vector, components), key, vector, neighbors, min_size, top)
 
 
 def grid_search(df: DataFrame, target: str, features: Sequence[str], depths: Sequence[int], folds: int = 3, parallelism: int = 4) -> DataFrame:

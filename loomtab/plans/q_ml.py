@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loomtab.operators import metrics as M, ml as L
+from loomtab.operators.density import mutual_reachability
 from loomtab.operators.ordered import framed
 from loomtab.plans.registry import R, query, rnd
 from loomtab.session import scratch
@@ -116,10 +117,19 @@ def _(t):
     return rows.agg(F.countDistinct("cluster").alias("clusters"), F.count(F.lit(1)).alias("n"), F.lit(-1 <= score <= 1 and len(centres) == 2).alias("valid"))
 
 
-@query("soft_clusters", f"SELECT vec_id, {R('1.0')} AS total FROM embeddings")
+@query("soft_clusters")
 def _(t):
-    out = L.soft_clusters(t.embeddings, "vec_id", "embedding")
-    return out.select("vec_id", rnd(F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)).alias("total"))
+    out = L.soft_clusters(t.embeddings, "vec_id", "embedding", neighbors=10, min_size=20)
+    return out.select("vec_id", "cluster", rnd(F.aggregate("memberships", F.lit(0.0), lambda a, m: a + m["membership"])).alias("in_some_cluster"),
+                      rnd(F.coalesce(F.get("memberships", F.lit(0))["membership"], F.lit(0.0))).alias("first"))
+
+
+@query("mutual_reachability", f"""WITH n AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.v, b.v) AS d FROM {_V} a JOIN {_V} b ON a.vec_id <> b.vec_id
+ QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) <= 5),
+c AS (SELECT a, max(d) AS core FROM n GROUP BY a)
+SELECT DISTINCT least(n.a, n.b) AS a, greatest(n.a, n.b) AS b, {R('greatest(n.d, x.core, y.core)')} AS weight FROM n JOIN c x ON x.a = n.a JOIN c y ON y.a = n.b""")
+def _(t):
+    return mutual_reachability(t.embeddings, "vec_id", "embedding", 5).select("a", "b", rnd("weight").alias("weight"))
 
 
 @query("hyperparameter_grid")
