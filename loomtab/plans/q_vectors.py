@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomtab.functions import expr as X
 from loomtab.operators import metrics as M, neighbors as N, retrieval as V, text as T
+from loomtab.operators.bits import tanimoto_topk
 from loomtab.operators.ordered import row_index
 from loomtab.plans.registry import R, query, rnd
 from loomtab.session import spread
@@ -136,7 +137,7 @@ def _(t):
     return out.select("model", *[rnd(c, 6).alias(c) for c in ("recall", "ndcg", "mrr")]).orderBy(F.desc("recall"))
 
 
-@query("tanimoto_topk", f"""WITH s AS (SELECT doc_id, list_sort(list_distinct({_WS})) AS s FROM documents WHERE regexp_matches(text, '\\S')),
+@query("jaccard_pairs", f"""WITH s AS (SELECT doc_id, list_sort(list_distinct({_WS})) AS s FROM documents WHERE regexp_matches(text, '\\S')),
 g AS (SELECT s, min(doc_id) AS id, count(*) AS c FROM s GROUP BY s), t AS (SELECT id, c, len(s) AS n, unnest(s) AS x FROM g),
 p AS (SELECT a.id AS a, b.id AS b, any_value(a.c * b.c) AS n_pairs, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity FROM t a JOIN t b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id)
 SELECT a, b, {R('similarity', 6)} AS similarity, CAST(n_pairs AS BIGINT) AS n_pairs FROM p WHERE similarity >= 0.6
@@ -146,6 +147,18 @@ def _(t):
     return V.jaccard_pairs(docs, "doc_id", "w", 0.6).withColumn("similarity", rnd("similarity", 6))
 
 
+@query("tanimoto_topk", f"""WITH b AS (SELECT doc_id, list_distinct(list_transform(list_distinct(coalesce({_WS}, [])), lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT) % 2048)) AS s FROM documents),
+t AS (SELECT doc_id, unnest(s) AS x FROM b),
+p AS (SELECT a.doc_id AS q, c.doc_id AS d, count(*) AS n FROM t a JOIN t c ON a.x = c.x WHERE a.doc_id % 50 = 0 GROUP BY 1, 2),
+r AS (SELECT a.doc_id, c.doc_id AS neighbor, coalesce(coalesce(n, 0) / nullif(len(a.s) + len(c.s) - coalesce(n, 0), 0), 0.0) AS similarity
+ FROM b a JOIN b c ON a.doc_id % 50 = 0 AND a.doc_id <> c.doc_id LEFT JOIN p ON p.q = a.doc_id AND p.d = c.doc_id)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, neighbor) AS INTEGER) AS rank, neighbor, {R('similarity', 6)} AS similarity
+FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, neighbor) <= 10""")
+def _(t):
+    docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("w"))
+    return tanimoto_topk(docs, "doc_id", "w", 10, docs.where("doc_id % 50 = 0")).withColumn("similarity", rnd("similarity", 6))
+
+
 @query("metadata_filters", """
 WITH p AS (SELECT event_id, value AS price, event_id % 100 AS reviews, event_id % 2 = 0 AS host, 40.0 + (event_id % 40) / 100.0 AS lat, -3.0 + (user_id % 40) / 100.0 AS lon FROM events)
 SELECT event_id FROM p WHERE price BETWEEN 2 AND 80 AND reviews >= 20 AND host
