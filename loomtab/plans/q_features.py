@@ -90,6 +90,35 @@ def _(t):
     return E.mutual_information(t.lineitem, ["l_quantity", "l_extendedprice", "l_tax"], "l_returnflag").withColumn("mi", rnd("mi", 6))
 
 
+_NEAR = ["l_quantity", "l_extendedprice"]
+
+
+def _near():
+    """The estimate by nearest neighbours (three of a class), for rows of any class size above three."""
+    raw = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", l_returnflag AS y, l_orderkey * 8 + l_linenumber AS id, CAST({c} AS DOUBLE) AS raw FROM lineitem" for c in _NEAR)
+    pairs = [(a, b) for a, b in (("x", "h3"), ("l1", "h2"), ("l2", "h1"), ("l3", "x"))]
+    picks = ", ".join(f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {{'r': greatest(x - {a}, {b} - x), 'a': {a}, 'b': {b}}} END" for a, b in pairs)
+    return f"""WITH raw AS ({raw}), st AS (SELECT "column", stddev_pop(raw) AS d, avg(abs(raw)) AS a, count(*) AS n FROM raw GROUP BY 1),
+r AS (SELECT "column", y, id, raw / d + ((id % 2147483648) * 2654435761 % 4294967296) / 4294967296 * 1e-10 * greatest(1.0, a / d) AS x,
+ count(*) OVER (PARTITION BY "column", y) AS ny FROM raw JOIN st USING ("column")),
+w AS (SELECT *, lag(x, 1) OVER o AS l1, lag(x, 2) OVER o AS l2, lag(x, 3) OVER o AS l3, lead(x, 1) OVER o AS h1, lead(x, 2) OVER o AS h2, lead(x, 3) OVER o AS h3
+ FROM r WINDOW o AS (PARTITION BY "column", y ORDER BY x, id)),
+c AS (SELECT "column", y, id, x, ny, list_min(list_filter([{picks}], lambda p: p IS NOT NULL)) AS c FROM w),
+e AS (SELECT "column", id, x, CASE WHEN x - c.a = c.r THEN c.a ELSE x - c.r END AS a, CASE WHEN c.b - x = c.r THEN c.b ELSE x + c.r END AS b FROM c),
+m AS (SELECT "column", id, b AS v, 0 AS kind FROM e UNION ALL SELECT "column", id, x, 1 FROM e UNION ALL SELECT "column", id, a, 2 FROM e),
+k AS (SELECT "column", id, kind, sum(CAST(kind = 1 AS INT)) OVER (PARTITION BY "column" ORDER BY v, kind, id ROWS UNBOUNDED PRECEDING) AS rank FROM m),
+i AS (SELECT "column", id, sum(CASE kind WHEN 0 THEN rank WHEN 2 THEN -rank ELSE 0 END) AS m FROM k GROUP BY 1, 2),
+of_m AS (SELECT "column", avg({E.digamma_sql('m')}) AS of_m, count(*) AS n FROM i GROUP BY 1),
+of_c AS (SELECT "column", avg({E.digamma_sql('3')} - {E.digamma_sql('ny')}) AS of_class FROM r GROUP BY 1)
+SELECT "column", {R(f"greatest(0.0, {E.digamma_sql('n')} + of_class - of_m)", 9)} AS mi FROM of_m JOIN of_c USING ("column")"""
+
+
+@query("select_mutual_info_neighbors", _near())
+def _(t):
+    rows = t.lineitem.withColumn("id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return E.neighbor_information(rows, _NEAR, "l_returnflag", "id").withColumn("mi", rnd("mi", 9))
+
+
 def _f(c):
     return f"""SELECT '{c}' AS "column", {R('(sum(n * (m - g) * (m - g)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*)))', 5)} AS f
  FROM (SELECT l_linestatus, count(*) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM lineitem) AS g FROM lineitem GROUP BY 1)"""
