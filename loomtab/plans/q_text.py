@@ -7,7 +7,7 @@ from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import functions as F
 
 from loomtab.functions import expr as X
-from loomtab.operators import text as T
+from loomtab.operators import align as A, text as T
 from loomtab.plans.registry import R, query, rnd
 from loomtab.session import spread
 
@@ -226,6 +226,14 @@ def _(t):
 
 @query("pairwise_identity")
 def _(t):
-    items = t.benchmark.select("item_id", "text")
-    pairs = items.select(F.col("item_id").alias("a"), (F.col("item_id") + 1).alias("b"))
-    return T.pair_identities(items, pairs, "item_id", "text").select("a", "b", rnd("identity", 6).alias("identity"))
+    items = t.benchmark.select("item_id", "text", F.floor(F.col("item_id") / 8).alias("block"))
+    return A.block_identities(items, "item_id", "text", "block").select("a", "b", rnd("identity", 6).alias("identity"))
+
+
+@query("similar_sequences")
+def _(t):
+    own = t.benchmark.select((F.col("item_id") * 2).alias("id"), "text")
+    changed = t.benchmark.select((F.col("item_id") * 2 + 1).alias("id"), F.regexp_replace("text", "and ", "").alias("text"))
+    found, members = A.alike(own.unionByName(changed), "id", "text", 0.8)
+    links = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    return members.join(links, "a", "left").select("id", F.col("a").alias("representative"), F.coalesce("n", F.lit(0)).alias("n_alike"))
