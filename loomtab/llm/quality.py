@@ -17,6 +17,7 @@ from loomtab.llm.hashing import mixed, slice_hashes
 
 BITS = 18
 PREFIXES = (4, 6)
+GRADES = 3
 RATED = 12_000
 """Rated documents that the model is fitted on at most; which ones follows from a hash of their key."""
 ROUNDS = 200
@@ -120,20 +121,29 @@ def fit(numbers: np.ndarray, bounds: np.ndarray, grade: np.ndarray, grades: int,
     return weights, thresholds
 
 
-def sample_grades(rated: DataFrame, key: str, grade: str, bound: int) -> DataFrame:
-    """At most about ``bound`` keys and their grades, chosen by a hash of the key; of several grades for a key the lowest."""
-    one = rated.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.min(grade).cast("int").alias("grade"))
+def whole_scale(thresholds: np.ndarray, grade: np.ndarray, grades: int) -> np.ndarray:
+    """One threshold for each grade above 0, whichever were rated: a grade above all rated ones is as likely as the highest of these, one that all reach is certain."""
+    out = np.full(grades - 1, thresholds[-1])
+    out[:len(thresholds)] = thresholds
+    out[:grade.min()] = -100.0
+    return out
+
+
+def sample_grades(rated: DataFrame, key: str, grade: str, bound: int, grades: int = GRADES) -> DataFrame:
+    """At most about ``bound`` keys and their grades, chosen by a hash of the key; of several grades for a key the lowest. Grades off the scale count as its ends."""
+    on_scale = F.least(F.greatest(F.min(grade).cast("int"), F.lit(0)), F.lit(grades - 1))
+    one = rated.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(key).alias("key")).agg(on_scale.alias("grade"))
     total = one.count()
     return one.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, bound / max(1, total))))
 
 
-def train(df: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", bound: int = RATED) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds from rated documents; grades are 0, 1, 2, ... The sample is fitted in one task, its size is bounded by ``bound``.
+def train(df: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", bound: int = RATED, grades: int = GRADES) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ``grades`` - 1 thresholds from rated documents; grades are 0, 1, ... The sample is fitted in one task, its size is bounded by ``bound``.
 
-    Documents without a grade and grades without a document are left out. Fewer than two grades give no model: all
-    weights 0 and thresholds that accept everything.
+    Documents without a grade and grades without a document are left out. The number of thresholds is that of the scale, whichever
+    grades were rated (``whole_scale``). Fewer than two different grades give no model: all weights 0 and thresholds that accept everything.
     """
-    sample = sample_grades(rated, key, grade, bound)
+    sample = sample_grades(rated, key, grade, bound, grades)
     rows = df.select(F.col(key).alias("key"), text_or_empty(text).alias("text")).join(F.broadcast(sample), "key").select("key", "grade", "text")
 
     def extract(batches):
@@ -148,12 +158,12 @@ def train(df: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "tex
         lists = table["numbers"].combine_chunks()
         order = sorted(range(table.num_rows), key=lambda i: table["key"][i].as_py())
         lists = lists.take(pa.array(order))
-        grades = table["grade"].to_numpy()[order]
-        top = int(grades.max())
-        if len(np.unique(grades)) < 2:
-            weights, thresholds = np.zeros(1 << BITS), np.full(max(top, 1), -100.0)
+        rating = table["grade"].to_numpy()[order]
+        if len(np.unique(rating)) < 2:
+            weights, thresholds = np.zeros(1 << BITS), np.full(grades - 1, -100.0)
         else:
-            weights, thresholds = fit(lists.flatten().to_numpy(), np.append(0, np.cumsum(pa.compute.list_value_length(lists).to_numpy())), grades, top + 1)
+            weights, thresholds = fit(lists.flatten().to_numpy(), np.append(0, np.cumsum(pa.compute.list_value_length(lists).to_numpy())), rating, int(rating.max()) + 1)
+            thresholds = whole_scale(thresholds, rating, grades)
         used = np.flatnonzero(weights)
         return pa.table({"numbers": pa.array([used.tolist()], pa.list_(pa.int32())), "weights": pa.array([weights[used].tolist()], pa.list_(pa.float64())),
                          "thresholds": pa.array([thresholds.tolist()], pa.list_(pa.float64()))})
@@ -162,7 +172,7 @@ def train(df: DataFrame, rated: DataFrame, key: str = "doc_id", text: str = "tex
         solve, "numbers array<int>, weights array<double>, thresholds array<double>").collect()
     weights = np.zeros(1 << BITS)
     if not found:
-        return weights, np.array([-100.0, -100.0])
+        return weights, np.full(grades - 1, -100.0)
     weights[found[0]["numbers"]] = found[0]["weights"]
     return weights, np.array(found[0]["thresholds"])
 
