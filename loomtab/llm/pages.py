@@ -5,8 +5,8 @@ page adds to every node the style it uses there (the sequence of child elements)
 of a host count as one. A
 node's importance joins the entropy of its styles over the pages with that of its texts: a branch that
 looks alike and says the same on every page has none. Presentation weighs in as well: elements
-made for menus, footers and the like have no importance anywhere, an article is important as such. Names made for such
-branches count against a branch only if it holds less than half of the text; else, and for the article and what it stands in, entropy decides. The
+made for menus, footers and the like have no importance anywhere, nor have branches with a name made for such, however long; an article
+and what it stands in are important as such. Where names would leave nothing of a page, they are no evidence and entropy decides. The
 tree is a table of hashes and counts, so a host of any size is spread over tasks; only the hosts' unimportant
 paths go back to the pages.
 """
@@ -24,10 +24,10 @@ from loomtab.llm.common import map_batches, steps, stored, text_or_empty
 THRESHOLD = 0.3
 MIN_PAGES = 5
 STYLE_WEIGHT = 0.4
-NAME_SHARE = 0.5
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))""")
+# A quote opens a value only right after the equals sign; elsewhere it is a sign like others.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?)*+)>|<[a-zA-Z/!?][^>]*(?:>|\Z)""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s=/<>"'][^\s=/<>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 NAME = re.compile(r"[a-z]+")
 BLANK = re.compile(r"\s+")
 
@@ -41,6 +41,8 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search for
 CHROME_NAMES = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
                          "notices alert popup modal overlay sidebar aside widget menu nav navbar navigation breadcrumb breadcrumbs footer masthead "
                          "comment comments reply replies disqus share sharing social related newsletter subscribe signup login pagination pager toolbar".split())
+CONTENT_NAMES = frozenset("article body content entry main page post story text".split())
+LAYOUT_WORDS = frozenset("has no not with without".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -65,12 +67,16 @@ class Node:
 def below(parent: Node, tag: str, attributes: str) -> Node:
     """The node of one start tag: its names are part of the path, numbers in them are not."""
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    names = NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+    tokens = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    words = [NAME.findall(t) for t in tokens]
+    names = [w for ws in words for w in ws]
     role = found.get("role", "").lower()
     own = 2 if tag == "article" or role == "article" else 1 if tag == "main" or role == "main" else 0
     chrome = parent.chrome or tag in CHROME or role in CHROME_ROLES or (tag == "header" and not parent.article) \
-        or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    named = tag not in ("html", "body") and (not CHROME_NAMES.isdisjoint(names) or ("header" in names and not parent.article))
+        or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+    # "with-sidebar" tells of the layout, and what calls itself content as well is no such branch.
+    told = [w for ws in words if ws and ws[0] not in LAYOUT_WORDS for w in ws]
+    named = tag not in ("html", "body") and CONTENT_NAMES.isdisjoint(tokens) and (not CHROME_NAMES.isdisjoint(told) or ("header" in told and not parent.article))
     node = Node(tag, f"{parent.path}/{tag}" + "".join("." + n for n in sorted(set(names))), parent.article or own > 0, chrome, parent, named)
     node.own = own
     return node
@@ -182,8 +188,9 @@ def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
 def main_text(page: str, unimportant: set[int]) -> str:
     """Blocks of the article if the page has one, else all, without branches of no importance.
 
-    A named branch goes if it holds less than ``NAME_SHARE`` of the text considered. The article (the longest one, or the main part
-    of a page without) and all that it stands in never go; if nothing is left of it, all of it stays.
+    The article is the longest one in the fewest named branches, or the main part of a page without; other articles beside it go. It and all that it stands in
+    stay whatever their names and entropy; other branches go by a name or for want of entropy. Where names leave nothing, entropy
+    alone decides, and if nothing is left of the article then, all of it stays.
     """
     found = [(n, t) for n, t in blocks(page)[0] if not n.chrome]
     inside = [(n, t) for n, t in found if n.article]
@@ -191,18 +198,25 @@ def main_text(page: str, unimportant: set[int]) -> str:
     size: dict[Node, int] = {}
     for node, text in found:
         for n in node.line():
-            if n.named or n.own:
+            if n.own:
                 size[n] = size.get(n, 0) + len(text)
-    total = sum(len(t) for _, t in found)
-    chosen = max((n for n in size if n.own), key=lambda n: (n.own, size[n]), default=None)
-    kept = dict.fromkeys(chosen.line(), True) if chosen else {}
+    chosen = max(size, key=lambda n: (n.own, -sum(a.named and not a.own for a in n.parent.line()), size[n]), default=None)
+    around = chosen.line() if chosen else []
 
-    def stays(n: Node) -> bool:
-        if n not in kept:
-            kept[n] = not (n.named and size[n] < NAME_SHARE * total) and digest(n.path) not in unimportant
-        return kept[n]
+    def beside(n: Node) -> bool:
+        return n.own == 2 and chosen.own == 2 and n not in around and chosen not in n.line()
 
-    return "\n".join([t for node, t in found if all(map(stays, node.line()))] or [t for _, t in inside])
+    def left(by_name: bool) -> list[str]:
+        kept = dict.fromkeys(around, True)
+
+        def stays(n: Node) -> bool:
+            if n not in kept:
+                kept[n] = not (by_name and n.named) and not beside(n) and digest(n.path) not in unimportant
+            return kept[n]
+
+        return [t for node, t in found if all(map(stays, node.line()))]
+
+    return "\n".join(left(True) or left(False) or [t for n, t in inside if chosen in n.line()])
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:

@@ -66,6 +66,26 @@ def test_names_do_not_remove_the_article(spark):
             assert text_of(pages.extract_text(df)) == {i: want.format(i * 7919 + 1000) for i in range(n)}, case
 
 
+def test_what_is_no_article_goes():
+    nine = " ".join(f"Sentence {i} of a reader who has much to say about it." for i in range(9))
+    cases = [
+        (f"<article><p>One short paragraph.</p><div class='comments'><p>{nine}</p></div></article>", "One short paragraph."),
+        (f"<article><p>One short paragraph.</p></article><div class='comments'>{nine}</div>", "One short paragraph."),
+        (f"<body><div class=content><p>Short.</p></div><div id=reader-comments><p>{nine}</p></div></body>", "Short."),
+        ("<p title=Bob's>First part.</p><p>Second, it's here.</p><p>Third.</p>", "First part.\nSecond, it's here.\nThird."),
+        ("<p title=a\"b>x</p><a href=/?q=it's>y</a><p data-x = 'it>s'>z</p>", "x\ny\nz"),
+        ("<div hidden><p>secret</p></div><p>shown</p><p hidden=until-found>also</p><p class='hidden-gem'>gem</p>", "shown\ngem"),
+        ("<input disabled value=it's><p>a</p><br/><p contenteditable>b</p>", "a\nb"),
+        ("<article><p>The main one is longer.</p></article><article class='teaser'><p>Read also</p></article>", "The main one is longer."),
+        ("<main><h1>Title</h1><article><p>The text.</p><article><p>quoted</p></article></article><article><p>Next</p></article></main>", "Title\nThe text.\nquoted"),
+        (f"<article><p>Short.</p></article><div class=comments><article><p>{nine}</p></article></div>", "Short."),
+        ("<div class=social><p>All there is.</p></div>", "All there is."),
+        ("<p class='a=b' id=\"c'd\">quotes</p><p x=\"un>closed</p>", "quotes\nclosed"),
+    ]
+    for page, want in cases:
+        assert pages.main_text(page, set()) == want, page
+
+
 def paged(spark, pages_of):
     return spark.createDataFrame(list(enumerate(pages_of)), "page_id long, html string").selectExpr("page_id", "'http://h.x/' || page_id as url", "html").repartition(7)
 
@@ -205,6 +225,57 @@ def test_grades_of_odd_rows(spark, rated):
     assert quality.grade_documents(odd.frame(spark), one).where("element_at(tails, -1) < 0.5").count() == 0
 
 
+@pytest.mark.parametrize("quality_,toxic", [("0", "toxic"), ("quality", "1"), ("0", "1"), ("1", "0"), ("quality", "0"), ("quality * 5", "toxic * 9"), ("CAST(NULL AS INT)", "toxic")])
+def test_op9_on_labels_without_some_grades(spark, sf_dir, tmp_path, quality_, toxic):
+    t = Tables(spark, sf_dir)
+    t.documents.write.parquet(str(tmp_path / "documents.parquet"))
+    t.labels.selectExpr("doc_id", f"CAST({quality_} AS INT) AS quality", f"CAST({toxic} AS INT) AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    got = QUERIES["op9_quality_grades"](spark, str(tmp_path)).collect()
+    assert len(got) == t.documents.count()
+    for r in got:
+        assert 1 >= r["p_grade_1"] >= r["p_grade_2"] >= 0 and r["kept"] == (r["p_grade_2"] >= 0.5)
+        assert r["expected_grade"] == pytest.approx(r["p_grade_1"] + r["p_grade_2"])
+    assert any(r["kept"] for r in got)  # where the highest grade was not rated, the highest rated one decides
+
+
+def test_fit_as_a_dense_one():
+    """Plain small steps over a dense table reach the same loss, and the gradient vanishes where weights are not 0."""
+    r = np.random.default_rng(0)
+    n, width = 300, 40
+    dense = r.random((n, width)) < 0.2
+    dense[:, 0] = True
+    truth = r.normal(0, 1.5, width)
+    scale = 1 / np.sqrt(dense.sum(axis=1))
+    grade = np.searchsorted([-0.6, 0.7], dense @ truth * scale + r.normal(0, 0.3, n)).astype(np.int64)
+    places = np.sort(r.choice(1 << quality.BITS, width, replace=False))
+    numbers, bounds = places[np.nonzero(dense)[1]].astype(np.int32), np.append(0, np.cumsum(dense.sum(axis=1)))
+    penalty = 1e-3
+    importance = np.sqrt(n / (3 * np.bincount(grade, minlength=3)))[grade]
+    importance /= importance.mean()
+    above = grade[:, None] >= np.array([1, 2])
+
+    def loss(w, t):
+        p = 1 / (1 + np.exp(t[None, :] - (dense @ w * scale)[:, None]))
+        return -(importance[:, None] * np.where(above, np.log(p), np.log(1 - p))).sum() / n + penalty * np.abs(w).sum()
+
+    def gradient(w, t):
+        gap = (1 / (1 + np.exp(t[None, :] - (dense @ w * scale)[:, None])) - above) * importance[:, None] / n
+        return dense.T @ (gap.sum(axis=1) * scale), -gap.sum(axis=0)
+
+    w, t = np.zeros(width), np.array([-1.0, 1.0])
+    for _ in range(20_000):
+        gw, gt = gradient(w, t)
+        w, t = np.sign(w - 2 * gw) * np.maximum(np.abs(w - 2 * gw) - 2 * penalty, 0), np.sort(t - 2 * gt)
+    weights, thresholds = quality.fit(numbers, bounds, grade, 3, rounds=2000, penalty=penalty)
+    assert not weights[np.setdiff1d(np.arange(1 << quality.BITS), places)].any() and (np.diff(thresholds) >= 0).all()
+    found = weights[places]
+    assert loss(found, thresholds) <= loss(w, t) * (1 + 1e-4)
+    gw, _ = gradient(found, thresholds)
+    assert np.abs(gw + penalty * np.sign(found))[found != 0].max() < 1e-4 and (np.abs(gw)[found == 0] <= penalty + 1e-4).all()
+    score = lambda v: dense @ v * scale
+    assert np.allclose(quality.tails(score(found), thresholds), quality.tails(score(w), t), atol=0.01)
+
+
 def test_stages_keep_columns_and_take_odd_rows(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents
     strange = spark.createDataFrame([(i if i is None else i + 10**6, t, None, None, None) for i, t in odd.rows()], docs.schema)
