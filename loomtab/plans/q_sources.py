@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomtab.plans.registry import R, query, rnd
 from loomtab.session import scratch
-from loomtab.sources import files as S
+from loomtab.sources import files as S, lines as L
 from loomtab.sources.tables import SCHEMAS
 
 _ORDERS = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -76,11 +76,12 @@ def _(t):
 
 @query("jsonl_compressed", _EVENTS)
 def _(t):
-    # Compressed and plain shards side by side, read as one table.
-    path = scratch(t.spark, "mixed")
-    S.jsonl_sink(_events(t).where("event_id % 2 = 0"), path, "gzip")
-    S.jsonl_sink(_events(t).where("event_id % 2 = 1"), path, "none", "append")
-    return S.jsonl_scan(t.spark, path, _EVENTS_SCHEMA)
+    # Zstandard, gzip and plain shards side by side, read as one table.
+    path, events = scratch(t.spark, "mixed"), _events(t)
+    L.sharded_jsonl(events.where("event_id % 3 = 0"), f"{path}/zst", ["event_id"], 2000, 1 << 17, "zstd")
+    S.jsonl_sink(events.where("event_id % 3 = 1"), f"{path}/gz", "gzip")
+    S.jsonl_sink(events.where("event_id % 3 = 2"), f"{path}/plain", "none")
+    return L.jsonl_any(t.spark, path, _EVENTS_SCHEMA)[0]
 
 
 @query("sharded_write", "SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS within_limit FROM events")
@@ -91,6 +92,18 @@ def _(t):
     return sizes.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 700).alias("within_limit"))
 
 
+@query("sharded_write_bytes", """WITH d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n FROM documents)
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_bytes, CAST(sum(doc_id * n) AS BIGINT) AS checked, true AS within_limits FROM d""")
+def _(t):
+    path = scratch(t.spark, "byte-shards")
+    L.sharded_jsonl(t.documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), path, ["doc_id"], 400, 1 << 19)
+    lines = L.line_scan(t.spark, path).select("file", "value", F.from_json("value", "doc_id long, text string").alias("r"))
+    shards = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + 1).alias("size"), F.sum(F.octet_length("r.text")).alias("n_bytes"),
+                                       F.sum(F.col("r.doc_id") * F.octet_length("r.text")).alias("checked"))
+    return shards.agg(F.sum("n").alias("n_rows"), F.sum("n_bytes").alias("n_bytes"), F.sum("checked").alias("checked"),
+                      F.bool_and((F.col("n") <= 400) & ((F.col("size") <= 1 << 19) | (F.col("n") == 1))).alias("within_limits"))
+
+
 @query("batched_iteration", f"SELECT CAST(count(*) AS BIGINT) AS n_rows, {R('sum(l_extendedprice)', 2)} AS total, "
        f"{R('avg(l_extendedprice)')} AS mean FROM lineitem")
 def _(t):
