@@ -8,6 +8,7 @@ in the checkpoint and ends, so a scheduler can call it again. Sinks written from
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -89,27 +90,78 @@ def first_within(stream: DataFrame, ts: str, keys: Sequence[str], delay: str) ->
 
 # ---- tables kept by batches ------------------------------------------------------
 
-def refresh_summary(stream: DataFrame, path: str, checkpoint: str, key: str, value: str) -> DataFrame:
-    """Summary per key that follows new files: batches add their partial sums, the
-    reader combines them, so only touched keys are written."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")), path, batch_id)
+class KeptTable:
+    """A table that follows batches: each adds a folder of its own, every ``every``-th one merges what is there into a snapshot.
 
-    batch_run(stream, checkpoint, handle)
-    return read_summary(stream.sparkSession, path, key)
+    A snapshot counts once its job has committed (its success mark is there). The reader takes the newest one and the batches after it, so
+    it touches at most ``every`` folders, whatever the number of batches. A retried batch replaces its folder, and its snapshot is made
+    again from the snapshot before and the batches since, which are only removed once the next snapshot counts: the same table comes out.
+    ``merge`` gives the same rows for merged parts as for all rows at once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], every: int = 8):
+        self.spark, self.path, self.merge, self.every = spark, path, merge, every
+        self.home = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.files = self.home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def folders(self, kind: str) -> list[int]:
+        """Numbers of the finished folders of a kind."""
+        if not self.files.exists(self.home):
+            return []
+        names = [s.getPath() for s in self.files.listStatus(self.home)]
+        found = [(p.getName().split("=", 1), p) for p in names if p.getName().startswith(f"{kind}=")]
+        return sorted(int(n[1]) for n, p in found if self.files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+    def parts(self, upto: int | None = None, before: int | None = None) -> list[str]:
+        """The newest snapshot (of a batch lower than ``before``) and the batches after it, up to ``upto``."""
+        snapshots = [n for n in self.folders("snapshot") if before is None or n < before]
+        after = snapshots[-1] if snapshots else -1
+        batches = [n for n in self.folders("batch") if n > after and (upto is None or n <= upto)]
+        return [f"{self.path}/snapshot={after}"] * bool(snapshots) + [f"{self.path}/batch={n}" for n in batches]
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        self.merge(batch).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if (batch_id + 1) % self.every:
+            return
+        kept = self.parts(batch_id, batch_id)
+        # Partition columns are not looked for: a folder's name is no value.
+        self.merge(self.opened(kept)).write.mode("overwrite").parquet(f"{self.path}/snapshot={batch_id}")
+        older = [n for n in self.folders("snapshot") if n < batch_id]
+        for kind, last in (("batch", older[-1] if older else -1), ("snapshot", older[-1] - 1 if older else -1)):
+            for n in self.folders(kind):
+                if n <= last:
+                    self.files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}={n}"), True)
+
+    def opened(self, parts: list[str]) -> DataFrame:
+        frames = [self.spark.read.parquet(p) for p in parts]
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    def read(self) -> DataFrame | None:
+        """The merged rows, None before the first batch."""
+        parts = self.parts()
+        return self.merge(self.opened(parts)) if parts else None
+
+
+def _summary(key: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.groupBy(key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+def refresh_summary(stream: DataFrame, path: str, checkpoint: str, key: str, value: str) -> DataFrame:
+    """Count and sum per key that follow new files: batches add their partial sums to a kept table."""
+    kept = KeptTable(stream.sparkSession, path, _summary(key))
+    batch_run(stream.select(key, F.lit(1).cast("long").alias("n"), F.col(value).alias("total")), checkpoint, kept.add)
+    return kept.read()
 
 
 def read_summary(spark: SparkSession, path: str, key: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy(key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return KeptTable(spark, path, _summary(key)).read()
 
 
 def latest_rows(stream: DataFrame, path: str, checkpoint: str, key: str, ts: str) -> DataFrame:
-    """Newest row per key: each batch writes its own newest rows, the reader keeps the newest of those."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(top_per_group(batch, [key], [F.desc(ts)], 1), path, batch_id)
-
-    batch_run(stream, checkpoint, handle)
-    return top_per_group(stream.sparkSession.read.parquet(path).drop("batch"), [key], [F.desc(ts)], 1)
+    """Newest row per key: a kept table of each batch's newest rows."""
+    kept = KeptTable(stream.sparkSession, path, lambda df: top_per_group(df, [key], [F.desc(ts)], 1))
+    batch_run(stream, checkpoint, kept.add)
+    return kept.read()
 
 
 def split_late(stream: DataFrame, accepted: str, rejected: str, marks: str, checkpoint: str, ts: str, delay_seconds: int) -> None:
@@ -131,11 +183,10 @@ def split_late(stream: DataFrame, accepted: str, rejected: str, marks: str, chec
 
 
 def progressive_sum(stream: DataFrame, path: str, checkpoint: str, value: str) -> DataFrame:
-    """Running total written after every batch; the last one is the result."""
-    total = stream.agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
-    batch_run(total, checkpoint, lambda df, i: write_batch(df, path, i), mode="complete")
-    return top_per_group(stream.sparkSession.read.parquet(path).withColumn("_all", F.lit(0)), ["_all"], [F.desc("batch")], 1) \
-        .select("total", "n")
+    """Running total over all batches: one row per batch in a kept table."""
+    kept = KeptTable(stream.sparkSession, path, lambda df: df.agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+    batch_run(stream.select(F.col(value).alias("total"), F.lit(1).cast("long").alias("n")), checkpoint, kept.add)
+    return kept.read()
 
 
 def row_window_mean(stream: DataFrame, key: str, ts: str, value: str, rows: int) -> DataFrame:
