@@ -27,20 +27,24 @@ def op1_bpe_round_trip(t: Tables) -> DataFrame:
         .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-LINES_SQL = """
+LINES_SQL = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text IS NOT NULL),
 filled AS (
-  SELECT doc_id, i, trim(line, ' ') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
+  SELECT doc_id, i, trim(line, ' ') AS s, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p
   FROM split WHERE trim(line, ' ') <> ''),
-win AS (
-  SELECT doc_id, p, [s, lead(s, 1) OVER o, lead(s, 2) OVER o] AS w, lead(p, 2) OVER o IS NOT NULL AS whole
+near AS (
+  SELECT doc_id, p, s, n, lead(s, 1) OVER o AS s1, lead(n, 1) OVER o AS n1, lead(s, 2) OVER o AS s2
   FROM filled WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
-firsts AS (SELECT w, min({'d': doc_id, 'p': p}) AS f FROM win WHERE whole GROUP BY w),
+win AS (
+  SELECT doc_id, p, [s, s1, s2] AS w FROM near WHERE s2 IS NOT NULL
+  UNION ALL SELECT doc_id, p, [s, s1] FROM near WHERE s1 IS NOT NULL AND n + n1 >= 50
+  UNION ALL SELECT doc_id, p, [s] FROM near WHERE n >= 50),
+firsts AS (SELECT w, min({'d': doc_id, 'p': p}) AS f FROM win GROUP BY w),
 gone AS (
   SELECT DISTINCT doc_id, p + k AS p
-  FROM (SELECT win.doc_id, win.p, unnest([0, 1, 2]) AS k FROM win JOIN firsts USING (w) WHERE whole AND {'d': win.doc_id, 'p': win.p} <> f)),
+  FROM (SELECT win.doc_id, win.p, unnest(range(len(w))) AS k FROM win JOIN firsts USING (w) WHERE {'d': win.doc_id, 'p': win.p} <> f)),
 marked AS (
   SELECT split.doc_id, split.i, split.line, gone.p IS NOT NULL AS gone
   FROM split LEFT JOIN filled ON filled.doc_id = split.doc_id AND filled.i = split.i
@@ -56,7 +60,7 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 
 @query("op2_line_runs", LINES_SQL)
 def op2_line_runs(t: Tables) -> DataFrame:
-    return lines.without_repeated_runs(t.documents, run=3).select("row.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
+    return lines.without_repeated_runs(t.documents, run=3, words=50).select("row.doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
 
 
 @query("op3_simhash_groups")

@@ -1,6 +1,7 @@
 """Line runs, SimHash groups, near vectors and repeated windows against plain versions."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -86,8 +87,8 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def runs_removed(data, run):
-    """Plain version: windows of non-blank lines in order of (id, hash of the text, place)."""
+def runs_removed(data, run, words=50):
+    """Plain version: windows of non-blank lines, of ``run`` lines or of ``words`` words, in order of (id, hash of the text, place)."""
     seen, out = {}, []
     documents = {(i, t) for i, t in data if t is not None}
     signed = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), 42)) - (1 << 64 if h >> 63 else 0)
@@ -97,10 +98,13 @@ def runs_removed(data, run):
         all_lines = t.split("\n")
         filled = [n for n, x in enumerate(all_lines) if x.strip(" ")]
         gone = set()
-        for p in range(len(filled) - run + 1):
-            window = tuple(all_lines[n].strip(" ") for n in filled[p:p + run])
-            if seen.setdefault(window, (i, t, p)) != (i, t, p):
-                gone.update(filled[p:p + run])
+        for size in range(1, run + 1):
+            for p in range(len(filled) - size + 1):
+                window = tuple(all_lines[n].strip(" ") for n in filled[p:p + size])
+                if size < run and len(re.findall(r"[^\x20\x09-\x0D]+", " ".join(window))) < words:
+                    continue
+                if seen.setdefault(window, (i, t, p)) != (i, t, p):
+                    gone.update(filled[p:p + size])
         kept[i, t] = ("\n".join(x for n, x in enumerate(all_lines) if n not in gone), len(all_lines), len(gone))
     for i, t in data:
         out.append((i, *(kept[i, t] if t is not None else (None, 0, 0))))
@@ -112,9 +116,11 @@ def test_line_runs_of_odd_rows(spark):
     pool = [f"line {n}" for n in range(12)] + ["", "  ", " line 3 "]
     data = odd.rows() + [(r.choice([None, n, n, 9]), "\n".join(r.choices(pool, k=r.randint(0, 25)))) for n in range(100, 200)]
     data += [(300, "same\n" * 50), (301, "same\n" * 50), (302, "x\ny\nz\nx\ny\nz\nx")] * 2
-    for run in (1, 3):
-        got = lines.without_repeated_runs(odd.frame(spark, data), run=run).select("row.doc_id", "kept", "n_lines", "n_removed").collect()
-        assert odd.plain(got) == odd.plain(runs_removed(data, run))
+    long = [" ".join(r.choices("abcdefgh", k=n)) for n in (2, 3, 4, 5, 6)]
+    data += [(r.choice([n, 400, None]), "\n".join(r.choices([*long, "x\u00a0y", "", "\t"], k=r.randint(0, 9)))) for n in range(400, 460)]
+    for run, words in ((1, 50), (3, 50), (3, 5), (4, 8)):
+        got = lines.without_repeated_runs(odd.frame(spark, data), run=run, words=words).select("row.doc_id", "kept", "n_lines", "n_removed").collect()
+        assert odd.plain(got) == odd.plain(runs_removed(data, run, words))
     assert lines.without_repeated_runs(odd.frame(spark).limit(0)).count() == 0
 
 
