@@ -3,8 +3,8 @@
 Equal vectors are folded first. Each label with more than ``CELL`` vectors is cut into cells by
 spherical k-means, fitted on a bounded sample and applied to every vector. A vector belongs to the cell of its
 nearest centre and also visits each cell whose border is within ``margin`` of it; a link can only be lost
-if both ends are farther than that from the border between them (with ``margin = sqrt(2 - 2 cosine)`` none
-can). A cell is cut into blocks, and each pair of blocks is one product of two small matrices that
+if both ends are farther than that from the border between them. Linked unit vectors are at most sqrt(2 - 2 cosine) apart and
+the border lies between them, so with half of that, the default, none can. A cell is cut into blocks, and each pair of blocks is one product of two small matrices that
 gives link counts per vector and edges that connect what is linked, never the pairs themselves.
 """
 
@@ -136,7 +136,7 @@ def compare(label: str, cells: dict, cosine: float, margin: float):
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = 0.98,
-                 margin: float = 0.1, cell: int = CELL) -> DataFrame:
+                 margin: float | None = None, cell: int = CELL) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
     Only vectors of one label and one length are compared. A NULL label, a NULL, empty or zero vector, and one with a NULL,
@@ -144,6 +144,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     counted one by one, but compared once. A NULL key takes part; it is the component's id only where there is no other,
     and such a row is kept if it is alone. Of rows that share key and vector all are treated alike. Other columns are not read.
     """
+    if margin is None:
+        margin = max(0.0, 2 - 2 * cosine) ** 0.5 / 2 + 1e-6
     own = df.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(vector).alias("vector"))
     fine = F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) \
         & F.exists("vector", lambda x: x != 0)

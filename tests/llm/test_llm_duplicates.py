@@ -228,6 +228,6 @@ def test_copies_count_one_by_one(spark):
 def test_recall_on_the_given_vectors(spark):
     df = Tables(spark, "/root/testdata/sf0.1").embeddings
     want = near([(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()])
-    got = vectors.near_vectors(df, cell=100).collect()
-    links = sum(w[1] for w in want)
-    assert sum(r["n_links"] for r in got) >= 0.99 * links and sum(r["n_links"] for r in got) <= links
+    assert odd.plain(vectors.near_vectors(df, cell=100).collect()) == odd.plain(want)
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
+    assert odd.plain(vectors.near_vectors(df, cosine=0.9, cell=100).collect()) == odd.plain(near(rows, cosine=0.9))
