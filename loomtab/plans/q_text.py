@@ -165,13 +165,12 @@ def _(t):
     return T.pack_blocks(docs, ["doc_id"], "t", 512).select("block", F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
-@query("pack_best_fit", "SELECT true AS full_rows, true AS short_at_end FROM documents LIMIT 1")
+@query("pack_best_fit", f"""SELECT CAST(sum(len({_WS})) AS BIGINT) AS n_tokens, true AS full_rows, true AS one_short_row FROM documents""")
 def _(t):
     docs = spread(t.documents, "doc_id").select("doc_id", T.whitespace_tokens("text").alias("t"))
-    rows = T.pack_best_fit(docs, "doc_id", "t", 257, lanes=t.spark.sparkContext.defaultParallelism)
-    last = rows.groupBy("lane").agg(F.max("row").alias("last"))
+    rows = T.pack_best_fit(docs, "doc_id", "t", 257)
     n = F.size("tokens")
-    return rows.join(last, "lane").agg((F.max(n) == 257).alias("full_rows"), F.bool_and((n == 257) | (F.col("row") == F.col("last"))).alias("short_at_end"))
+    return rows.agg((F.sum(n) + F.sum("cut")).alias("n_tokens"), (F.max(n) == 257).alias("full_rows"), (F.count_if(n < 257) <= 1).alias("one_short_row"))
 
 
 @query("pad_truncate", f"""
