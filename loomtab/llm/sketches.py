@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -136,16 +137,15 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 
 
 def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """Number of bounds below ``key``, by bisection."""
+    """Number of bounds below ``key``: only the key goes to Python, and no objects are made for each comparison."""
     if not bounds:
         return F.lit(0)
-    low_high = F.aggregate(
-        F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high")),
-        lambda acc, _: F.when(acc["low"] >= acc["high"], acc).otherwise(
-            F.when(F.element_at(F.lit(bounds).cast("array<bigint>"), ((acc["low"] + acc["high"]) / 2).cast("int") + 1) < key,
-                   F.struct((((acc["low"] + acc["high"]) / 2).cast("int") + 1).alias("low"), acc["high"].alias("high")))
-            .otherwise(F.struct(acc["low"].alias("low"), ((acc["low"] + acc["high"]) / 2).cast("int").alias("high")))))
-    return low_high["low"]
+    ends = np.array(bounds, np.int64)
+
+    def find(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(ends, keys.to_numpy()).astype(np.int32))
+
+    return F.pandas_udf(find, "int")(key)
 
 
 def with_neighbour(df: DataFrame, key: str, text: str) -> DataFrame:
