@@ -7,7 +7,7 @@ from pyspark.ml.feature import CountVectorizer, Word2Vec
 from pyspark.sql import functions as F
 
 from loomtab.functions import expr as X
-from loomtab.operators import align as A, text as T
+from loomtab.operators import align as A, text as T, words as N
 from loomtab.plans.registry import R, query, rnd
 from loomtab.session import spread
 
@@ -147,6 +147,25 @@ def _(t):
     return whole.select("doc_id", F.array_join("c.chunk", "").alias("text"))
 
 
+@query("word_information", f"""WITH d AS (SELECT doc_id, {_WS} AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS a, generate_subscripts(t, 1) AS i FROM d),
+k AS (SELECT a FROM w GROUP BY a HAVING count(*) >= 20), f AS (SELECT w.* FROM w SEMI JOIN k USING (a)),
+p AS (SELECT x.a, y.a AS b, count(*) AS n FROM f x JOIN f y ON x.doc_id = y.doc_id AND y.i BETWEEN x.i + 1 AND x.i + 3 GROUP BY ALL),
+s AS (SELECT a, b, sum(n) AS n FROM (SELECT a, b, n FROM p UNION ALL SELECT b, a, n FROM p) GROUP BY ALL),
+o AS (SELECT a, sum(n) AS of_a FROM s GROUP BY a), m AS (SELECT s.a, s.b, ln(CAST(s.n AS DOUBLE) * (SELECT sum(n) FROM s) / (CAST(x.of_a AS DOUBLE) * y.of_a)) AS m FROM s JOIN o x ON x.a = s.a JOIN o y ON y.a = s.b)
+SELECT a, CAST(count(*) AS BIGINT) AS n, {R('sum(m)', 5)} AS total FROM m WHERE m > 0 GROUP BY a""")
+def _(t):
+    docs = spread(t.documents, "doc_id").select(T.whitespace_tokens("text").alias("t"))
+    table = N.positive_information(N.cooccurrences(docs, "t", 3, 20))
+    return table.groupBy("a").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("m"), 5).alias("total"))
+
+
+@query("word_vectors")
+def _(t):
+    docs = spread(t.documents, "doc_id").select(T.whitespace_tokens("text").alias("t"))
+    vectors = N.word_vectors(docs, "t", dims=20, window=3, min_count=20)
+    return vectors.select("word", F.size("vector").alias("dims"), rnd(X.norm("vector"), 2).alias("size"))
+
+
 @query("chunk_recursive", f"""WITH w AS (SELECT doc_id, {_WS} AS t FROM documents)
 SELECT doc_id, true AS within, md5(array_to_string(list_sort(list_distinct(t)), ' ')) AS words FROM w WHERE len(t) > 0""")
 def _(t):
