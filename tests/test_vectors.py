@@ -92,6 +92,7 @@ def test_late_interaction_in_blocks(spark, tables):
     patches = tables.embeddings.select((F.col("vec_id") % 7).alias("page"), "embedding")
     tokens = tables.embeddings.limit(12).select((F.col("vec_id") % 3).alias("q"), F.col("embedding").alias("t"))
     one = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3).collect()
+    assert V.late_interaction(patches, "page", "embedding", tokens.limit(0), "q", "t", 3).count() == 0
     many = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3, token_block=4).collect()
     key = lambda r: (r.q, r["rank"], r.page, round(r.score, 9))
     assert sorted(map(key, one)) == sorted(map(key, many))
