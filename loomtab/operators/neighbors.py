@@ -24,6 +24,8 @@ from loomtab.session import materialize
 BLOCK_ROWS = 4096
 QUERY_BLOCK = 20_000
 """Queries that go to the tasks as one matrix."""
+VISITS = 1 << 15
+"""Rows of one batch after each of its rows was sent to every cell; a task holds 64 times as many distances to pivots."""
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -50,16 +52,21 @@ def _pivots(rows: DataFrame, n_pivots: int) -> pd.DataFrame:
     return top.toPandas()
 
 
+def _pieces(frames: Iterator[pd.DataFrame], n_pivots: int) -> Iterator[pd.DataFrame]:
+    """Frames cut so that a piece sent to every pivot is still a bounded number of rows."""
+    step = max(1, VISITS // n_pivots)
+    return (f.iloc[s:s + step] for f in frames for s in range(0, len(f), step))
+
+
 def _with_cell(rows: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
     """Adds the nearest pivot ``_cell`` and the distance to it ``_d``."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                d = _distances(_matrix(f["_v"]), shared.value)
-                cell = d.argmin(1)
-                yield f.assign(_cell=cell.astype(np.int32), _d=d[np.arange(len(f)), cell])
+        for f in _pieces(frames, max(1, len(shared.value) // 64)):
+            d = _distances(_matrix(f["_v"]), shared.value)
+            cell = d.argmin(1)
+            yield f.assign(_cell=cell.astype(np.int32), _d=d[np.arange(len(f)), cell])
 
     return rows.mapInPandas(run, f"{kind}, _cell int, _d double")
 
@@ -76,10 +83,9 @@ def _best(query: pd.DataFrame, base: pd.DataFrame, k: int) -> pd.DataFrame:
         # the m-th distance keeps every tie, so the id decides later
         kth = np.partition(d, m - 1, axis=1)[:, m - 1]
         i, j = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
-        out.append(pd.DataFrame({"_id": qi[part][i], "neighbor": bi[j], "distance": d[i, j]}))
-    found = pd.concat(out)
-    found = found.sort_values(["_id", "distance", "neighbor"], kind="stable")
-    return found.groupby("_id", sort=False).head(k)
+        found = pd.DataFrame({"_id": qi[part][i], "neighbor": bi[j], "distance": d[i, j]})
+        out.append(found.sort_values(["_id", "distance", "neighbor"], kind="stable").groupby("_id", sort=False).head(k))
+    return pd.concat(out)
 
 
 def _block(col: str, n: Column) -> Column:
@@ -172,9 +178,7 @@ def _search(rows, asked, by, k, id_type, total, n_pivots):
 
     def reachable(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p, radius = shared.value
-        for f in frames:
-            if not len(f):
-                continue
+        for f in _pieces(frames, len(p)):
             d = _distances(_matrix(f["_v"]), p)
             bound = f["_bound"].fillna(np.inf).to_numpy(dtype=float)
             i, j = np.nonzero(d - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-9)

@@ -96,3 +96,19 @@ def test_late_interaction_in_blocks(spark, tables):
     many = V.late_interaction(patches, "page", "embedding", tokens, "q", "t", 3, token_block=4).collect()
     key = lambda r: (r.q, r["rank"], r.page, round(r.score, 9))
     assert sorted(map(key, one)) == sorted(map(key, many))
+
+
+def test_pieces_for_all_pivots_are_bounded():
+    import pandas as pd
+
+    frame = pd.DataFrame({"_id": range(10_000)})
+    pieces = list(N._pieces(iter([frame, frame.iloc[:0], frame.iloc[:7]]), 600))
+    assert max(len(p) for p in pieces) * 600 <= N.VISITS and sum(len(p) for p in pieces) == 10_007
+    assert [len(p) for p in N._pieces(iter([frame.iloc[:3]]), 10 * N.VISITS)] == [1, 1, 1]
+
+
+def test_small_pieces_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(N, "VISITS", 20)
+    x = np.random.default_rng(8).normal(0, 1, (100, 4))
+    assert _got(N.nearest(_frame(spark, x), "id", "v", 3, n_pivots=6)) == _brute(x, 3, None)
