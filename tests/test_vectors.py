@@ -112,3 +112,25 @@ def test_small_pieces_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(N, "VISITS", 20)
     x = np.random.default_rng(8).normal(0, 1, (100, 4))
     assert _got(N.nearest(_frame(spark, x), "id", "v", 3, n_pivots=6)) == _brute(x, 3, None)
+
+
+def test_jaccard_of_long_sets_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(V, "SET_BLOCK", 9)
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (20, 40, 300, 700, 2000):
+        base = rng.choice(9000, n, replace=False)
+        sets += [sorted({*base[: n - n // 10 * c].tolist(), *range(9000 + c * 50, 9000 + c * 50 + n // 20 * c)}) for c in range(5)]
+    df = spark.createDataFrame([(i, [f"t{v}" for v in s]) for i, s in enumerate(sets)], "id long, s array<string>")
+    want = {(i, j): round(s, 9) for j in range(len(sets)) for i in range(j) if (s := len({*sets[i]} & {*sets[j]}) / len({*sets[i]} | {*sets[j]})) >= 0.6}
+    assert len(want) > 25 and {(r.a, r.b): round(r.similarity, 9) for r in V.jaccard_pairs(df, "id", "s", 0.6).where("a <> b").collect()} == want
+
+
+def test_jaccard_sketches_rule_out_sets_of_common_words():
+    # All pairs share rare-enough words, hardly any is alike: before, each such pair was written out.
+    rng = np.random.default_rng(7)
+    n, width = np.full(200, 120), 512
+    rows = (np.array([np.bincount(rng.choice(1 << 20, 400, replace=False)[rng.choice(400, 120, replace=False)] % width, minlength=width) for _ in range(200)]) & 1).astype(np.uint8)
+    bits = [np.packbits(r).tobytes() for r in rows]
+    found = {(a, b) for i, j in V._alike(n, bits, n, bits, 0.6) for a, b in zip(i.tolist(), j.tolist())}
+    assert {(i, i) for i in range(200)} <= found and len(found) < 220
