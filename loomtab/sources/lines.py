@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from loomtab.operators.ordered import row_index, running
+from loomtab.operators.ordered import row_index, running_by_slices
 from loomtab.session import written
 
 BLOCK = 1 << 16
@@ -221,7 +221,8 @@ def sharded(df: DataFrame, order: Sequence[str], value: str, max_records: int, m
     Lines are dealt by running sums of their bytes. A line belongs to the window of the sums in which it ends, so a window holds
     its own width and what reaches into it from before: less than the widest line. Lines are therefore classed by size: those above half the
     limit, or beyond it, stand alone; those above a quarter fill windows of half the limit, and so on down to
-    those of at most a sixteenth, which fill windows of fifteen sixteenths. ``order`` must be a total order; it alone decides, neither the
+    those of at most a sixteenth, which fill windows of fifteen sixteenths. A class may hold nearly all lines, so the sums
+    are taken over range slices. ``order`` must be a total order; it alone decides, neither the
     number of tasks nor a retry. NULL lines are left out.
     """
     if max_records < 1 or max_bytes < 1:
@@ -229,7 +230,7 @@ def sharded(df: DataFrame, order: Sequence[str], value: str, max_records: int, m
     sized = df.select(*order, F.col(value).alias("_v")).where("_v IS NOT NULL").withColumn("_size", F.octet_length("_v").cast("long") + 1)
     steps = [2 ** c for c in range(1, 5)]
     rank = sum((F.when(F.col("_size") * s <= max_bytes, 1).otherwise(0) for s in steps), F.lit(0))
-    placed = running(sized.withColumn("_class", rank), ["_class"], order, {"_end": ("sum", F.col("_size")), "_count": ("sum", F.lit(1).cast("long"))})
+    placed = running_by_slices(sized.withColumn("_class", rank), ["_class"], order, {"_end": ("sum", F.col("_size")), "_count": ("sum", F.lit(1).cast("long"))})
     width = F.element_at(F.lit([max(1, max_bytes - max_bytes // s) for s in steps]).cast("array<bigint>"), F.greatest(F.col("_class"), F.lit(1)))
     window = F.when(F.col("_class") == 0, F.col("_count")).otherwise(F.floor((F.col("_end") - 1) / width))
     placed = written(placed.withColumns({"_window": window, "_part": F.floor((F.col("_count") - 1) / max_records)}).drop("_size", "_end", "_count"), "shards")

@@ -97,3 +97,13 @@ def test_no_rows_and_no_files(spark, tmp_path):
     df = spark.createDataFrame([], "a long, t string")
     L.sharded_jsonl(df, str(tmp_path / "none"), ["a"], 5, 100)
     assert L.line_scan(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_sums_of_shards_are_cut_though_a_class_is_small(spark, monkeypatch):
+    from loomtab.operators import ordered
+
+    sliced, cut = [], ordered._range_slices
+    monkeypatch.setattr(ordered, "_range_slices", lambda df, by, *a: sliced.append(list(by)) or cut(df, by, *a))
+    df = spark.range(300).selectExpr("id", "repeat('x', 20) AS v")
+    got = sorted(L.sharded(df, ["id"], "v", 1000, 1 << 20).collect())
+    assert ["_class"] in sliced and [r["id"] for r in got] == list(range(300)) and {r["shard"] for r in got} == {0}
