@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -21,6 +22,7 @@ from loomtab.operators.density import density_clusters, reduced
 from loomtab.operators.neighbors import nearest
 from loomtab.operators.ordered import exact_quantiles, framed
 from loomtab.operators.windows import top_per_group
+from loomtab.session import written
 from loomtab.sources.tables import numeric_columns
 
 _CLASSIFIERS = {
@@ -30,6 +32,12 @@ _CLASSIFIERS = {
     "logistic_regression": lambda **p: LogisticRegression(**{"maxIter": 50, "regParam": 1e-3, **p}),
 }
 
+# With these, boosted trees look at single rows.
+_BY_ROW = {"subsamplingRate", "minInstancesPerNode", "validationIndicatorCol"}
+_BIN = "_bin_of_"
+FOLDED_ROWS = 20_000
+"""Folded rows of a task, about, as far as there are shuffle partitions."""
+
 
 def _spread_rows(rows: DataFrame) -> DataFrame:
     """Iterative training reads its rows many times: use every core for them."""
@@ -41,7 +49,7 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     """One interface for the binary classifiers; numeric columns minus the target are the features.
 
     Positive rows weigh ``positive_weight``, by default negatives / positives.
-    Both boosted names train Spark's boosted trees.
+    Both boosted names train Spark's boosted trees, on rows folded by the bins of their features: the trees see no more of a row than its bins.
     """
     if algorithm not in _CLASSIFIERS:
         raise ValueError(f"unknown algorithm {algorithm!r}; one of {sorted(_CLASSIFIERS)}")
@@ -52,9 +60,37 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     rows = df.select(*cols, F.col(target).cast("double").alias("label"),
                      F.when(F.col(target) == 1, float(positive_weight)).otherwise(1.0).alias("weight"))
     model = _CLASSIFIERS[algorithm](labelCol="label", weightCol="weight", featuresCol="features", **params)
+    if isinstance(model, GBTClassifier) and not _BY_ROW & params.keys():
+        bins = Bucketizer(splitsArray=[[-math.inf, *b, math.inf] for b in bin_borders(rows, cols, model.getMaxBins())], inputCols=cols,
+                          outputCols=[f"{_BIN}{c}" for c in cols], handleInvalid="skip")
+        join = VectorAssembler(inputCols=bins.getOutputCols(), outputCol="features")
+        return PipelineModel([bins, join, model.fit(join.transform(folded(bins, rows)))])
     return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), model]).fit(_spread_rows(rows))
 
 
+def bin_borders(df: DataFrame, cols: Sequence[str], bins: int) -> list[list[float]]:
+    """Borders of at most ``bins`` bins per column: halfway between values where there are so few, else quantiles of the rows without missing values."""
+    rows = df.dropna(subset=list(cols))
+    about = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    out = []
+    for c in cols:
+        values = sorted(float(r[0]) for r in rows.select(F.col(c).cast("double")).distinct().collect()) if about[c] <= 2 * bins else []
+        if 0 < len(values) <= bins:
+            borders = [(a + b) / 2 for a, b in zip(values, values[1:])]
+        else:
+            lowest, *quantiles = rows.approxQuantile(c, [i / bins for i in range(bins)], 1e-3) or [0.0]
+            borders = sorted({q for q in quantiles if q > lowest})
+        out.append([b for b in borders if math.isfinite(b)] or [values[0] if values and math.isfinite(values[0]) else 0.0])
+    return out
+
+
+def folded(bins: Bucketizer, rows: DataFrame) -> DataFrame:
+    """One row for each label and combination of bins, with the summed weight: their number is bounded by the bins, not by the rows."""
+    by = [*bins.getOutputCols(), "label"]
+    out = written(bins.transform(rows).groupBy(*by).agg(F.sum("weight").alias("weight")), "folded")
+    return out.repartition(max(out.sparkSession.sparkContext.defaultParallelism, min(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")), out.count() // FOLDED_ROWS)))
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     """(feature, importance), best first: the gains of a tree model, the absolute coefficients of a linear one."""
     from pyspark.sql import SparkSession
@@ -112,7 +148,7 @@ def predict_table(model: PipelineModel, df: DataFrame, target: str | None = None
     out = out.withColumn("predicted_class", (F.col("predicted_prob") >= cut).cast("int"))
     if target:
         out = out.withColumn("correct", F.col("predicted_class") == F.col(target))
-    return out.drop("features", "rawPrediction", "probability", "prediction")
+    return out.drop("features", "rawPrediction", "probability", "prediction", *[c for c in out.columns if c.startswith(_BIN) and c not in df.columns])
 
 
 def train_regressor(df: DataFrame, target: str, features: Sequence[str], **params) -> PipelineModel:
