@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomtab.operators import bits as B
 
@@ -65,3 +66,29 @@ def test_copies_give_k_rows_and_nothing_gives_none(spark):
     assert len(got) == 60 * 4 and all(r["similarity"] == 1.0 and r["neighbor"] < 5 for r in got)
     assert B.tanimoto_topk(df, "id", "w", 4, df.limit(0)).count() == 0
     assert B.tanimoto_topk(df.limit(0), "id", "w", 4, df.limit(2)).count() == 0
+
+
+def test_offers_are_made_once_a_round_and_sets_once(spark, monkeypatch):
+    r, offers = np.random.default_rng(0), []
+    rows = (r.random((4096, 64)) < r.random((4096, 1))).astype(np.uint8)
+    asked = rows[::50].astype(np.float32)
+
+    class Counted(B.Best):
+        def offer(self, *args):
+            offers.append(1)
+            super().offer(*args)
+
+    best = Counted(len(asked), 3)
+    B.visit(best, asked, rows[::50].sum(axis=1, dtype=np.int64), np.arange(4096), rows)
+    assert len(offers) <= 4096 // B.BAND
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def words(i):
+        made.add(1)
+        return [str(i % 7), str(i)]
+
+    monkeypatch.setattr(B, "QUERY_BLOCK", 5)
+    df = spark.range(100).select("id", words("id").alias("w"))
+    assert B.tanimoto_topk(df, "id", "w", 3, df.where("id % 4 = 0")).count() == 75
+    assert made.value <= 250  # the rows once, the queries once, whatever the blocks
