@@ -5,18 +5,20 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from loomtab.operators.density import density_clusters, reduced
 from loomtab.operators.neighbors import nearest
@@ -49,7 +51,7 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     """One interface for the binary classifiers; numeric columns minus the target are the features.
 
     Positive rows weigh ``positive_weight``, by default negatives / positives.
-    Both boosted names train Spark's boosted trees, on rows folded by the bins of their features: the trees see no more of a row than its bins.
+    Boosted names and the forest train Spark's trees, on rows folded by the bins of their features: the trees see no more of a row than its bins.
     """
     if algorithm not in _CLASSIFIERS:
         raise ValueError(f"unknown algorithm {algorithm!r}; one of {sorted(_CLASSIFIERS)}")
@@ -60,14 +62,25 @@ def train_classifier(df: DataFrame, target: str, algorithm: str, features: Seque
     rows = df.select(*cols, F.col(target).cast("double").alias("label"),
                      F.when(F.col(target) == 1, float(positive_weight)).otherwise(1.0).alias("weight"))
     model = _CLASSIFIERS[algorithm](labelCol="label", weightCol="weight", featuresCol="features", **params)
-    if isinstance(model, GBTClassifier) and not _BY_ROW & params.keys():
-        bins = Bucketizer(splitsArray=[[-math.inf, *b, math.inf] for b in bin_borders(rows, cols, model.getMaxBins())], inputCols=cols,
-                          outputCols=[f"{_BIN}{c}" for c in cols], handleInvalid="skip")
-        join = VectorAssembler(inputCols=bins.getOutputCols(), outputCol="features")
-        return PipelineModel([bins, join, model.fit(join.transform(folded(bins, rows)))])
+    if isinstance(model, GBTClassifier | RandomForestClassifier) and not _BY_ROW & params.keys():
+        bins, join = binned(rows, cols, model.getMaxBins())
+        few = folded(bins, rows)
+        return PipelineModel([bins, join, forest(model, few, join) if isinstance(model, RandomForestClassifier) else model.fit(joined_bins(join, few))])
     return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), model]).fit(_spread_rows(rows))
 
 
+def binned(rows: DataFrame, cols: Sequence[str], bins: int) -> tuple[Bucketizer, VectorAssembler]:
+    """The columns to their bins, and the bins to ``features``."""
+    cut = Bucketizer(splitsArray=[[-math.inf, *b, math.inf] for b in bin_borders(rows, cols, bins)], inputCols=list(cols),
+                     outputCols=[f"{_BIN}{c}" for c in cols], handleInvalid="skip")
+    return cut, VectorAssembler(inputCols=cut.getOutputCols(), outputCol="features")
+
+
+def joined_bins(join: VectorAssembler, few: DataFrame) -> DataFrame:
+    """``features`` without the note that bins are categories: trees are to split them in their order."""
+    return join.transform(few).withMetadata("features", {})
+
+
 def bin_borders(df: DataFrame, cols: Sequence[str], bins: int) -> list[list[float]]:
     """Borders of at most ``bins`` bins per column: halfway between values where there are so few, else quantiles of the rows without missing values."""
     rows = df.dropna(subset=list(cols))
@@ -84,13 +97,70 @@ def bin_borders(df: DataFrame, cols: Sequence[str], bins: int) -> list[list[floa
     return out
 
 
-def folded(bins: Bucketizer, rows: DataFrame) -> DataFrame:
-    """One row for each label and combination of bins, with the summed weight: their number is bounded by the bins, not by the rows."""
-    by = [*bins.getOutputCols(), "label"]
-    out = written(bins.transform(rows).groupBy(*by).agg(F.sum("weight").alias("weight")), "folded")
+def folded(bins: Bucketizer, rows: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """One row for each label, combination of bins and value of ``more``, with the summed weight and the ``rows``: their number is bounded by the bins, not by the rows."""
+    by = [*bins.getOutputCols(), "label", *more]
+    out = written(bins.transform(rows).groupBy(*by).agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("rows")), "folded")
     return out.repartition(max(out.sparkSession.sparkContext.defaultParallelism, min(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")), out.count() // FOLDED_ROWS)))
 
 
+def drawn_times(few: DataFrame, by: Sequence[str], trees: int, rate: float, seed: int) -> DataFrame:
+    """``drawn``: how many rows of each folded one every tree draws with replacement.
+
+    A forest draws each row a Poisson number of times for each tree, apart from all others; the sum over n rows is Poisson too, of n times the
+    mean, so drawing it at once for n equal rows gives the same forest in distribution. Draws follow from the row, not from its place.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            draws = [np.random.default_rng(h % 2 ** 64).poisson(n * rate, trees) for h, n in zip(f.pop("_h").tolist(), f["rows"].tolist())]
+            yield f.assign(drawn=draws)
+
+    schema = StructType([*few.schema.fields, *StructType.fromDDL("drawn array<long>").fields])
+    return written(few.withColumn("_h", F.xxhash64(F.lit(seed), *by)).mapInPandas(run, schema), "drawn")
+
+
+def forest(model: RandomForestClassifier, few: DataFrame, join: VectorAssembler, more: Sequence[str] = (), at_once: int = 8) -> RandomForestClassificationModel:
+    """The forest of folded rows (bins, label, weight, rows, ``more``): each tree is trained on the rows it draws, weighed by how often.
+
+    As rows of one label have one weight, so has each of the rows folded into one. A tree that draws nothing at all sees every row.
+    """
+    count, ways, rng = model.getNumTrees(), model.getFeatureSubsetStrategy(), np.random.default_rng(model.getSeed() % 2 ** 64)
+    seeds = rng.integers(0, 2 ** 62, count).tolist()
+    # A single tree draws no rows and tries all features, as Spark has it.
+    bagged, ways = model.getBootstrap() and count > 1, "sqrt" if ways == "auto" and count > 1 else ways
+    if bagged:
+        few = drawn_times(few, [*join.getInputCols(), "label", *more], count, model.getSubsamplingRate(), model.getSeed())
+    highest, held, *drew = few.agg(F.max("label"), F.count(F.lit(1)), *[F.sum(F.col("drawn")[i]) for i in range(count) if bagged]).first()
+    if highest is None:
+        raise ValueError("no rows to train on")
+    classes = {"ml_attr": {"type": "nominal", "num_vals": int(highest) + 1, "name": "label"}}  # a tree may draw rows of one label only
+    rows = joined_bins(join, few).withMetadata("label", classes).coalesce(max(1, held // FOLDED_ROWS))  # several trees are trained at a time
+
+    def tree(i: int) -> RandomForestClassificationModel:
+        times = F.col("drawn")[i] / F.col("rows") if bagged and drew[i] else F.lit(1.0)
+        one = model.copy({model.numTrees: 1, model.bootstrap: False, model.featureSubsetStrategy: ways, model.seed: seeds[i], model.weightCol: "weight"})
+        return one.fit(rows.select("features", "label", (F.col("weight") * times).alias("weight")).where("weight > 0"))
+
+    with ThreadPool(at_once) as pool:
+        trained = pool.map(inheritable_thread_target(few.sparkSession)(tree), range(count))
+    return joined(model, trained)
+
+
+def joined(model: RandomForestClassifier, trained: Sequence[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One forest of the trees of several; Spark has no public way to make it but this constructor."""
+    from pyspark.sql import SparkSession
+
+    context = SparkSession.active().sparkContext
+    kinds, parts = context._jvm.org.apache.spark.ml.classification, [t for m in trained for t in m._java_obj.trees()]
+    trees = context._gateway.new_array(kinds.DecisionTreeClassificationModel, len(parts))
+    for i, t in enumerate(parts):
+        trees[i] = t
+    java = kinds.RandomForestClassificationModel(model.uid, trees, trained[0].numFeatures, trained[0].numClasses)
+    out = model._copyValues(RandomForestClassificationModel(java))
+    out._transfer_params_to_java()
+    return out
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     """(feature, importance), best first: the gains of a tree model, the absolute coefficients of a linear one."""
     from pyspark.sql import SparkSession
@@ -191,14 +261,21 @@ def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, nei
 
 
 def grid_search(df: DataFrame, target: str, features: Sequence[str], depths: Sequence[int], folds: int = 3, parallelism: int = 4) -> DataFrame:
-    """(max_depth, mean_score): mean cross-validated area under ROC per value, best first."""
-    rows = _spread_rows(_vectors(df, features).select("features", F.col(target).cast("double").alias("label")))
+    """(max_depth, mean_score): mean cross-validated area under ROC per value, best first.
+
+    Rows are dealt to folds one by one, then folded by fold, label and bins (borders of all rows); forests are trained and scored on these.
+    """
     tree = RandomForestClassifier(numTrees=10, seed=1)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
-    cv = CrossValidator(estimator=tree, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=folds,
-                        parallelism=parallelism, seed=1).fit(rows)
-    return df.sparkSession.createDataFrame(
-        [(int(p[tree.maxDepth]), float(s)) for p, s in zip(grid, cv.avgMetrics)], "max_depth int, mean_score double").orderBy(F.desc("mean_score"), "max_depth")
+    dealt = df.select(*features, F.col(target).cast("double").alias("label"), F.lit(1.0).alias("weight"), F.floor(F.rand(1) * folds).alias("_fold"))
+    bins, join = binned(dealt, features, tree.getMaxBins())
+    few, judge = folded(bins, dealt, ["_fold"]), BinaryClassificationEvaluator(weightCol="weight")
+
+    def score(depth: int, i: int) -> float:
+        model = forest(tree.copy({tree.maxDepth: depth}), few.where(F.col("_fold") != i), join, ["_fold"], parallelism)
+        return judge.evaluate(model.transform(join.transform(few.where(F.col("_fold") == i))))
+
+    means = [(int(d), float(np.mean([score(d, i) for i in range(folds)]))) for d in depths]
+    return df.sparkSession.createDataFrame(means, "max_depth int, mean_score double").orderBy(F.desc("mean_score"), "max_depth")
 
 
 def regression_mae(scored: DataFrame, target: str) -> float:
