@@ -218,8 +218,7 @@ SELECT lang, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(replace(text,
 FROM documents GROUP BY lang""")
 def _(t):
     path = scratch(t.spark, "texts")
-    t.documents.select("lang", F.regexp_replace("text", "\n", " ").alias("value")) \
-        .write.partitionBy("lang").option("maxRecordsPerFile", 50).text(path)
+    L.text_tree_sink(t.documents.select("lang", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")), path, "lang", "value", 50)
     docs = S.text_files(t.spark, path, glob="*.txt")
     n_lines = F.size(F.split("value", "\n")) - 1
     return (docs.select(F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang"), "value").groupBy("lang")

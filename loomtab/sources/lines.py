@@ -3,12 +3,13 @@
 Both are Python data sources. The reader makes one partition per file, decodes the file as a stream and hands lines over in Arrow batches, so
 a task holds one decoded block whatever the size of the file. The writer gets lines dealt to numbered shards; a task writes its shards
 in a folder of its own attempt, and the commit moves them to their names, so a retry or a speculative copy leaves nothing behind. Files are reached
-through Arrow's file systems, by the scheme of the path.
+through Arrow's file systems, by the scheme of the path. ``text_tree_sink`` writes plain lines in a folder per key in the same way.
 """
 
 from __future__ import annotations
 
 import gzip
+import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
@@ -29,6 +30,7 @@ BATCH = 1 << 20
 """Bytes of lines in one Arrow batch, about."""
 LEVEL = 3
 SUFFIXES = {"none": "", "gzip": ".gz", "zstd": ".zst"}
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 UNUSABLE = (OSError, EOFError, zlib.error)
 
 
@@ -181,6 +183,70 @@ class LineWriter(DataSourceArrowWriter):
             system.delete_dir(f"{folder}/_temporary")
 
 
+@dataclass
+class Branches(WriterCommitMessage):
+    """The files a task has written, as their number by folder."""
+
+    top: str
+    attempt: str
+    counts: dict[str, int]
+
+    @property
+    def moves(self) -> Iterator[tuple[str, str]]:
+        for folder, n in self.counts.items():
+            for k in range(n):
+                yield f"{self.top}/_temporary/{self.attempt}/{folder}/{k}", f"{self.top}/{folder}/part-{self.attempt}-{k:05d}.txt"
+
+
+def key_folder(key: str, value: str | None) -> str:
+    """``key=value`` as Spark names the folder of a partition."""
+    return f"{key}=" + (re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value) if value else NO_KEY)
+
+
+class TreeWriter(LineWriter):
+    """Lines (key, value) to files of at most ``max_records`` lines in a folder per key; rows of a task come sorted by key. NULL is an empty line."""
+
+    def __init__(self, path: str, key: str, max_records: int, overwrite: bool):
+        super().__init__(path, "none", overwrite)
+        self.key, self.max_records = key, max_records
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Branches:
+        system, top = located(self.path)
+        done, last, left = Branches(top, uuid.uuid4().hex, {}), None, 0
+        with ExitStack() as open_:
+            sink = None
+            for batch in iterator:
+                for key, value in zip(batch.column("key").to_pylist(), batch.column("value")):
+                    if not left or key != last:
+                        open_.close()
+                        name, last, left = key_folder(self.key, key), key, self.max_records
+                        k, at = done.counts.get(name, 0), f"{top}/_temporary/{done.attempt}/{name}"
+                        if not k:
+                            system.create_dir(at, recursive=True)
+                        sink = open_.enter_context(system.open_output_stream(f"{at}/{k}", compression=None, buffer_size=BLOCK))
+                        done.counts[name] = k + 1
+                    sink.write((value.as_py() or b"") + b"\n")
+                    left -= 1
+        return done
+
+    def commit(self, messages: list[Branches | None]) -> None:
+        system, top = located(self.path)
+        for name in {n for message in messages if message for n in message.counts}:
+            system.create_dir(f"{top}/{name}", recursive=True)
+        super().commit(messages)
+
+
+class TextTree(DataSource):
+    """Sink of ``key`` and ``value``: text files in a folder per key."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "loomtab_text_tree"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> TreeWriter:
+        return TreeWriter(self.options["path"], self.options["key"], int(self.options["max_records"]), overwrite)
+
+
 class Lines(DataSource):
     """``file``, ``number`` (from 0), ``value`` of each line; a file that cannot be read to its end adds a row with its ``problem``."""
 
@@ -198,6 +264,24 @@ class Lines(DataSource):
         return LineWriter(self.options["path"], self.options.get("compression", "none"), overwrite)
 
 
+def text_tree_sink(df: DataFrame, path: str, key: str, value: str, max_records: int) -> None:
+    """Text files of at most ``max_records`` lines below ``key=...`` folders, as ``partitionBy(key)`` with ``maxRecordsPerFile`` writes them.
+
+    On a local or mounted file system Hadoop without its native library starts four processes for each file it makes (modes of the file
+    and of its checksum file), which costs more than the lines where files are small; there the files are made by ``TreeWriter``. Elsewhere Spark's sink has no such cost.
+    """
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = df.select(F.col(key), F.col(value))
+    if system.getUri().getScheme() != "file":
+        rows.write.partitionBy(key).option("maxRecordsPerFile", max_records).text(path)
+        return
+    spark.dataSource.register(TextTree)
+    dealt = rows.select(F.col(key).cast("string").alias("key"), F.col(value).cast("binary").alias("value")).sortWithinPartitions("key")
+    dealt.write.format(TextTree.name()).options(path=system.makeQualified(place).toUri().getPath(), key=key, max_records=max_records).mode("append").save()
+
+
 def line_scan(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a file or of all files below a folder: ``.zst``, ``.gz`` and plain ones side by side."""
     spark.dataSource.register(Lines)

@@ -8,6 +8,7 @@ import random
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from loomtab.sources import lines as L
 
@@ -107,3 +108,63 @@ def test_sums_of_shards_are_cut_though_a_class_is_small(spark, monkeypatch):
     df = spark.range(300).selectExpr("id", "repeat('x', 20) AS v")
     got = sorted(L.sharded(df, ["id"], "v", 1000, 1 << 20).collect())
     assert ["_class"] in sliced and [r["id"] for r in got] == list(range(300)) and {r["shard"] for r in got} == {0}
+
+
+def branches(top):
+    """Lines of each file by folder, with the largest number of lines of a file."""
+    found, most = {}, 0
+    for f in glob.glob(f"{top}/*/*.txt"):
+        with open(f, "rb") as stream:
+            lines = stream.read().split(b"\n")
+        assert lines.pop() == b""
+        found.setdefault(os.path.basename(os.path.dirname(f)), []).extend(lines)
+        most = max(most, len(lines))
+    return {k: sorted(v) for k, v in found.items()}, most
+
+
+def test_text_tree_is_that_of_the_partitioned_sink(spark, tmp_path):
+    keys = ["en", "de", "a/b=c%d", "x y'\"[]{}^:*?#\\é漢", "", None, "EN", "\x01\x7f"]
+    rows = [(keys[i % 8], None if i % 11 == 0 else "" if i % 7 == 0 else f"{i} é漢\r\t" * (i % 90)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(3)
+    df.write.partitionBy("k").option("maxRecordsPerFile", 7).text(str(tmp_path / "plain"))
+    L.text_tree_sink(df, f"file://{tmp_path}/tree", "k", "v", 7)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.trees.link./t", f"file://{tmp_path}")
+    L.text_tree_sink(df, "viewfs://trees/t/far", "k", "v", 7)
+    found, most = branches(tmp_path / "plain")
+    assert len(found) == 7 and most == 7
+    assert branches(tmp_path / "tree") == branches(tmp_path / "far") == (found, most)
+    assert not os.path.exists(tmp_path / "tree/_temporary")
+    numbers = df.selectExpr("length(v) AS n", "v")
+    numbers.write.partitionBy("n").text(str(tmp_path / "plain_n"))
+    L.text_tree_sink(numbers, str(tmp_path / "tree_n"), "n", "v", 1000)
+    assert branches(tmp_path / "tree_n") == branches(tmp_path / "plain_n")
+    with pytest.raises(Exception, match="FileExistsError"):
+        L.text_tree_sink(df, f"{tmp_path}/tree", "k", "v", 7)
+    L.text_tree_sink(df.limit(0), f"{tmp_path}/none", "k", "v", 7)
+    assert branches(tmp_path / "none") == ({}, 0)
+
+
+def test_small_text_files_start_no_processes(spark, tmp_path):
+    """Each file once cost four processes that set the modes of it and of its checksum file."""
+    from loomtab.plans import load_all
+    from loomtab.plans.registry import QUERIES
+
+    load_all()
+    lang = F.element_at(F.array(F.lit("en"), F.lit(None), F.lit("de")), (F.col("id") % 3 + 1).cast("int"))
+    text = F.when(F.col("id") % 5 > 0, F.concat(F.lit("é\n\n漢 "), F.col("id").cast("string")))
+    docs = spark.range(50_000).select(F.col("id").alias("doc_id"), text.alias("text"), lang.alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+
+    def started():
+        with open("/proc/stat") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("processes"))
+
+    before = started()
+    got = {r["lang"]: (r["n_lines"], r["n_chars"]) for r in QUERIES["text_file_source"](spark, str(tmp_path)).collect()}
+    assert started() - before < 2000  # 4 for each of 1,000 files before
+    want = {}
+    for i in range(50_000):
+        name = ("en", "", "de")[i % 3]
+        n, chars = want.get(name, (0, 0))
+        want[name] = n + 1, chars + (len(f"é  漢 {i}") if i % 5 else 0)
+    assert got == want
