@@ -13,9 +13,11 @@ compared with the keys of both ends, so ties have one result.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -24,6 +26,8 @@ from loomtab.operators.neighbors import nearest
 from loomtab.operators.ordered import running
 from loomtab.session import written
 
+LISTED = 100_000
+"""Entries of lists of clusters that leave a task together, about."""
 TINY = 1e-9
 """Weights below this one count as this one, so that copies have a finite density."""
 
@@ -167,11 +171,13 @@ def _climbed(rows: DataFrame, tree: DataFrame) -> DataFrame:
     return at.drop("parent", "ends")
 
 
-def chosen_clusters(tree: dict, exits: dict, single: bool, top: int) -> dict:
-    """leaf -> [(cluster, density at which the leaf and it are one, its highest density)], its own cluster first. ``tree`` has weights.
+def chosen_clusters(tree: dict, exits: dict, single: bool, top: int | None = None) -> tuple[dict, Iterator[tuple]]:
+    """(leaf -> its own cluster or None, lists of all clusters). ``tree`` has weights.
 
     ``exits`` has (rows, sum of densities, highest density) of the rows that leave at a node. A cluster is chosen where it persists longer
-    than all chosen below it. The whole tree is no choice if ``single``. The ``top`` clusters that a leaf joins first are listed.
+    than all chosen below it. The whole tree is no choice if ``single``. All leaves of a cluster join the others at the same densities, so there is
+    a list for each cluster, made as it is read: (cluster, [(other, density at which the two are one, highest density of the other)]), itself first and
+    those it joins first next. ``top`` ends a list.
     """
     children: dict = {}
     for node, (parent, *_) in tree.items():
@@ -181,7 +187,7 @@ def chosen_clusters(tree: dict, exits: dict, single: bool, top: int) -> dict:
         node = stack.pop()
         order.append(node)
         stack += children.get(node, ())
-    size, best, high, picks = {}, {}, {}, {}
+    size, best, high, inner_best, chosen = {}, {}, {}, {}, {}
     for node in reversed(order):
         parent, ends, made = tree[node]
         n, total, highest = exits.get(node, (0, 0.0, 0.0))
@@ -189,34 +195,41 @@ def chosen_clusters(tree: dict, exits: dict, single: bool, top: int) -> dict:
         size[node] = n + sum(size[c] for c in below)
         high[node] = max([highest, *(high[c] for c in below)])
         persists = total + sum(size[c] * density(made) for c in below) - size[node] * (density(ends) if ends < math.inf else 0.0)
-        inner = sum(best[c] for c in below)
-        if (persists >= inner or not below) and not (parent is None and single):
-            best[node], picks[node] = persists, [node]
-        else:
-            best[node], picks[node] = inner, [p for c in below for p in picks[c]]
-    out, inside = {}, {}
+        inner_best[node] = sum(best[c] for c in below)
+        chosen[node] = (persists >= inner_best[node] or not below) and not (parent is None and single)
+        best[node] = persists if chosen[node] else inner_best[node]
+    inside = {}
     for node in order:
-        parent = tree[node][0]
-        inside[node] = inside.get(parent) or (node if picks[node] == [node] else None)
-        if children.get(node):
-            continue
-        own = inside[node]
-        found = [(own, math.inf)] if own else []
-        at = own or node
-        while len(found) < top and tree[at][0] is not None:
-            parent = tree[at][0]
+        inside[node] = inside.get(tree[node][0]) or (node if chosen[node] else None)
+
+    def picks(node) -> Iterator:
+        """Chosen clusters at and below a node, from the smallest name of a branch on."""
+        todo = [node]
+        while todo:
+            at = todo.pop()
+            if chosen[at]:
+                yield at
+            else:
+                todo += sorted(children.get(at, ()), reverse=True)
+
+    def met(own) -> Iterator[tuple]:
+        yield own, math.inf, high[own]
+        at = own
+        while (parent := tree[at][0]) is not None:
             joined = density(tree[parent][2])
-            found += [(p, joined) for p in sorted(p for c in children[parent] if c != at for p in picks[c])]
+            for p in sorted(p for c in children[parent] if c != at for p in picks(c)):
+                yield p, joined, high[p]
             at = parent
-        out[node] = [(c, d, high[c]) for c, d in found[:top]]
-    return out
+
+    leaves = {node: inside[node] for node in order if not children.get(node)}
+    return leaves, ((own, list(islice(met(own), top))) for own in dict.fromkeys(o for o in leaves.values() if o))
 
 
-def density_clusters(df: DataFrame, key: str, vector: str, neighbors: int = 15, min_size: int = 50, top: int = 8) -> DataFrame:
+def density_clusters(df: DataFrame, key: str, vector: str, neighbors: int = 15, min_size: int = 50, top: int | None = None) -> DataFrame:
     """(key, cluster, memberships) of every row; ``cluster`` is NULL for noise.
 
-    A membership is how dense the row and the cluster are where they become one, as a share of the cluster's highest density; the shares of the ``top`` clusters
-    that a row joins first are scaled so that they add up to the largest of them. A cluster is named by the tree
+    A membership is how dense the row and the cluster are where they become one, as a share of the cluster's highest density; the shares of all clusters
+    that a row ever joins (``top``: of that many it joins first) are scaled so that they add up to the largest of them. A cluster is named by the tree
     it stems from. Rows in groups of fewer than ``min_size``, alone in their part of the graph, have no memberships. If all rows
     are one part, the cluster of all rows is no choice. Keys must be unique and not NULL, vectors of one length.
     """
@@ -244,13 +257,29 @@ def density_clusters(df: DataFrame, key: str, vector: str, neighbors: int = 15,
     exits = written(left.groupBy("exit").agg(F.count(F.lit(1)).alias("n"), F.sum(dense).alias("total"), F.max(dense).alias("high")), "exits")
     known = tree.select("tree", "node", "parent", F.col("ends.weight").alias("ends"), F.col("made.weight").alias("made")).join(exits.withColumnRenamed("exit", "node"), "node", "left")
 
-    def choose(t: pd.DataFrame) -> pd.DataFrame:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(batches).to_pandas()
         nodes = {n: (p, math.inf if pd.isna(e) else e, m) for n, p, e, m in zip(t["node"], t["parent"].where(t["parent"].notna(), None), t["ends"], t["made"])}
-        found = chosen_clusters(nodes, {n: (int(c), s, h) for n, c, s, h in zip(t["node"], t["n"], t["total"], t["high"]) if c == c}, single, top)
-        return pd.DataFrame({"group": list(found), "near": [[dict(zip(("cluster", "joined", "high"), c)) for c in v] for v in found.values()]})
-
-    near = known.groupBy("tree").applyInPandas(choose, "group string, near array<struct<cluster: string, joined: double, high: double>>")
-    out = rows.select("key", F.col("group").cast("string").alias("group"), "at").join(near, "group", "left")
+        leaves, lists = chosen_clusters(nodes, {n: (int(c), s, h) for n, c, s, h in zip(t["node"], t["n"], t["total"], t["high"]) if c == c}, single, top)
+        yield sent([*leaves], [*leaves.values()], [None] * len(leaves))
+        names, held = [], []
+        for own, near in lists:
+            names.append(own), held.append([dict(zip(("cluster", "joined", "high"), c)) for c in near])
+            if len(held) * len(near) >= LISTED:
+                yield sent([None] * len(names), names, held)
+                names, held = [], []
+        if names:
+            yield sent([None] * len(names), names, held)
+
+    entry = pa.list_(pa.struct([("cluster", pa.string()), ("joined", pa.float64()), ("high", pa.float64())]))
+
+    def sent(leaves: list, own: list, near: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(leaves, pa.string()), pa.array(own, pa.string()), pa.array(near, entry)], ["group", "_own", "near"])
+
+    # A row for each leaf with its cluster, and one for each cluster with its list.
+    told = written(known.groupBy("tree").applyInArrow(choose, "group string, _own string, near array<struct<cluster: string, joined: double, high: double>>"), "chosen")
+    out = rows.select("key", F.col("group").cast("string").alias("group"), "at").join(told.where("group IS NOT NULL").select("group", "_own"), "group", "left")
+    out = out.join(told.where("group IS NULL").select("_own", "near"), "_own", "left").drop("_own")
     out = out.withColumn("shares", F.transform("near", lambda c: F.least(dense, c["joined"]) / c["high"]))
     out = out.withColumn("scale", F.array_max("shares") / F.aggregate("shares", F.lit(0.0), lambda a, x: a + x))
     first = F.get("near", F.lit(0))

@@ -255,8 +255,8 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, seed: int = 1) -> tup
     return out.drop("features"), score, [list(map(float, c)) for c in model.clusterCenters()]
 
 
-def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, neighbors: int = 15, min_size: int = 50, top: int = 8) -> DataFrame:
-    """(key, cluster, memberships): clusters by density after a PCA, NULL for noise."""
+def soft_clusters(df: DataFrame, key: str, vector: str, components: int = 5, neighbors: int = 15, min_size: int = 50, top: int | None = None) -> DataFrame:
+    """(key, cluster, memberships): clusters by density after a PCA, NULL for noise; of all clusters, or of the ``top`` that a row joins first."""
     return density_clusters(reduced(df, key, vector, components), key, vector, neighbors, min_size, top)
 
 

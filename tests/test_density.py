@@ -116,6 +116,18 @@ def test_many_small_and_tied(spark, seed, min_size, neighbors):
     compare(spark, frame(spark, points), neighbors, min_size)
 
 
+def test_no_cluster_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(D, "LISTED", 20)
+    r = np.random.default_rng(5)
+    between = [(x, 0) for x in np.arange(0, 72, 0.7) + r.uniform(-0.1, 0.1, 103) if 1 < x % 6 < 5]
+    df = frame(spark, np.concatenate([*(r.normal((6 * i, 0), 0.1, (12, 2)) for i in range(13)), between]))
+    want = plain(range(df.count()), [tuple(q) for q in D.mutual_reachability(df, "id", "v", 4).collect()], 10)
+    got = D.density_clusters(df, "id", "v", 4, 10).collect()
+    assert max(len(shares) for _, shares in want.values()) > 8
+    for q in got:
+        assert sorted(m["membership"] for m in q["memberships"]) == pytest.approx(sorted(want[q["id"]][1].values()))
+
+
 def test_a_long_chain_and_few_rows(spark):
     chain = [(sum(1 + i / 50 for i in range(n)), 0.0) for n in range(70)]  # steps grow: each row picks the one before
     compare(spark, frame(spark, chain), 2, 9)
