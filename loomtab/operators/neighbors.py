@@ -1,27 +1,36 @@
-"""Exact nearest neighbours as a pruned block join.
+"""Exact nearest neighbours as a pruned comparison of written blocks.
 
 Rows are put into cells around pivots, whose number grows with the square root of the
-rows: the pivots of ten billion rows are 25,000, some MB, and a cell has a few hundred thousand rows. A first pass bounds
-each row's k-th distance inside its own cell; the row is then sent only to cells whose
-nearest possible point is within that bound (triangle inequality), so nothing is
-dropped and far cells are never visited. Both sides of a cell are cut into
-blocks, so a cell holding a third of the rows is many tasks; a task compares one
-block with one block in numpy and emits only the k best per row, never all pairs.
+rows: the pivots of ten billion rows are 25,000, some MB. Rows of different vectors are written once, sorted by cell, as files of
+bounded size. A task takes the rows of one file and reads the files of the shared folder one after the other, its own first and near ones next:
+each row's k-th distance so far bounds it, and cells whose nearest possible point is beyond that (triangle inequality) are passed over, so
+nothing is dropped. No row is copied for a comparison and only the k best of a row leave a task, so disk grows with the rows alone. A cell holding
+a third of the rows is many files. Files are reached through Arrow's file systems, by the scheme of the path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from loomtab.operators.ordered import keyed_join
-from loomtab.session import materialize
+from loomtab.session import written
+from loomtab.sources.lines import located
 
 BLOCK_ROWS = 4096
+"""Rows of a file, while there are few, and of a cell at least, about."""
+FILE_BYTES = 16 << 20
+"""Bytes of the vectors of a file, as doubles, about."""
+STEP = 1 << 22
+"""Distances held at a time."""
 QUERY_BLOCK = 20_000
 """Queries that go to the tasks as one matrix."""
 VISITS = 1 << 15
@@ -65,56 +74,211 @@ def _with_cell(rows: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in _pieces(frames, max(1, len(shared.value) // 64)):
             d = _distances(_matrix(f["_v"]), shared.value)
+            d[np.isnan(d)] = np.inf
             cell = d.argmin(1)
             yield f.assign(_cell=cell.astype(np.int32), _d=d[np.arange(len(f)), cell])
 
     return rows.mapInPandas(run, f"{kind}, _cell int, _d double")
 
 
-def _best(query: pd.DataFrame, base: pd.DataFrame, k: int) -> pd.DataFrame:
-    """k nearest base rows per query row: (_id, neighbor, distance)."""
-    qi, bi = query["_id"].to_numpy(), base["_id"].to_numpy()
-    out = []
-    b = _matrix(base["_v"])
-    for s in range(0, len(query), 1024):
-        part = slice(s, s + 1024)
-        d = _distances(_matrix(query["_v"].iloc[part]), b)
-        m = min(k, d.shape[1])
-        # the m-th distance keeps every tie, so the id decides later
-        kth = np.partition(d, m - 1, axis=1)[:, m - 1]
-        i, j = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
-        found = pd.DataFrame({"_id": qi[part][i], "neighbor": bi[j], "distance": d[i, j]})
-        out.append(found.sort_values(["_id", "distance", "neighbor"], kind="stable").groupby("_id", sort=False).head(k))
-    return pd.concat(out)
-
-
-def _block(col: str, n: Column) -> Column:
-    return F.pmod(F.xxhash64(F.col(col)), F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS))).cast("int")
-
-
-def _compare(queries: DataFrame, base: DataFrame, unit: Sequence[str], k: int, id_type: str) -> DataFrame:
-    """Meet every query block of a unit with every base block of it; k best per pair of blocks.
-
-    ``queries`` and ``base`` carry unit..., _blk. Each row is copied once per
-    block of the other side, and one task holds two blocks.
-    """
-    unit = list(unit)
-    n_base = base.groupBy(*unit).agg((F.max("_blk") + 1).alias("_nb"))
-    n_query = queries.groupBy(*unit).agg((F.max("_blk") + 1).alias("_nq"))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = keyed_join(queries, n_base, unit).withColumn("_blk_b", spread("_nb")).withColumnRenamed("_blk", "_blk_q").drop("_nb")
-    right = keyed_join(base, n_query, unit).withColumn("_blk_q", spread("_nq")).withColumnRenamed("_blk", "_blk_b").drop("_nq")
-    key = [*unit, "_blk_q", "_blk_b"]
+class _Written:
+    """Rows of different vectors in files by group and cell: (_g, _k) a group, _h a hash of group and vector, _id the lowest of _n ids, _v, _cell, _d."""
+
+    def __init__(self, rows: DataFrame, by: Sequence[str], total: int, pivots: np.ndarray, seed: int):
+        self.rows, self.by, self.seed, self.pivots = rows, by, seed, pivots
+        distinct = rows.groupBy(*by, "_v").agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_n"))
+        named = distinct.select("_id", "_n", "_v", *_group(rows, by, seed))
+        placed = _with_cell(named, pivots, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields))
+        files = max(1, -(-total * pivots.shape[1] * 8 // FILE_BYTES), min(-(-total // BLOCK_ROWS), 4 * rows.sparkSession.sparkContext.defaultParallelism))
+        self.table = written(placed.repartitionByRange(files, "_g", "_cell", "_h").sortWithinPartitions("_g", "_cell", "_h"), "vectors")
+        found = self.table.groupBy(F.input_file_name().alias("path")).agg(*[f(c) for c in ("_g", "_cell") for f in (F.min, F.max)])
+        self.files = sorted(map(tuple, found.collect()))
+
+    def single(self) -> bool:
+        """No vector and no id comes twice."""
+        return self.table.where("_n > 1").isEmpty() and self.table.groupBy("_id").count().where("count > 1").isEmpty()
+
+    def named(self) -> DataFrame:
+        """(_id, _h) of all rows, copies too."""
+        return self.rows.select("_id", _group(self.rows, self.by, self.seed)[-1])
+
+    def told_by_hash(self) -> bool:
+        return self.table.groupBy("_h").count().where("count > 1").isEmpty()
+
+
+def _group(rows: DataFrame, by: Sequence[str], seed: int) -> list:
+    """_g, _k and _h of each row."""
+    kinds = {c: isinstance(rows.schema[c].dataType, (T.DoubleType, T.FloatType)) for c in by}
+    parts = [x for c in by for x in (F.col(c).isNull(), F.col(c) + F.lit(0.0) if kinds[c] else F.col(c))]
+    return [(F.xxhash64(*parts) if by else F.lit(0).cast("long")).alias("_g"), (F.to_json(F.struct(*by)) if by else F.lit("")).alias("_k"),
+            F.xxhash64(*parts, F.lit(seed), "_v").alias("_h")]
+
+
+def _opened(path: str) -> tuple[pa.Table, np.ndarray]:
+    """A file and its vectors."""
+    system, place = located(path)
+    table = pq.read_table(place, filesystem=system, partitioning=None).combine_chunks()
+    lists = table.column("_v").combine_chunks()
+    lengths = pc.unique(pc.list_value_length(lists))
+    if len(lengths) != 1 or not lengths[0].is_valid:
+        raise ValueError("vectors must be of one length and not NULL")
+    return table, lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(table.num_rows, -1)
+
+
+def _plain(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_pandas(integer_object_nulls=True).to_numpy()
+
+
+def _groups(table: pa.Table) -> dict[tuple, np.ndarray]:
+    """(_g, _k) -> its rows, in order."""
+    g = _plain(table, "_g")
+    if not len(g) or (g[0] == g[-1] and len(pc.unique(table.column("_k"))) == 1):
+        return {(g[0], table.column("_k")[0].as_py()): np.arange(len(g))} if len(g) else {}
+    return pd.DataFrame({"g": g, "k": _plain(table, "_k")}).groupby(["g", "k"], sort=False).indices
+
+
+class _Best:
+    """The ``k`` nearest of each row so far: distance, id and hash, in order."""
+
+    def __init__(self, rows: int, k: int, ids: np.ndarray):
+        self.far = np.full((rows, k), np.inf)
+        self.id, self.h = np.empty((rows, k), ids.dtype), np.zeros((rows, k), np.int64)
+
+    def add(self, row: np.ndarray, far: np.ndarray, ids: np.ndarray, h: np.ndarray) -> None:
+        met = np.unique(row)
+        at, place = np.nonzero(np.isfinite(self.far[met]))
+        at = met[at]
+        row, far = np.concatenate([at, row]), np.concatenate([self.far[at, place], far])
+        ids, h = np.concatenate([self.id[at, place], ids]), np.concatenate([self.h[at, place], h])
+        order = np.lexsort((ids, far, row)) if ids.dtype != object else pd.DataFrame({"r": row, "f": far, "i": ids}).sort_values(["r", "f", "i"], kind="stable").index.to_numpy()
+        row, far, ids, h = row[order], far[order], ids[order], h[order]
+        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        keep = rank < self.far.shape[1]
+        row, rank = row[keep], rank[keep]
+        self.far[row, rank], self.id[row, rank], self.h[row, rank] = far[keep], ids[keep], h[keep]
+
+
+def _met(best: _Best, rows: np.ndarray, a: np.ndarray, b: np.ndarray, ids: np.ndarray, h: np.ndarray) -> None:
+    """Offers the rows ``b`` to ``rows`` of ``a``: products rule pairs out, what is left is measured from differences."""
+    k, b2 = best.far.shape[1], (b * b).sum(1)
+    right = np.concatenate([b, b2[:, None], np.ones((len(b), 1))], axis=1).T
+    step = max(1, STEP // len(b))
+    for at in (rows[s:s + step] for s in range(0, len(rows), step)):
+        own = a[at]
+        a2 = (own * own).sum(1)
+        square = np.concatenate([-2 * own, np.ones((len(own), 1)), a2[:, None]], axis=1) @ right
+        slack = 1e-10 * (a2 + b2.max())
+        limit = best.far[at, -1] ** 2 + slack
+        if (loose := ~np.isfinite(limit)).any():  # not yet k found: the k-th of these
+            m = min(k, len(b))
+            kth = np.partition(square[loose], m - 1, axis=1)[:, m - 1]
+            limit[loose] = np.where(np.isnan(kth), np.inf, kth) + slack[loose]
+        i, j = np.nonzero(square <= limit[:, None])
+        if not len(i):
+            continue
+        far = np.concatenate([np.sqrt(((own[i[s:s + 65536]] - b[j[s:s + 65536]]) ** 2).sum(1)) for s in range(0, len(i), 65536)])
+        keep = np.isfinite(far) & (far <= best.far[at, -1][i])
+        if keep.any():
+            best.add(at[i[keep]], far[keep], ids[j[keep]], h[j[keep]])
+
+
+def _through(best: _Best, table: pa.Table, v: np.ndarray, own: dict, a: np.ndarray, pivots: np.ndarray) -> None:
+    """Offers the rows of a file to those rows of its groups that its cells can hold something for."""
+    cell, radius, ids, h = (_plain(table, c) for c in ("_cell", "_d", "_id", "_h"))
+    for group, there in _groups(table).items():
+        if group not in own:
+            continue
+        rows = own[group]
+        cells = np.append(np.flatnonzero(np.append(True, np.diff(cell[there]) != 0)), len(there))
+        s = 0
+        while s < len(cells) - 1:  # some cells together, where they are small
+            e = max(s + 1, int(np.searchsorted(cells, cells[s] + BLOCK_ROWS, side="right")) - 1)
+            part = there[cells[s]:cells[e]]
+            widest = np.maximum.reduceat(radius[part], cells[s:e] - cells[s])
+            reach = rows
+            if len(pivots) > 1 and np.isfinite(bound := best.far[rows, -1]).any():
+                steps = max(1, STEP // (e - s))
+                near = [(_distances(a[rows[x:x + steps]], pivots[cell[there[cells[s:e]]]]) - widest > bound[x:x + steps, None] * (1 + 1e-9) + 1e-9).all(1) for x in range(0, len(rows), steps)]
+                reach = rows[~np.concatenate(near)]
+            if len(reach):
+                _met(best, reach, a, v[part], ids[part], h[part])
+            s = e
+
+
+def _answers(asked: _Written, base: _Written, k: int, id_type: str, leave_out_self: bool, opposite: bool) -> DataFrame:
+    """(_id, rank, neighbor, distance, _h): the ``k`` nearest different vectors of each; one more is looked for where the row itself is left out. ``opposite``: nearest to the mirrored vector."""
+    spark, shared = base.table.sparkSession, base.table.sparkSession.sparkContext.broadcast(base.pivots)
+    theirs, files, found = asked.files, base.files, k + leave_out_self
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots = shared.value
+        for number in (n for batch in batches for n in batch.column(0).to_pylist()):
+            path, low, high, *_ = theirs[number]
+            table, v = _opened(path)
+            a = -v if opposite else v
+            own, ids = _groups(table), _plain(table, "_id")
+            best, middle = _Best(len(a), found, ids), np.nanmean(a, axis=0)
+            away = np.sqrt(((pivots - middle) ** 2).sum(1))
+            # The file itself, then by the nearest cell; groups of a file follow one another.
+            todo = sorted((f[0] != path or opposite, float(np.nan_to_num(away[f[3]:f[4] + 1].min()) if f[1] == f[2] else 0), f[0]) for f in files if f[1] <= high and f[2] >= low)
+            for _, _, other in todo:
+                _through(best, *((table, v) if other == path else _opened(other)), own, a, pivots)
+            ok = np.isfinite(best.far)
+            if leave_out_self:
+                ok &= best.id != ids[:, None]
+            rank = np.cumsum(ok, axis=1)
+            i, j = np.nonzero(ok & (rank <= k))
+            kind = table.schema.field("_id").type
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i], kind), pa.array(rank[i, j].astype(np.int32)), pa.array(best.id[i, j], kind), pa.array(best.far[i, j]), pa.array(best.h[i, j])],
+                                             ["_id", "rank", "neighbor", "distance", "_h"])
+
+    n = len(theirs)
+    return spark.range(0, n, 1, max(1, n)).mapInArrow(run, f"_id {id_type}, rank int, neighbor {id_type}, distance double, _h long")
+
+
+def _shaped(df: DataFrame, key: str, vector: str, by: Sequence[str], kind: str) -> DataFrame:
+    # 0.0 is added to make -0.0 and 0.0 one.
+    return df.select(*by, F.col(key).alias("_id"), F.transform(F.col(vector).cast(f"array<{kind}>"), lambda x: x + F.lit(0.0).cast(kind)).alias("_v"))
+
+
+def _kind(*frames: DataFrame, vector: str) -> str:
+    return "float" if all(d.schema[vector].dataType == T.ArrayType(T.FloatType()) for d in frames) else "double"
+
+
+def _laid_out(rows: DataFrame, by: Sequence[str], n_pivots: int | None, asked: DataFrame | None = None) -> tuple[_Written, _Written, bool]:
+    """Rows and asked rows, and whether all of them are single."""
+    total = rows.count()
+    pivots = _matrix(_pivots(rows, n_pivots or max(1, min(int(total ** 0.5) // 4, total // BLOCK_ROWS)))["_v"])
+    for seed in count(29):
+        there = _Written(rows, by, total, pivots, seed)
+        heads = there if asked is None else _Written(asked, by, asked.count(), pivots, seed)
+        every = {there, heads}
+        if all(x.single() for x in every):
+            return there, heads, True
+        if all(x.told_by_hash() for x in every):  # else with another hash
+            return there, heads, False
+
+
+def _ranked(there: _Written, heads: _Written, single: bool, key: str, k: int, leave_out_self: bool, opposite: bool = False) -> DataFrame:
+    id_type, w = there.rows.schema["_id"].dataType.simpleString(), Window.partitionBy("_id").orderBy("distance", "neighbor")
+    if single:
+        return _answers(heads, there, k, id_type, leave_out_self, opposite).select(F.col("_id").alias(key), "rank", "neighbor", "distance")
+    # Equal vectors have equal distances, so one row looks for all its copies, and of these only the k + 1 lowest ids can be anyone's neighbours.
+    found = _answers(heads, there, k + 1, id_type, False, opposite).drop("rank")
+    of_copy = there.named().join(there.table.where("_n > 1").select("_h"), "_h")
+    of_copy = of_copy.withColumn("_c", F.row_number().over(Window.partitionBy("_h").orderBy("_id"))).where(F.col("_c") <= k + 1)
+    found = found.join(of_copy.select("_h", F.col("_id").alias("_copy"), "_c"), "_h", "left")
+    found = found.select("_id", F.when(F.col("_c").isNull(), F.col("neighbor")).otherwise(F.col("_copy")).alias("neighbor"), "distance")
+    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1).select(F.col("_id").alias("_head"), "neighbor", "distance")
+    found = heads.named().join(heads.table.select("_h", F.col("_id").alias("_head")), "_h").select("_id", "_head").join(ranked, "_head").drop("_head")
+    found = found.where(F.col("_id") != F.col("neighbor")) if leave_out_self else found
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col("_id").alias(key), "rank", "neighbor", "distance")
 
-    def run(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or b.empty:
-            return pd.DataFrame({"_id": [], "neighbor": [], "distance": []})
-        return _best(q, b.set_axis(q.columns, axis=1), k)
 
-    other = [f"_b{c}" for c in key]
-    return (left.select(*key, "_id", "_v").groupBy(*key)
-            .cogroup(right.select(*key, "_id", "_v").toDF(*other, "_bid", "_bv").groupBy(*other))
-            .applyInPandas(run, f"_id {id_type}, neighbor {id_type}, distance double"))
+def _none(base: DataFrame, key: str) -> DataFrame:
+    id_type = base.schema[key].dataType.simpleString()
+    return base.sparkSession.createDataFrame([], f"`{key}` {id_type}, rank int, neighbor {id_type}, distance double")
 
 
 def nearest(base: DataFrame, key: str, vector: str, k: int, queries: DataFrame | None = None, by: Sequence[str] = (),
@@ -124,74 +288,20 @@ def nearest(base: DataFrame, key: str, vector: str, k: int, queries: DataFrame |
     Without ``queries`` every row looks among the other rows. ``by`` limits the
     search to rows with equal values. Exact.
     """
-    by = list(by)
-    self_join = queries is None
-    id_type = base.schema[key].dataType.simpleString()
-
-    def shaped(df):
-        return df.select(*by, F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
-
-    rows = shaped(base)
-    asked = rows if self_join else shaped(queries)
-    total, w = rows.count(), Window.partitionBy("_id").orderBy("distance", "neighbor")
-    # Equal vectors have equal distances, so only the k + 1 lowest ids of each
-    # can be anyone's neighbours, and one of them asks for all its copies.
-    same = Window.partitionBy(*by, "_v").orderBy("_id")
-    kept = rows.withColumn("_c", F.row_number().over(same)).where(F.col("_c") <= k + 1).drop("_c")
-    heads = asked.groupBy(*by, "_v").agg(F.min("_id").alias("_id"))
-    found = _search(kept, heads, by, k + 1, id_type, total, n_pivots)
-    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1).drop("rank")
-    of_copy = keyed_join(asked, heads.withColumnRenamed("_id", "_head"), [*by, "_v"]).select("_id", "_head")
-    found = of_copy.join(ranked.withColumnRenamed("_id", "_head"), "_head").drop("_head")
-    found = found.where(F.col("_id") != F.col("neighbor")) if self_join else found
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col("_id").alias(key), "rank", "neighbor", "distance")
-
-
-def _search(rows, asked, by, k, id_type, total, n_pivots):
-    """(_id, neighbor, distance) holding at least the k nearest per asked row."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    asked = asked.select(*rows.columns)
-    if not total:
-        return rows.sparkSession.createDataFrame([], f"_id {id_type}, neighbor {id_type}, distance double")
-    pivots = _matrix(_pivots(rows, n_pivots or max(1, min(int(total ** 0.5) // 4, total // BLOCK_ROWS)))["_v"])
-    unit = [*by, "_cell"]
-    placed = _with_cell(rows, pivots, kinds)
-    cells = materialize(placed.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_radius")))
-    base = keyed_join(placed, cells, unit).withColumn("_blk", _block("_id", F.col("_n"))).drop("_n", "_radius", "_d")
-    placed_q = _with_cell(asked, pivots, kinds)
-    sizes = placed_q.groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"))
-    own = keyed_join(placed_q, sizes, unit).withColumn("_blk", _block("_id", F.col("_n"))).drop("_n", "_d")
-    if len(pivots) == 1:  # one cell: nothing to prune
-        return _compare(own, base, unit, k, id_type)
-    # Pass 1: an upper bound of the k-th distance from one base block of the own cell.
-    first = base.where("_blk = 0")
-    seen = _compare(own, first, unit, k, id_type)
-    bound = seen.groupBy("_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("_bound"))
-    # Pass 2: every cell that can hold something closer than the bound. The widest
-    # radius per pivot (a bounded list) rules most cells out inside the task; the
-    # join with the group's own cells then applies their exact radius.
-    widest = np.full(len(pivots), -np.inf)
-    for row in cells.groupBy("_cell").agg(F.max("_radius").alias("r")).collect():
-        widest[row["_cell"]] = row["r"]
-    shared = rows.sparkSession.sparkContext.broadcast((pivots, widest))
-    names = [f for f in asked.columns]
-
-    def reachable(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p, radius = shared.value
-        for f in _pieces(frames, len(p)):
-            d = _distances(_matrix(f["_v"]), p)
-            bound = f["_bound"].fillna(np.inf).to_numpy(dtype=float)
-            i, j = np.nonzero(d - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-9)
-            yield f[[*names, "_bound"]].iloc[i].assign(_cell=j.astype(np.int32), _dist=d[i, j])
-
-    reach = (keyed_join(asked, bound, ["_id"], "left").select(*names, "_bound")
-             .mapInPandas(reachable, f"{kinds}, _bound double, _cell int, _dist double"))
-    visits = keyed_join(reach, cells, unit).where(
-        F.col("_bound").isNull() | (F.col("_dist") - F.col("_radius") <= F.col("_bound") * (1 + 1e-9) + 1e-9))
-    n_visits = visits.groupBy(*unit).agg(F.count(F.lit(1)).alias("_nv"))
-    visits = keyed_join(visits.drop("_n", "_radius", "_dist", "_bound"), n_visits, unit)
-    visits = visits.withColumn("_blk", _block("_id", F.col("_nv"))).drop("_nv")
-    return _compare(visits, base, unit, k, id_type)
+    kind = _kind(base, *([] if queries is None else [queries]), vector=vector)
+    rows = _shaped(base, key, vector, by, kind)
+    if rows.isEmpty():
+        return _none(base, key)
+    return _ranked(*_laid_out(rows, by, n_pivots, None if queries is None else _shaped(queries, key, vector, by, kind)), key, k, queries is None)
+
+
+def nearest_and_opposite(base: DataFrame, key: str, vector: str, k: int, far: int, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The ``k`` nearest other rows of each row, and the ``far`` rows (itself among them) nearest to its mirrored vector, as ``nearest`` gives them."""
+    rows = _shaped(base, key, vector, by, _kind(base, vector=vector))
+    if rows.isEmpty():
+        return _none(base, key), _none(base, key)
+    laid = _laid_out(rows, by, None)
+    return _ranked(*laid, key, k, True), _ranked(*laid, key, far, False, opposite=True)
 
 
 def top_by_scan(base: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, k: int,

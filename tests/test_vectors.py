@@ -39,6 +39,30 @@ def test_groups_and_pivots(spark, monkeypatch):
     assert _got(N.nearest(_frame(spark, x, g), "id", "v", 4, by=["g"], n_pivots=5)) == _brute(x, 4, g)
 
 
+def test_no_row_is_copied_for_a_comparison(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 50)
+    x = np.random.default_rng(11).normal(0, 1, (500, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    found = N.nearest(df, "id", "v", 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan  # rows are read where they are written
+    assert _got(found) == _brute(x, 3, None)
+
+
+def test_copies_repeated_keys_and_mirrored(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(12)
+    x, g = np.concatenate([rng.normal(0, 1, (60, 3)), np.tile(rng.normal(0, 1, (2, 3)), (30, 1))]), np.arange(120) % 2
+    near, far = N.nearest_and_opposite(_frame(spark, x, g), "id", "v", 3, 4, ["g"])
+    assert _got(near) == _brute(x, 3, g) == _got(N.nearest(_frame(spark, x, g), "id", "v", 3, by=["g"]))
+    mirrored = {(i, r + 1, j) for i in range(len(x)) for r, (_, j) in enumerate(sorted((round(float(np.linalg.norm(-x[i] - x[j])), 9), j) for j in range(len(x)) if g[i] == g[j])[:4])}
+    assert _got(far) == mirrored
+    twice = _frame(spark, x[:40]).unionByName(_frame(spark, x[:40]))
+    want = {(i, j) for i, _, j in _brute(x[:40], 2, None)}
+    assert {(r["id"], r["neighbor"]) for r in N.nearest(twice, "id", "v", 4).collect()} >= {(i, j) for i, r, j in _brute(x[:40], 1, None)}
+    assert {(r["id"], r["neighbor"]) for r in N.nearest(twice, "id", "v", 8).collect()} >= want
+
+
 def test_copies_are_folded(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(3)
