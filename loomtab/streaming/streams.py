@@ -189,21 +189,47 @@ def progressive_sum(stream: DataFrame, path: str, checkpoint: str, value: str) -
     return kept.read()
 
 
+LOTS = 1024
+"""Lots of keys of ``row_window_mean``."""
+
+
 def row_window_mean(stream: DataFrame, key: str, ts: str, value: str, rows: int) -> DataFrame:
-    """(key, ts, mean of the last ``rows`` rows): row-count windows with state per key."""
+    """(key, ts, mean of the last ``rows`` rows): row-count windows with state per key.
+
+    Keys are dealt by a hash to a fixed number of lots, and a lot is one state: the last values of each of its keys, one list after the other. All keys of a lot
+    are worked on at once, so neither the calls nor the states grow with the keys. A mean over a missing value is NULL.
+    """
+    import numpy as np
     import pandas as pd
 
     kind = stream.schema[key].dataType.simpleString()
+    lots = LOTS
 
     def step(k, frames, state):
-        held = list(state.get[0]) if state.exists else []
         got = pd.concat(list(frames)).sort_values(ts)
-        out = []
-        for x in got[value]:
-            held = (held + [float(x)])[-rows:]
-            out.append(sum(held) / len(held))
-        state.update((held,))
-        yield pd.DataFrame({key: k[0], ts: got[ts].to_numpy(), "mean": out})
-
-    return stream.select(key, ts, value).groupBy(key).applyInPandasWithState(
-        step, f"`{key}` {kind}, `{ts}` timestamp, mean double", "held array<double>", "append", "NoTimeout")
+        keys, held, sizes = state.get if state.exists else ([], [], [])
+        # What is held comes before what is new; NULL is a key like others.
+        every = pd.Series([*keys, *got[key].astype(object).where(got[key].notna(), None)], dtype=object)
+        code, names = pd.factorize(every, use_na_sentinel=False)
+        new = got[value].to_numpy(dtype=float, na_value=np.nan)
+        own = np.concatenate([np.repeat(code[:len(keys)], np.array(sizes, np.int64)), code[len(keys):]]).astype(np.int64)
+        values = np.concatenate([np.array(held, float), new])
+        order = np.argsort(own, kind="stable")
+        x, c = values[order], own[order]
+        first = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+        many = np.diff(np.append(first, len(c)))
+        turn = np.arange(len(c)) - np.repeat(first, many)
+        total = np.zeros(len(x))
+        for back in range(min(rows, many.max()) - 1, -1, -1):  # from the oldest on
+            at = np.flatnonzero(turn >= back)
+            total[at] += x[at - back]
+        mean = np.empty(len(x))
+        mean[order] = total / np.minimum(turn + 1, rows)
+        last = np.arange(len(c)) >= np.repeat(first + many - rows, many)
+        state.update(([None if n is None or n != n else n for n in names], x[last].tolist(), np.minimum(many, rows).tolist()))
+        yield pd.DataFrame({key: got[key].to_numpy(), ts: got[ts].to_numpy(), "mean": mean[len(held):]})
+
+    # Rows without a key are a lot of their own, so that keys stay whole numbers in pandas.
+    lot = F.when(F.col(key).isNull(), F.lit(lots)).otherwise(F.pmod(F.xxhash64(key), F.lit(lots))).cast("int").alias("_lot")
+    return stream.select(key, ts, value, lot).groupBy("_lot").applyInPandasWithState(
+        step, f"`{key}` {kind}, `{ts}` timestamp, mean double", f"keys array<{kind}>, held array<double>, sizes array<int>", "append", "NoTimeout")

@@ -84,3 +84,28 @@ def test_newest_rows_over_many_runs(spark, tables, tmp_path):
     want = top_per_group(events, ["user_id"], [F.desc("ts")], 1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert len(os.listdir(out)) <= 12
+
+
+def test_windows_of_rows_over_batches_in_few_states(spark, tmp_path, monkeypatch):
+    import random
+
+    r = random.Random(3)
+    landing, want, held = str(tmp_path / "in"), [], {}
+    for batch in range(3):
+        rows = [(r.choice([None, *range(40)]), 1000 * batch + i, r.choice([None, round(r.random(), 3)]) if r.random() < 0.1 else r.random()) for i in range(300)]
+        spark.createDataFrame(rows, "k long, s long, v double").selectExpr("k", "timestamp_seconds(s) AS ts", "v").coalesce(1).write.mode("append").parquet(landing)
+        for k, s, v in rows:
+            held[k] = [*held.get(k, []), v][-4:]
+            want.append((k, s, None if None in held[k] else round(sum(held[k]) / len(held[k]), 9)))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    S.append_run(S.row_window_mean(S.arriving(spark, landing, "k long, ts timestamp, v double", 1), "k", "ts", "v", 4), out, ck)
+    got = [(q["k"], q["s"], None if q["mean"] is None else round(q["mean"], 9)) for q in spark.read.parquet(out).selectExpr("k", "unix_seconds(ts) AS s", "mean").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_states_do_not_grow_with_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "LOTS", 5)
+    landing, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    spark.range(200).selectExpr("id AS k", "timestamp_seconds(id) AS ts", "1.0D AS v").write.parquet(landing)
+    S.append_run(S.row_window_mean(S.arriving(spark, landing, "k long, ts timestamp, v double"), "k", "ts", "v", 4), out, ck)
+    assert spark.read.format("statestore").load(ck).count() == 5 and spark.read.parquet(out).count() == 200
