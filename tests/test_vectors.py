@@ -158,3 +158,47 @@ def test_jaccard_sketches_rule_out_sets_of_common_words():
     bits = [np.packbits(r).tobytes() for r in rows]
     found = {(a, b) for i, j in V._alike(n, bits, n, bits, 0.6) for a, b in zip(i.tolist(), j.tolist())}
     assert {(i, i) for i in range(200)} <= found and len(found) < 220
+
+
+def _okapi(docs, queries, k):
+    """docs: (key, tokens or None); texts of one key and length are one document, scores of a key add up."""
+    import collections
+    import math
+
+    one, n, total = {}, 0, 0
+    for key, t in docs:
+        one.setdefault((key, len(t or [])), collections.Counter()).update(w for w in t or [] if w is not None)
+        rows = 1 + sum(w is None for w in t or [])
+        n, total = n + rows, total + rows * len(t or [])
+    df = collections.Counter(w for c in one.values() for w in c)
+    idf = {w: math.log(n - m + 0.5) - math.log(m + 0.5) for w, m in df.items()}
+    idf = {w: 0.25 * sum(idf.values()) / len(idf) if v < 0 else v for w, v in idf.items()}
+    out = {}
+    for q, asked in queries:
+        scores = collections.Counter()
+        for (key, size), c in one.items():
+            hit = [w for w in asked if w in c]
+            if hit:
+                scores[key] += sum(idf[w] * c[w] * 2.5 / (c[w] + 1.5 * (0.25 + 0.75 * size * n / total)) for w in hit)
+        for r, (key, v) in enumerate(sorted(scores.items(), key=lambda x: (-round(x[1], 9), x[0] is not None, x[0] or 0))[:k]):
+            out[q, r + 1] = key, round(v, 6)
+    return out
+
+
+def test_keyword_search_as_a_plain_version(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(V, "QUERY_WEIGHTS", 9)  # queries in blocks
+    r = random.Random(6)
+    text = lambda n: [r.choice([None, *"abcdefgh", f"w{r.randint(0, 30)}"]) for _ in range(n)]
+    single = [(i, text(r.choice([0, 1, 9, 30]))) for i in range(80)] + [(80, None), (81, ["a", "b"]), (82, ["b", "a"])]
+    queries = [(q, [f"w{q}", *r.sample("abcdefgh", 3), "a", "nowhere"]) for q in range(12)]
+    asked = spark.createDataFrame(queries, "q long, t array<string>")
+    for docs in (single, single + [(3, single[3][1]), (3, text(9)), (5, text(4)), (None, text(9)), (None, text(9))]):
+        df = spark.createDataFrame(docs, "id long, t array<string>").repartition(4)
+        found = V.bm25_topk(df, "id", F.col("t"), asked, "q", F.col("t"), 5)
+        assert {(x["q"], x["rank"]): (x["id"], round(x["score"], 6)) for x in found.collect()} == _okapi(docs, queries, 5)
+        if docs is single:  # scores of documents never meet in a shuffle, only the best of each task
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and "Aggregate" not in plan
+    assert V.bm25_topk(df.limit(0), "id", F.col("t"), asked, "q", F.col("t"), 5).count() == 0 == V.bm25_topk(df, "id", F.col("t"), asked.limit(0), "q", F.col("t"), 5).count()
